@@ -113,11 +113,12 @@ FEATURE_KINDS = [
 
 def normalized_select(cols: list[tuple[str, str]], src: str) -> str:
     """Final projection with the output typing every query shares:
-    doubles rounded to 6 dp, integers as BIGINT."""
+    doubles rounded to 6 dp (cents from 1e4 up), integers as BIGINT."""
     parts = []
     for name, kind in cols:
         if kind == "d":
-            parts.append(f"round(CAST({name} AS DOUBLE), 6) AS {name}")
+            parts.append(f"CASE WHEN abs(CAST({name} AS DOUBLE)) >= 1e4 THEN round(CAST({name} AS DOUBLE), 2) "
+                         f"ELSE round(CAST({name} AS DOUBLE), 6) END + 0.0 AS {name}")
         elif kind == "i":
             parts.append(f"CAST({name} AS BIGINT) AS {name}")
         else:
@@ -127,3 +128,153 @@ def normalized_select(cols: list[tuple[str, str]], src: str) -> str:
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes)
+
+
+ORDER_DAILY = """od0 AS (
+  SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
+         first(o_totalprice ORDER BY o_orderdate, o_orderkey) AS day_open,
+         last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS day_close_current,
+         count(*) AS day_volume
+  FROM orders GROUP BY 1, 2),
+od AS (
+  SELECT symbol, CAST(date AS TIMESTAMP) AS datetime, isodow(date) - 1 AS day_of_week, day_open,
+         day_close_current, day_volume,
+         (day_close_current - day_open) / nullif(day_open, 0) * 100 AS target,
+         lag((day_close_current - day_open) / nullif(day_open, 0) * 100)
+           OVER (PARTITION BY symbol ORDER BY date) AS prediction
+  FROM od0)"""
+
+
+def ledger_ctes(src: str, path_bars: str | None, sliced: bool = True) -> str:
+    """CTEs down to ``led``: slice, directions, equity, intra-trade drawdown
+    (per-bar brute force over ``path_bars``), streaks (gaps and islands),
+    running max and drawdown.  ``src`` needs symbol, datetime, target,
+    prediction, day_close_current, day_of_week."""
+    w = "PARTITION BY symbol ORDER BY datetime"
+    slice_where = "WHERE idx >= floor(0.85 * n)" if sliced else ""
+    parts = [f"""sl AS (
+  SELECT * FROM (SELECT *, row_number() OVER ({w}) - 1 AS idx, count(*) OVER (PARTITION BY symbol) AS n
+                 FROM {src}) {slice_where}),
+dir AS (
+  SELECT *, prediction AS predictions, target AS actual_change,
+         CASE WHEN prediction > 0 THEN 'BUY' ELSE 'SELL' END AS predicted_direction,
+         CASE WHEN target > 0 THEN 'UP' ELSE 'DOWN' END AS actual_direction,
+         coalesce((prediction > 0 AND target > 0) OR (prediction < 0 AND target < 0), FALSE) AS correct_direction,
+         CASE WHEN prediction > 0 THEN 1 ELSE -1 END AS position
+  FROM sl),
+eq0 AS (
+  SELECT *, position * actual_change AS returns, position * actual_change * 5000.0 AS pnl_dollars FROM dir),
+eq AS (
+  SELECT *, sum(pnl_dollars) OVER ({w} ROWS UNBOUNDED PRECEDING) AS cumulative_pnl,
+         100000.0 + sum(pnl_dollars) OVER ({w} ROWS UNBOUNDED PRECEDING) AS equity
+  FROM eq0),
+eq2 AS (
+  SELECT *, coalesce(equity - lag(equity) OVER ({w}), 0.0) AS daily_pnl FROM eq)"""]
+    if path_bars:
+        parts.append(f"""pb AS (
+  SELECT symbol, CAST(ts AS DATE) AS date, ts, id, close FROM {path_bars} WHERE hour(ts) BETWEEN 20 AND 23),
+pe AS (
+  SELECT symbol, date, close AS entry FROM (
+    SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY {us_from('ts', 20)}, ts, id) AS rn FROM pb)
+  WHERE rn = 1),
+pp AS (
+  SELECT t.symbol, t.datetime, pb.ts, pb.id,
+         (pb.close - pe.entry) / nullif(pe.entry, 0) * 100 * t.position AS pnl
+  FROM eq2 t JOIN pe ON t.symbol = pe.symbol AND CAST(t.datetime AS DATE) = pe.date
+             JOIN pb ON t.symbol = pb.symbol AND CAST(t.datetime AS DATE) = pb.date),
+pm AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, datetime ORDER BY pnl, ts, id) AS rn
+                 FROM pp WHERE pnl IS NOT NULL) WHERE rn = 1),
+dd AS (
+  SELECT t.*, CASE WHEN pm.pnl < 0 THEN pm.pnl ELSE 0.0 END AS max_intra_drawdown_pct,
+         CASE WHEN pm.pnl < 0 THEN pm.pnl * 5000.0 ELSE 0.0 END AS max_intra_drawdown_dollars,
+         CASE WHEN pm.pnl < 0 THEN pm.ts END AS time_of_max_drawdown
+  FROM eq2 t LEFT JOIN pm ON t.symbol = pm.symbol AND t.datetime = pm.datetime)""")
+    else:
+        parts.append("""dd AS (
+  SELECT *, 0.0 AS max_intra_drawdown_pct, 0.0 AS max_intra_drawdown_dollars,
+         CAST(NULL AS TIMESTAMP) AS time_of_max_drawdown FROM eq2)""")
+    parts.append(f"""s1 AS (
+  SELECT *, returns > 0 AS win_trade, returns < 0 AS loss_trade,
+         CASE WHEN (returns > 0) IS DISTINCT FROM lag(returns > 0) OVER ({w}) THEN 1 ELSE 0 END AS wchg,
+         CASE WHEN (returns < 0) IS DISTINCT FROM lag(returns < 0) OVER ({w}) THEN 1 ELSE 0 END AS lchg
+  FROM dd),
+s2 AS (
+  SELECT *, sum(wchg) OVER ({w} ROWS UNBOUNDED PRECEDING) AS wg,
+            sum(lchg) OVER ({w} ROWS UNBOUNDED PRECEDING) AS lg
+  FROM s1),
+led AS (
+  SELECT *,
+    CASE WHEN win_trade THEN row_number() OVER (PARTITION BY symbol, wg ORDER BY datetime) ELSE 0 END AS win_streak,
+    CASE WHEN loss_trade THEN row_number() OVER (PARTITION BY symbol, lg ORDER BY datetime) ELSE 0 END AS loss_streak,
+    max(equity) OVER ({w} ROWS UNBOUNDED PRECEDING) AS running_max,
+    (equity / max(equity) OVER ({w} ROWS UNBOUNDED PRECEDING) - 1) * 100 AS portfolio_drawdown
+  FROM s2)""")
+    return ",\n".join(parts)
+
+
+LEDGER_KINDS = [
+    ("symbol", "s"), ("datetime", "t"), ("day_close_current", "d"), ("predictions", "d"),
+    ("actual_change", "d"), ("predicted_direction", "s"), ("actual_direction", "s"),
+    ("correct_direction", "s"), ("position", "i"), ("returns", "d"), ("pnl_dollars", "d"),
+    ("cumulative_pnl", "d"), ("equity", "d"), ("daily_pnl", "d"), ("max_intra_drawdown_pct", "d"),
+    ("max_intra_drawdown_dollars", "d"), ("time_of_max_drawdown", "t"), ("win_trade", "s"),
+    ("loss_trade", "s"), ("portfolio_drawdown", "d"), ("day_of_week", "i"),
+]
+
+
+SUMMARY_CTES = """dr AS (
+  SELECT *, coalesce(daily_pnl / nullif(lag(equity) OVER (PARTITION BY symbol ORDER BY datetime), 0) * 100, 0.0)
+              AS daily_returns
+  FROM led),
+agg AS (
+  SELECT symbol, count(*) AS total_trades,
+    count(*) FILTER (WHERE win_trade) AS winning_trades,
+    count(*) FILTER (WHERE loss_trade) AS losing_trades,
+    arg_max(cumulative_pnl, datetime) AS total_pnl, arg_max(equity, datetime) AS final_equity,
+    avg(CASE WHEN correct_direction THEN 1.0 ELSE 0.0 END) * 100 AS accuracy,
+    coalesce(sum(pnl_dollars) FILTER (WHERE pnl_dollars > 0), 0.0) AS gp,
+    abs(coalesce(sum(pnl_dollars) FILTER (WHERE pnl_dollars < 0), 0.0)) AS gl,
+    coalesce(avg(returns) FILTER (WHERE returns > 0), 0.0) AS avg_win_pct,
+    coalesce(avg(returns) FILTER (WHERE returns < 0), 0.0) AS avg_loss_pct,
+    coalesce(avg(pnl_dollars) FILTER (WHERE pnl_dollars > 0), 0.0) AS avg_win_dollars,
+    coalesce(avg(pnl_dollars) FILTER (WHERE pnl_dollars < 0), 0.0) AS avg_loss_dollars,
+    min(portfolio_drawdown) AS max_drawdown, min(equity) - 100000.0 AS max_drawdown_dollars,
+    stddev_samp(daily_returns) AS sd, avg(daily_returns) AS mr,
+    max(win_streak) AS max_win_streak, max(loss_streak) AS max_loss_streak,
+    coalesce(min(max_intra_drawdown_pct) FILTER (WHERE max_intra_drawdown_pct < 0), 0.0) AS max_intra_dd_pct,
+    coalesce(min(max_intra_drawdown_dollars) FILTER (WHERE max_intra_drawdown_pct < 0), 0.0) AS max_intra_dd_dollars,
+    coalesce(avg(max_intra_drawdown_pct) FILTER (WHERE max_intra_drawdown_pct < 0), 0.0) AS avg_intra_dd_pct,
+    coalesce(avg(max_intra_drawdown_dollars) FILTER (WHERE max_intra_drawdown_pct < 0), 0.0) AS avg_intra_dd_dollars,
+    count(*) FILTER (WHERE max_intra_drawdown_pct < 0) AS trades_with_dd
+  FROM dr GROUP BY symbol),
+summ AS (
+  SELECT *,
+    total_pnl / 100000.0 * 100 AS total_return,
+    total_pnl / 100000.0 * 100 / total_trades * 250 AS annual_return,
+    winning_trades / total_trades * 100 AS win_rate,
+    CASE WHEN gl > 0 THEN gp / gl ELSE CAST('inf' AS DOUBLE) END AS profit_factor,
+    trades_with_dd / total_trades * 100 AS pct_trades_with_dd,
+    CASE WHEN total_trades > 1 THEN coalesce(sd, 0.0) * sqrt(250) ELSE 0.0 END AS volatility,
+    CASE WHEN max_drawdown <> 0 THEN total_pnl / 100000.0 * 100 / total_trades * 250 / abs(max_drawdown)
+         ELSE 0.0 END AS calmar_ratio,
+    CASE WHEN max_drawdown <> 0 THEN total_pnl / 100000.0 * 100 / abs(max_drawdown) ELSE 0.0 END AS recovery_factor,
+    winning_trades / total_trades * avg_win_dollars
+      + (1 - winning_trades / total_trades) * avg_loss_dollars AS expectancy_dollars,
+    winning_trades / total_trades * avg_win_pct
+      + (1 - winning_trades / total_trades) * avg_loss_pct AS expectancy_pct,
+    100000.0 AS initial_capital
+  FROM agg),
+summ2 AS (
+  SELECT *, CASE WHEN volatility > 0 THEN mr * 250 / volatility ELSE 0.0 END AS sharpe_ratio FROM summ)"""
+
+SUMMARY_KINDS = [("symbol", "s")] + [
+    (c, "i" if c in ("trades_with_dd", "total_trades", "winning_trades", "losing_trades",
+                     "max_win_streak", "max_loss_streak") else "d")
+    for c in ["total_return", "total_pnl", "annual_return", "accuracy", "win_rate", "profit_factor",
+              "max_drawdown", "max_drawdown_dollars", "max_intra_dd_pct", "max_intra_dd_dollars",
+              "avg_intra_dd_pct", "avg_intra_dd_dollars", "trades_with_dd", "pct_trades_with_dd",
+              "sharpe_ratio", "calmar_ratio", "volatility", "total_trades", "winning_trades",
+              "losing_trades", "avg_win_pct", "avg_loss_pct", "avg_win_dollars", "avg_loss_dollars",
+              "max_win_streak", "max_loss_streak", "expectancy_pct", "expectancy_dollars",
+              "recovery_factor", "final_equity", "initial_capital"]]

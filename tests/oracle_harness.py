@@ -28,7 +28,7 @@ def _canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return (round(v, 2) if abs(v) >= 1e4 else round(v, 6)) + 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
