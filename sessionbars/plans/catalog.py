@@ -1,6 +1,6 @@
 """Import every query module so that the registry is complete."""
 
-from sessionbars.plans import q_backtest, q_sessions, q_sources  # noqa: F401
+from sessionbars.plans import q_backtest, q_execution, q_ml, q_sessions, q_sources  # noqa: F401
 from sessionbars.plans.registry import ORACLE, QUERIES, normalize
 
 __all__ = ["ORACLE", "QUERIES", "normalize"]
