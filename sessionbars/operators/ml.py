@@ -46,7 +46,7 @@ SEED = 42
 SMALL_GRID = {
     "maxDepth": [4, 6],
     "stepSize": [0.1],
-    "maxIter": [20],
+    "maxIter": [10],
     "subsamplingRate": [0.8],
     "featureSubsetStrategy": ["0.8"],
 }

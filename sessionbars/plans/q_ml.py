@@ -37,9 +37,9 @@ def _fit_query(make, col):
     return q
 
 
-register("gbt_fit")(_fit_query(lambda: ml.gbt(maxIter=20), "pred_gbt"))
+register("gbt_fit")(_fit_query(lambda: ml.gbt(maxIter=10), "pred_gbt"))
 register("rf_fit")(_fit_query(lambda: ml.random_forest(numTrees=20), "pred_rf"))
-register("gbt2_fit")(_fit_query(lambda: ml.gbt_second(maxIter=20), "pred_gbt2"))
+register("gbt2_fit")(_fit_query(lambda: ml.gbt_second(maxIter=10), "pred_gbt2"))
 register("enet_fit")(_fit_query(ml.elastic_net, "pred_enet"))
 
 

@@ -67,3 +67,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sessionbars`` importable in Python workers (needed only by the
+    pandas-backed stateful operator): zip it once per application into the
+    shared folder and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "pyfiles").replace("file:", "")
+    archive = shutil.make_archive(f"{base}/sessionbars", "zip", os.path.dirname(pkg_dir), "sessionbars")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
