@@ -36,11 +36,10 @@ def week_features(daily: DataFrame, key: str = "symbol", order: str = "datetime"
     close > close 7 rows earlier (no earlier row -> 0)."""
     w = Window.partitionBy(key).orderBy(order)
     frame = w.rowsBetween(-(rows - 1), 0)
-    return (daily
-            .withColumn("week_avg_close", F.avg(value).over(frame))
-            .withColumn("week_volatility", F.coalesce(F.stddev_samp(value).over(frame), F.lit(0.0)))
-            .withColumn("week_trend",
-                        F.coalesce((F.col(value) > F.lag(value, rows).over(w)).cast("int"), F.lit(0))))
+    return daily.withColumns({
+        "week_avg_close": F.avg(value).over(frame),
+        "week_volatility": F.coalesce(F.stddev_samp(value).over(frame), F.lit(0.0)),
+        "week_trend": F.coalesce((F.col(value) > F.lag(value, rows).over(w)).cast("int"), F.lit(0))})
 
 
 def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",

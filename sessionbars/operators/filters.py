@@ -44,11 +44,12 @@ def time_parts(bars: DataFrame, ts: str = "ts") -> DataFrame:
 
 def fill_features(df: DataFrame) -> DataFrame:
     """P10: SMA -> close, RSI -> 50, MACD -> 0, trend -> 0."""
-    return (df.withColumn("current_sma_15", F.coalesce("current_sma_15", "day_close_current"))
-              .withColumn("current_sma_30", F.coalesce("current_sma_30", "day_close_current"))
-              .withColumn("current_rsi", F.coalesce(F.col("current_rsi"), F.lit(50.0)))
-              .withColumn("current_macd", F.coalesce(F.col("current_macd"), F.lit(0.0)))
-              .withColumn("week_trend", F.coalesce(F.col("week_trend"), F.lit(0))))
+    return df.withColumns({
+        "current_sma_15": F.coalesce("current_sma_15", "day_close_current"),
+        "current_sma_30": F.coalesce("current_sma_30", "day_close_current"),
+        "current_rsi": F.coalesce(F.col("current_rsi"), F.lit(50.0)),
+        "current_macd": F.coalesce(F.col("current_macd"), F.lit(0.0)),
+        "week_trend": F.coalesce(F.col("week_trend"), F.lit(0))})
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

@@ -4,30 +4,35 @@ Scale design
 ------------
 An indicator is a scan over the bars of one symbol in time order.  A window
 ``partitionBy(symbol)`` would put a whole instrument in one task, so the scan
-runs in *blocks* instead:
+runs in *blocks* and is a classic two-phase parallel scan:
 
 * a block is ``(symbol, date, slice, sub)``: the bars of one day (optionally
-  cut into clock slices for tick data), cut again every ``sub_rows`` rows;
-  the only bar-level shuffle is the hash on ``(symbol, date[, slice])``;
-* pass A builds a small block table (row count and the last ``halo`` values
-  of each block), runs a window over that table per symbol to get each
-  block's global row offset and the values just before it, and joins this
-  back.  Rolling means and lags then need no cross-block window;
-* pass B does the same for exponentially weighted sums: each block's local
-  running sum is ``q^j * sum(w_i x_i q^-i)`` (a plain running ``sum``), the
-  block table folds the block sums into the carry ``C <- C*q^n + s`` over the
-  previous K blocks, and the carry is joined back.  Every block holds at
-  least one row, so blocks older than K carry weight <= q^K; K is chosen so
-  that q^K < 2^-57 (below double precision), which makes the result exact in
-  double arithmetic.
-
-The block tables have one row per block: for minute bars that is at most one
-row per symbol-day (bounded by the calendar), for tick data rows/sub_rows.
+  cut into clock slices for tick data), cut again every ``sub_rows`` rows.
+  The only bar-level shuffle is the hash on ``(symbol, date[, slice])``; all
+  later bar-level windows and the block aggregate reuse that partitioning;
+* phase 1, inside each block: running sums ``sum(w_i x_i q^-i)`` (so that the
+  local EWM at row j is ``q^j`` times the running sum), the in-block lag, and
+  a block table row: row count, first value, the last ``halo`` values and the
+  block's EWM sums;
+* phase 2, over the block table (one row per block, per symbol): running row
+  offset, the values just before each block (the halo for rolling means and
+  lags), and the EWM carry ``C <- C*q^n + s`` folded over the previous K
+  blocks.  Every block holds at least one row, so blocks older than K weigh
+  <= q^K; K makes that < 2^-57 (below double precision): exact in doubles;
+* one join brings the block context back to the bars.
+
+Values that depend on the previous row (the RSI's price change) are exact
+inside a block; the first row of a block gets its term from the block table
+(the previous block's last value), as a per-block correction.
+
+The block table has one row per block: for minute bars at most one per
+symbol-day (bounded by the calendar), for tick data rows/sub_rows.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,70 +65,27 @@ def add_blocks(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str =
         df = df.withColumn("_slice", F.lit(0))
     w = Window.partitionBy(*part).orderBy(F.col(ts), F.col(tie))
     j = F.row_number().over(w) - 1
-    return (df.withColumn("_j", j)
-              .withColumn("_sub", F.floor(F.col("_j") / F.lit(sub_rows)).cast("int"))
-              .withColumn("_jj", (F.col("_j") % F.lit(sub_rows)).cast("int"))
-              .drop("_j"))
+    return df.withColumns({"_sub": F.floor(j / F.lit(sub_rows)).cast("int"),
+                           "_jj": (j % F.lit(sub_rows)).cast("int")})
 
 
 def _sub_window(key: str) -> Window:
     return Window.partitionBy(*_block_keys(key)).orderBy("_jj")
 
 
-def block_context(df: DataFrame, value: str, halo: int, key: str = "symbol") -> DataFrame:
-    """Pass A: add ``_g`` (row index within the symbol), ``_prev`` (previous
-    row's ``value`` across block borders) and ``_hs`` (suffix sums of the
-    ``halo`` values that precede the block: ``_hs[m]`` = sum of the last m)."""
-    halo = max(int(halo), 1)
-    bk = _block_keys(key)
-    wsub = _sub_window(key)
-    cnt = F.count(F.lit(1)).over(wsub.rowsBetween(_UNB, _UNF))
-    tail = F.when(F.col("_jj") >= F.col("_cnt") - F.lit(halo), F.struct("_jj", F.col(value).alias("v")))
-    blk = (df.withColumn("_cnt", cnt)
-             .groupBy(*bk)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.array_sort(F.collect_list(tail)).alias("_tail"))
-             .withColumn("_tail", F.transform("_tail", lambda s: s["v"])))
-    wb = Window.partitionBy(key).orderBy(*BLOCK_ORDER)
-    flat = F.flatten(F.collect_list("_tail").over(wb.rowsBetween(-halo, -1)))
-    halo_vals = F.slice(flat, F.greatest(F.size(flat) - F.lit(halo) + 1, F.lit(1)), F.lit(halo))
-    rev = F.reverse(F.col("_halo"))
-    suffix = F.aggregate(
-        rev, F.array().cast("array<double>"),
-        lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
-    blk = (blk.withColumn("_g0", F.coalesce(F.sum("_n").over(wb.rowsBetween(_UNB, -1)), F.lit(0)).cast("long"))
-              .withColumn("_halo", halo_vals.cast("array<double>"))
-              .withColumn("_hs", suffix)
-              .withColumn("_hlast", F.try_element_at(F.col("_halo"), F.lit(-1)))
-              .select(*bk, "_g0", "_hs", "_hlast"))
-    out = df.join(blk, bk)
-    return (out.withColumn("_g", F.col("_g0") + F.col("_jj"))
-               .withColumn("_prev", F.when(F.col("_jj") == 0, F.col("_hlast"))
-                                     .otherwise(F.lag(value).over(wsub)))
-               .drop("_g0", "_hlast"))
-
-
-def rolling_mean(value: str, n: int, key: str = "symbol") -> Column:
-    """Mean of the last ``n`` rows (min_periods=1) using the pass-A halo."""
-    wsub = _sub_window(key)
-    frame = wsub.rowsBetween(-(n - 1), 0)
-    in_sum = F.sum(value).over(frame)
-    in_cnt = F.count(value).over(frame)
-    need = F.lit(n - 1) - F.col("_jj")
-    take = F.least(need, F.size("_hs"))
-    use = (F.col("_jj") < F.lit(n - 1)) & (take > 0)
-    halo_sum = F.when(use, F.try_element_at(F.col("_hs"), take)).otherwise(F.lit(0.0))
-    halo_cnt = F.when(use, take).otherwise(F.lit(0))
-    return (in_sum + halo_sum) / (in_cnt + halo_cnt)
-
-
 @dataclass(frozen=True)
 class Ewm:
-    """One exponentially weighted mean: ``y_t`` over rows ``0..t`` of a symbol.
+    """One exponentially weighted mean ``y_t`` over rows ``0..t`` of a symbol.
 
     adjust=True:  y = sum q^(t-i) x_i / sum q^(t-i)
     adjust=False: y_0 = x_0, y_t = q*y_(t-1) + alpha*x_t
     Rows with index < min_periods-1 are NULL.
+
+    ``value`` is evaluated per row and may use ``_lag`` (the previous row's
+    value inside the block; NULL on the block's first row).  ``first``, when
+    given, supplies the first row's value of every block from the block-table
+    columns ``_first`` (the block's first value) and ``_before`` (the last
+    value of the previous block; NULL for the symbol's first block).
     """
 
     out: str
@@ -131,6 +93,7 @@ class Ewm:
     alpha: float
     adjust: bool
     min_periods: int = 0
+    first: Callable[[], Column] | None = None
 
     @property
     def q(self) -> float:
@@ -146,57 +109,124 @@ def carry_blocks(q: float) -> int:
     return int(math.ceil(40.0 / -math.log(q))) + 1
 
 
-def add_ewm(df: DataFrame, specs: list[Ewm], key: str = "symbol", sub_rows: int = 512) -> DataFrame:
-    """Pass B: add one column per spec.  ``df`` must come from ``block_context``."""
+def blocked_scan(df: DataFrame, value: str, halo: int, specs: list[Ewm], key: str = "symbol",
+                 sub_rows: int = 512) -> DataFrame:
+    """Add ``_g`` (row index in the symbol), ``_prev`` (previous row's value),
+    ``_hs`` (suffix sums of the ``halo`` values before the block) and one
+    column per EWM spec.  ``df`` comes from ``add_blocks``."""
     for s in specs:
         if not 0.0 < s.alpha < 1.0:
             raise ValueError(f"alpha must be in (0, 1): {s.alpha}")
         if (sub_rows - 1) * -math.log(s.q) > 650:
             raise ValueError(f"sub_rows={sub_rows} too large for alpha={s.alpha}; lower it")
+    halo = max(int(halo), 1)
     bk = _block_keys(key)
     wsub = _sub_window(key)
-    run = wsub.rowsBetween(_UNB, 0)
     jj = F.col("_jj")
+    first_row = jj == 0
+
+    # phase 1 (bar level, in-block): lag, block size, EWM terms
+    df = df.withColumns({"_lag": F.lag(value).over(wsub),
+                         "_cnt": F.count(F.lit(1)).over(wsub.rowsBetween(_UNB, _UNF))})
+    terms = {}
     for i, s in enumerate(specs):
-        w = F.lit(1.0) if s.adjust else F.when(F.col("_g") == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
-        df = df.withColumn(f"_r{i}", w * s.value.cast("double") * F.pow(F.lit(s.q), -jj))
-    blk = df.groupBy(*bk).agg(F.count(F.lit(1)).alias("_n"),
-                              *[F.sum(f"_r{i}").alias(f"_s{i}") for i in range(len(specs))])
+        x = s.value.cast("double")
+        if s.first is not None:
+            x = F.when(first_row, F.lit(0.0)).otherwise(x)   # the block table supplies it
+        w = F.lit(1.0) if s.adjust else F.lit(s.alpha)
+        terms[f"_r{i}"] = w * x * F.pow(F.lit(s.q), -jj)
+    if terms:
+        df = df.withColumns(terms)
+    tail = F.when(jj >= F.col("_cnt") - F.lit(halo), F.struct("_jj", F.col(value).cast("double").alias("v")))
+    aggs = [F.count(F.lit(1)).alias("_n"),
+            F.array_sort(F.collect_list(tail)).alias("_tail"),
+            F.min_by(F.col(value).cast("double"), jj).alias("_first")]
     for i, s in enumerate(specs):
-        blk = blk.withColumn(f"_s{i}", F.col(f"_s{i}") * F.pow(F.lit(s.q), F.col("_n") - 1))
-    k = max(carry_blocks(s.q) for s in specs)
-    wb = Window.partitionBy(key).orderBy(*BLOCK_ORDER).rowsBetween(-k, -1)
-    hist = F.collect_list(F.struct("_n", *[f"_s{i}" for i in range(len(specs))])).over(wb)
-    blk = blk.withColumn("_hist", hist)
-    def fold(q: float, field: str):
-        return lambda acc, e: acc * F.pow(F.lit(q), e["_n"]) + e[field]
+        aggs.append(F.sum(f"_r{i}").alias(f"_s{i}"))
+        if not s.adjust and s.first is None:
+            aggs.append(F.min_by(s.value.cast("double"), jj).alias(f"_x0{i}"))
+    blk = df.groupBy(*bk).agg(*aggs).withColumn("_tail", F.transform("_tail", lambda t: t["v"]))
 
+    # phase 2 (block table): offsets, halo, first-row terms, EWM carry
+    wb = Window.partitionBy(key).orderBy(*BLOCK_ORDER)
+    flat = F.flatten(F.collect_list("_tail").over(wb.rowsBetween(-halo, -1)))
+    halo_vals = F.slice(flat, F.greatest(F.size(flat) - F.lit(halo) + 1, F.lit(1)), F.lit(halo))
+    suffix = F.aggregate(
+        F.reverse(F.col("_halo")), F.array().cast("array<double>"),
+        lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
+    blk = blk.withColumns({
+        "_g0": F.coalesce(F.sum("_n").over(wb.rowsBetween(_UNB, -1)), F.lit(0)).cast("long"),
+        "_halo": halo_vals.cast("array<double>")})
+    blk = blk.withColumns({"_hs": suffix, "_before": F.try_element_at(F.col("_halo"), F.lit(-1))})
+    firsts = {}
     for i, s in enumerate(specs):
-        blk = blk.withColumn(f"_c{i}", F.aggregate("_hist", F.lit(0.0), fold(s.q, f"_s{i}")))
-    blk = blk.select(*bk, *[f"_c{i}" for i in range(len(specs))])
-    df = df.join(blk, bk)
-    g = F.col("_g")
+        f = F.lit(0.0)
+        if s.first is not None:
+            w0 = F.lit(1.0) if s.adjust else F.when(F.col("_g0") == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
+            f = w0 * F.coalesce(s.first().cast("double"), F.lit(0.0))
+        elif not s.adjust:
+            # adjust=False gives the symbol's very first row weight 1, not alpha
+            f = F.when(F.col("_g0") == 0, F.lit(1.0 - s.alpha) * F.col(f"_x0{i}")).otherwise(F.lit(0.0))
+        firsts[f"_f{i}"] = f
+    if specs:
+        blk = blk.withColumns(firsts)
+        blk = blk.withColumns({f"_s{i}": (F.col(f"_s{i}") + F.col(f"_f{i}")) * F.pow(F.lit(s.q), F.col("_n") - 1)
+                               for i, s in enumerate(specs)})
+        k = max(carry_blocks(s.q) for s in specs)
+        hist = F.collect_list(F.struct("_n", *[f"_s{i}" for i in range(len(specs))])).over(wb.rowsBetween(-k, -1))
+        blk = blk.withColumn("_hist", hist)
+
+        def fold(q: float, field: str):
+            return lambda acc, e: acc * F.pow(F.lit(q), e["_n"]) + e[field]
+
+        blk = blk.withColumns({f"_c{i}": F.aggregate("_hist", F.lit(0.0), fold(s.q, f"_s{i}"))
+                               for i, s in enumerate(specs)})
+    keep = [*bk, "_g0", "_hs", "_before"] + [c for i in range(len(specs)) for c in (f"_c{i}", f"_f{i}")]
+    out = df.join(blk.select(*keep), bk)
+
+    # back at bar level: global index, previous value, EWM values
+    g = F.col("_g0") + jj
+    cols = {"_g": g, "_prev": F.when(first_row, F.col("_before")).otherwise(F.col("_lag"))}
+    run = wsub.rowsBetween(_UNB, 0)
     for i, s in enumerate(specs):
         q = s.q
-        local = F.pow(F.lit(q), jj) * F.sum(f"_r{i}").over(run)
+        local = F.pow(F.lit(q), jj) * (F.sum(f"_r{i}").over(run) + F.col(f"_f{i}"))
         total = F.col(f"_c{i}") * F.pow(F.lit(q), jj + 1) + local
         if s.adjust:
             total = total / ((F.lit(1.0) - F.pow(F.lit(q), g + 1)) / F.lit(1.0 - q))
         if s.min_periods and s.min_periods > 1:
             total = F.when(g + 1 >= F.lit(s.min_periods), total)
-        df = df.withColumn(s.out, total)
-    return df.drop(*[f"_r{i}" for i in range(len(specs))], *[f"_c{i}" for i in range(len(specs))])
+        cols[s.out] = total
+    return out.withColumns(cols)
+
+
+def rolling_mean(value: str, n: int, key: str = "symbol") -> Column:
+    """Mean of the last ``n`` rows (min_periods=1) using the block halo."""
+    wsub = _sub_window(key)
+    frame = wsub.rowsBetween(-(n - 1), 0)
+    in_sum = F.sum(value).over(frame)
+    in_cnt = F.count(value).over(frame)
+    need = F.lit(n - 1) - F.col("_jj")
+    take = F.least(need, F.size("_hs"))
+    use = (F.col("_jj") < F.lit(n - 1)) & (take > 0)
+    halo_sum = F.when(use, F.try_element_at(F.col("_hs"), take)).otherwise(F.lit(0.0))
+    halo_cnt = F.when(use, take).otherwise(F.lit(0))
+    return (in_sum + halo_sum) / (in_cnt + halo_cnt)
 
 
 def rsi_specs(value: str = "close", window: int = 14) -> tuple[list[Ewm], Column]:
     """Wilder RSI as published for the common ``ta`` package: diff -> up/down
     moves (first row 0) -> EWM alpha=1/window, adjust=False, min_periods=window;
     100 when the down average is 0."""
-    delta = F.coalesce(F.col(value) - F.col("_prev"), F.lit(0.0))
-    up = F.greatest(delta, F.lit(0.0))
-    dn = F.greatest(-delta, F.lit(0.0))
-    specs = [Ewm("_rsi_up", up, 1.0 / window, False, window),
-             Ewm("_rsi_dn", dn, 1.0 / window, False, window)]
+    delta = F.coalesce(F.col(value) - F.col("_lag"), F.lit(0.0))
+
+    def first_delta() -> Column:
+        return F.coalesce(F.col("_first") - F.col("_before"), F.lit(0.0))
+
+    specs = [Ewm("_rsi_up", F.greatest(delta, F.lit(0.0)), 1.0 / window, False, window,
+                 lambda: F.greatest(first_delta(), F.lit(0.0))),
+             Ewm("_rsi_dn", F.greatest(-delta, F.lit(0.0)), 1.0 / window, False, window,
+                 lambda: F.greatest(-first_delta(), F.lit(0.0)))]
     up_c, dn_c = F.col("_rsi_up"), F.col("_rsi_dn")
     rsi = (F.when(dn_c.isNull(), F.lit(None).cast("double"))
              .when(dn_c == 0, F.lit(100.0))
@@ -211,10 +241,6 @@ def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: s
     """Bars + ``sma_<n>`` columns, ``rsi`` and ``macd`` (EWM span fast - slow,
     adjust=True, no signal line).  Indicators cross day borders."""
     halo = max([n - 1 for n in sma] + [1])
-    df = add_blocks(bars, key, ts, tie, slice_minutes, sub_rows)
-    df = block_context(df, value, halo, key)
-    for n in sma:
-        df = df.withColumn(f"sma_{n}", rolling_mean(value, n, key))
     specs: list[Ewm] = []
     rsi_col = None
     if rsi:
@@ -223,14 +249,15 @@ def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: s
     if macd:
         fast, slow = macd
         specs += [Ewm.span("_ema_fast", F.col(value), fast), Ewm.span("_ema_slow", F.col(value), slow)]
-    if specs:
-        df = add_ewm(df, specs, key, sub_rows)
+    df = add_blocks(bars, key, ts, tie, slice_minutes, sub_rows)
+    df = blocked_scan(df, value, halo, specs, key, sub_rows)
+    cols = {f"sma_{n}": rolling_mean(value, n, key) for n in sma}
     if rsi:
-        df = df.withColumn("rsi", rsi_col)
+        cols["rsi"] = rsi_col
     if macd:
-        df = df.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow"))
-    helpers = [c for c in df.columns if c.startswith("_")]
-    return df.drop(*helpers)
+        cols["macd"] = F.col("_ema_fast") - F.col("_ema_slow")
+    df = df.withColumns(cols) if cols else df
+    return df.select(*bars.columns, *cols)
 
 
 def ewm_mean(bars: DataFrame, value: str, alpha: float | None = None, span: float | None = None,
@@ -241,6 +268,5 @@ def ewm_mean(bars: DataFrame, value: str, alpha: float | None = None, span: floa
     if alpha is None:
         alpha = 2.0 / (span + 1.0)
     df = add_blocks(bars, key, ts, tie, slice_minutes, sub_rows)
-    df = block_context(df, value, 1, key)
-    df = add_ewm(df, [Ewm(out, F.col(value), alpha, adjust, min_periods)], key, sub_rows)
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+    df = blocked_scan(df, value, 1, [Ewm(out, F.col(value), alpha, adjust, min_periods)], key, sub_rows)
+    return df.select(*bars.columns, out)
