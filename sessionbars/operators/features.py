@@ -56,8 +56,9 @@ def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: st
     """
     if session_hours:
         bars = filters.session_filter(bars, *session_hours, ts=ts)
-    ind = with_indicators(bars, key=key, ts=ts, tie=tie, slice_minutes=slice_minutes)
-    ev = ind.filter(in_hours(ts, *EVENING_HOURS)).withColumn("date", F.to_date(F.col(ts)))
+    ind = with_indicators(bars.drop("date") if "date" in bars.columns else bars, key=key, ts=ts, tie=tie,
+                          slice_minutes=slice_minutes, keep_date=True)
+    ev = ind.filter(in_hours(ts, *EVENING_HOURS))
     entry_fields = ["close", "sma_15", "sma_30", "rsi", "macd"]
     daily = ev.groupBy(key, "date").agg(
         *daily_stat_aggs(ts, tie, cutoff),

@@ -237,9 +237,13 @@ def rsi_specs(value: str = "close", window: int = 14) -> tuple[list[Ewm], Column
 def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
                     value: str = "close", sma: tuple[int, ...] = (15, 30), rsi: int | None = 14,
                     macd: tuple[int, int] | None = (12, 26), slice_minutes: int | None = None,
-                    sub_rows: int = 512) -> DataFrame:
+                    sub_rows: int = 512, keep_date: bool = False) -> DataFrame:
     """Bars + ``sma_<n>`` columns, ``rsi`` and ``macd`` (EWM span fast - slow,
-    adjust=True, no signal line).  Indicators cross day borders."""
+    adjust=True, no signal line).  Indicators cross day borders.
+
+    ``keep_date`` also returns the block date as ``date``: the output is
+    hash-partitioned on (symbol, date), so a following per-day aggregate
+    needs no further shuffle."""
     halo = max([n - 1 for n in sma] + [1])
     specs: list[Ewm] = []
     rsi_col = None
@@ -257,7 +261,8 @@ def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: s
     if macd:
         cols["macd"] = F.col("_ema_fast") - F.col("_ema_slow")
     df = df.withColumns(cols) if cols else df
-    return df.select(*bars.columns, *cols)
+    extra = [F.col("_date").alias("date")] if keep_date else []
+    return df.select(*bars.columns, *cols, *extra)
 
 
 def ewm_mean(bars: DataFrame, value: str, alpha: float | None = None, span: float | None = None,

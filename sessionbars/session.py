@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Let a join whose big side is already hash-partitioned on a subset of the
+    # join keys (bars on (symbol, date) joined to their block table on
+    # (symbol, date, slice, sub)) keep that partitioning and shuffle only the
+    # small side.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
