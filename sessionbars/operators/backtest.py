@@ -128,15 +128,12 @@ def trade_path(trades: DataFrame, bars: DataFrame, key: str = "symbol", ts: str
              .withColumn("date", F.to_date(F.col(ts)))
              .select(key, "date", F.col(ts).alias("bar_ts"), F.col(tie).alias("bar_id"),
                      F.col("close").alias("bar_close")))
+    # the entry price per day is an aggregate (partial, map-side), joined back:
+    # no window over a whole (symbol, day), however many ticks it holds
+    entry = trade_path_stats(bars, key, ts, tie).select(key, "date", F.col("path_entry").alias("entry_price"))
     t = trades.withColumn("date", F.to_date(F.col("datetime")))
-    j = t.join(b, [key, "date"], "inner")
-    w = Window.partitionBy(key, "date")
-    entry = F.min(F.struct(
-        F.abs(F.timestamp_diff("MICROSECOND", F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 20 HOURS"),
-                               F.col("bar_ts"))),
-        F.col("bar_ts"), F.col("bar_id"), F.col("bar_close").alias("c"))).over(w)["c"]
-    return (j.withColumn("entry_price", entry)
-             .withColumn("pnl_pct", pct_change("entry_price", "bar_close") * F.col("position")))
+    j = t.join(b, [key, "date"], "inner").join(entry, [key, "date"], "inner")
+    return j.withColumn("pnl_pct", pct_change("entry_price", "bar_close") * F.col("position"))
 
 
 def backtest(features: DataFrame, bars: DataFrame | None = None, prediction: str = "prediction",

@@ -45,7 +45,7 @@ def week_features(daily: DataFrame, key: str = "symbol", order: str = "datetime"
 def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
                    cutoff: str | None = None, left_exit: bool = False,
                    session_hours: tuple[int, int] | None = (9, 23),
-                   slice_minutes: int | None = None) -> DataFrame:
+                   slice_minutes: int | None = None, raw: bool = False) -> DataFrame:
     """Bars (symbol, ts, id, open, high, low, close, volume) -> one feature row
     per (symbol, trading day) that has an entry bar and an exit bar.
 
@@ -53,6 +53,7 @@ def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: st
                 (the reference aggregates the whole evening: look-ahead).
     left_exit:  keep days without an exit bar (target NULL) — used to score
                 today's row live; the reference drops them.
+    raw:        stop before the fills and the NULL filter (P10/P11).
     """
     if session_hours:
         bars = filters.session_filter(bars, *session_hours, ts=ts)
@@ -83,6 +84,8 @@ def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: st
         pct_change(F.col("e.close"), F.col("x.close")).alias("target"),
     )
     daily = week_features(daily, key)
+    if raw:
+        return daily.select(key, *FEATURE_COLUMNS)
     daily = filters.fill_features(daily)
     cols = [key] + FEATURE_COLUMNS
     daily = daily.select(*cols)

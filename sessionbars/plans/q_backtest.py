@@ -259,3 +259,46 @@ def q_performance_summary_sessions(spark, sf_dir):
 
 
 __all__ = ["us_from"]
+
+
+# --- W04 / W05 / P10 as their own queries ----------------------------------------
+
+_WEEK_SQL = with_ctes(ORDER_DAILY, """wk AS (
+  SELECT symbol, datetime, day_close_current,
+    avg(day_close_current) OVER (PARTITION BY symbol ORDER BY datetime
+                                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS week_avg_close,
+    coalesce(stddev_samp(day_close_current) OVER (PARTITION BY symbol ORDER BY datetime
+                                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 0.0) AS week_volatility,
+    coalesce(CAST(day_close_current > lag(day_close_current, 7) OVER (PARTITION BY symbol ORDER BY datetime)
+                  AS INTEGER), 0) AS week_trend
+  FROM od)""")
+
+
+@register("week_stats", _WEEK_SQL + "\n" + normalized_select(
+    [("symbol", "s"), ("datetime", "t"), ("week_avg_close", "d"), ("week_volatility", "d")], "wk"))
+def q_week_stats(spark, sf_dir):
+    """7-row mean and sample std of the daily close (orders series)."""
+    from sessionbars.operators.features import week_features
+    return week_features(order_daily(spark, sf_dir)).select("symbol", "datetime", "week_avg_close",
+                                                            "week_volatility")
+
+
+@register("week_trend", _WEEK_SQL + "\n" + normalized_select(
+    [("symbol", "s"), ("datetime", "t"), ("week_trend", "i")], "wk"))
+def q_week_trend(spark, sf_dir):
+    """Close above the close 7 rows earlier (orders series)."""
+    from sessionbars.operators.features import week_features
+    return week_features(order_daily(spark, sf_dir)).select("symbol", "datetime", "week_trend")
+
+
+@register("feature_fill", with_ctes(EVENT_BARS, indicator_ctes(), feature_ctes()) + "\n" + normalized_select(
+    [("symbol", "s"), ("datetime", "t"), ("current_sma_15", "d"), ("current_sma_30", "d"),
+     ("current_rsi", "d"), ("current_macd", "d"), ("week_trend", "i")],
+    "feat1 WHERE target IS NOT NULL AND daily_variation IS NOT NULL"))
+def q_feature_fill(spark, sf_dir):
+    """P10: the unfilled feature rows, then SMA -> close, RSI -> 50, MACD -> 0."""
+    from sessionbars.operators.filters import fill_features
+    raw = build_features(event_bars(spark, sf_dir), raw=True)
+    f = fill_features(raw).filter(F.col("target").isNotNull() & F.col("daily_variation").isNotNull())
+    return f.select("symbol", "datetime", "current_sma_15", "current_sma_30", "current_rsi", "current_macd",
+                    "week_trend")
