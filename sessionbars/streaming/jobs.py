@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -97,14 +98,24 @@ def stream_daily_summary(closed: DataFrame, watermark: str = "1 hour", key: str
 
 
 def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_table: str, out: str,
-                   checkpoint: str, balance: float, lookback: int = 1440) -> None:
-    """Each micro-batch appends its bars to ``bar_table``, rebuilds the
-    features on the newest ``lookback`` bars per symbol (today's row kept
-    even without an exit bar), scores the newest row with the rule predictor
-    (MACD at entry) and writes the resulting orders."""
+                   checkpoint: str, balance: float, lookback: int = 1440, history_days: int = 3) -> None:
+    """Each micro-batch appends its bars to ``bar_table`` (partitioned
+    by date), rebuilds the features on the newest ``lookback`` bars per symbol
+    (today's row kept even without an exit bar), scores the newest row with
+    the rule predictor (MACD at entry) and writes the resulting orders.
+
+    Only the last ``history_days`` date partitions are read back (partition
+    pruning), so a batch costs the lookback window, not the whole history;
+    ``history_days`` must cover ``lookback`` bars (3 days hold 1,440 minute
+    bars of a 9-23h session)."""
     def step(batch: DataFrame, batch_id: int) -> DataFrame:
-        batch.write.mode("overwrite").parquet(f"{bar_table}/batch_id={batch_id}")
-        bars = spark.read.parquet(bar_table).drop("batch_id")
+        dated = batch.withColumn("date", F.to_date("ts"))
+        dated.write.mode("overwrite").partitionBy("date").parquet(f"{bar_table}/batch_id={batch_id}")
+        newest = batch.agg(F.max("ts")).first()[0]      # one scalar per micro-batch
+        if newest is None:
+            return None
+        since = (newest - timedelta(days=history_days)).date()
+        bars = spark.read.parquet(bar_table).filter(F.col("date") >= F.lit(since)).drop("batch_id", "date")
         recent = last_n_bars(bars, lookback)
         feats = build_features(recent, left_exit=True).withColumn("prediction", F.col("current_macd"))
         latest = score_latest(feats, "prediction").drop("direction", "confidence")

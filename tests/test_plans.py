@@ -34,3 +34,31 @@ def test_backtest_plan(spark):
     f = build_features(event_bars(spark, SF01)).withColumn("prediction", F.col("current_macd"))
     p = plan(bt.backtest(f, session_bars(spark, SF01)))
     assert "CartesianProduct" not in p and "BatchEvalPython" not in p
+
+
+def test_last_n_limits_before_the_shuffle(spark):
+    from sessionbars.sources.bars import last_n_bars
+    p = plan(last_n_bars(event_bars(spark, SF01), 100))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_block_join_back_keeps_bar_partitioning(spark):
+    """Without broadcast (as at 100 TB), the sort-merge join-back must shuffle
+    only the block table: no exchange of the bars on the sub-block key."""
+    import re
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = build_features(event_bars(spark, SF01))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in p
+    assert not re.search(r"Exchange hashpartitioning\(symbol#\d+, _date#\d+, _sub#\d+", p)
+    # one hash exchange of the bars per branch on (symbol, _date); the daily aggregate reuses it
+    assert not re.search(r"Exchange hashpartitioning\(symbol#\d+, date#\d+", p)
