@@ -4,18 +4,21 @@ Spark has no native as-of join.  The plan is a bucketed two-pass scan, so a
 hot key (one instrument with a third of all quotes) is still spread over
 many tasks:
 
-1. both sides get a time bucket (default: the calendar date of the row);
+1. both sides get a time bucket (calendar day, or hour for dense ticks);
 2. the right side is reduced to its last row per (key, bucket) — a partial
-   aggregate — and a window over that small bucket table per key carries
-   the last right row of any *earlier* bucket forward;
+   aggregate — and laid on a dense per-key calendar from its first bucket to
+   one past its last; a window over that small table (keys x buckets,
+   bounded by the calendar) carries the last right row of any *earlier*
+   bucket forward;
 3. inside each (key, bucket) the two sides are unioned and ordered by time
    (right before left on equal time); ``last(..., ignorenulls)`` over the
-   running frame gives the in-bucket match, the carried row fills the gap
-   at the bucket start.
+   running frame gives the in-bucket match; a left row without one takes the
+   carried row of its bucket (buckets after the last right bucket take the
+   final one).
 
-No pairs are generated: the union is linear in both inputs, and the left
-rows travel through the union whole (as a struct), so nothing is re-joined
-on generated ids.
+No pairs are generated, the left side is read once and travels through the
+union whole (as a struct), and the right side is read twice: once into the
+union, once into a map-side partial aggregate of one row per key-bucket.
 """
 
 from __future__ import annotations
@@ -23,46 +26,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# bucket -> (bucket of a timestamp, next bucket, sequence step or None for days)
+_BUCKETS = {
+    "day": (lambda c: F.to_date(c), lambda c: F.date_add(c, 1), lambda: None),
+    "hour": (lambda c: F.date_trunc("HOUR", c).cast("timestamp_ntz"),
+             lambda c: c + F.expr("INTERVAL 1 HOUR"), lambda: F.expr("INTERVAL 1 HOUR")),
+}
+
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str] | str, left_ts: str, right_ts: str,
-              right_cols: list[str], right_tie: str | None = None,
-              bucket=lambda ts: F.to_date(ts), prefix: str = "") -> DataFrame:
+              right_cols: list[str], right_tie: str | None = None, bucket: str = "day",
+              prefix: str = "") -> DataFrame:
     """LEFT as-of join on ``by`` with ``right_ts <= left_ts`` (inclusive).
 
     Returns every left row plus ``right_cols`` (prefixed) and the matched
     right timestamp ``<prefix>asof_ts`` (NULL when nothing precedes).  Equal
     right timestamps are ordered by ``right_tie`` (the highest wins)."""
     by = [by] if isinstance(by, str) else list(by)
+    to_bucket, next_bucket, make_step = _BUCKETS[bucket]
+    step = make_step()
     out_cols = [f"{prefix}{c}" for c in right_cols] + [f"{prefix}asof_ts"]
     tie = F.col(right_tie).cast("long") if right_tie else F.lit(0).cast("long")
     r = (right.select(*by, F.col(right_ts).alias("_t"), tie.alias("_tie"),
                       *[F.col(c).alias(f"{prefix}{c}") for c in right_cols])
-              .withColumn(f"{prefix}asof_ts", F.col("_t"))
-              .withColumn("_b", bucket(F.col("_t")))
+              .withColumns({f"{prefix}asof_ts": F.col("_t"), "_b": to_bucket(F.col("_t"))})
               .withColumn("_p", F.struct(*[F.col(c) for c in out_cols])))
     p_type = r.schema["_p"].dataType
 
-    # pass 1: last right row per (key, bucket), carried to later buckets
+    # pass 1: last right row per (key, bucket) on a dense calendar, carried forward
     last_in_bucket = r.groupBy(*by, "_b").agg(F.max(F.struct("_t", "_tie", "_p")).alias("_m"))
-    lt = left.withColumn("_b", bucket(F.col(left_ts)))
-    lkeys = lt.select(*by, "_b").distinct()
-    buckets = lkeys.join(last_in_bucket, [*by, "_b"], "full")
+    span = last_in_bucket.groupBy(*by).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
+    seq = (F.sequence("_lo", next_bucket(F.col("_hi"))) if step is None
+           else F.sequence("_lo", next_bucket(F.col("_hi")), step))
+    dense = span.select(*by, "_hi", F.explode(seq).alias("_b"))
     wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (buckets.withColumn("_carry", F.last(F.col("_m._p"), ignorenulls=True).over(wb))
-                    .select(*by, "_b", "_carry"))
+    carry = (dense.join(last_in_bucket, [*by, "_b"], "left")
+                  .withColumn("_carry", F.last(F.col("_m._p"), ignorenulls=True).over(wb))
+                  .select(*by, F.col("_b").alias("_cb"), "_carry"))
+    bounds = span.select(*by, next_bucket(F.col("_hi")).alias("_last_b"))
 
     # pass 2: in-bucket union ordered by (time, right-before-left, tie)
     l_struct = F.struct(*[F.col(c) for c in left.columns])
-    lside = lt.select(*by, "_b", F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
-                      F.lit(None).cast("long").alias("_tie"), l_struct.alias("_l"),
-                      F.lit(None).cast(p_type).alias("_p"))
+    lside = left.select(*by, to_bucket(F.col(left_ts)).alias("_b"), F.col(left_ts).alias("_t"),
+                        F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_tie"), l_struct.alias("_l"),
+                        F.lit(None).cast(p_type).alias("_p"))
     rside = r.select(*by, "_b", "_t", F.lit(0).alias("_side"), "_tie",
                      F.lit(None).cast(lside.schema["_l"].dataType).alias("_l"), "_p")
-    u = lside.unionByName(rside)
     w = Window.partitionBy(*by, "_b").orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    matched = (u.withColumn("_m", F.last("_p", ignorenulls=True).over(w))
-                .filter(F.col("_side") == 1)
-                .join(carry, [*by, "_b"], "left")
-                .withColumn("_m", F.coalesce("_m", "_carry")))
+    matched = (lside.unionByName(rside)
+                    .withColumn("_m", F.last("_p", ignorenulls=True).over(w))
+                    .filter(F.col("_side") == 1)
+                    .join(bounds, by, "left")
+                    .withColumn("_cb", F.least(F.col("_b"), F.col("_last_b")))
+                    .join(carry, [*by, "_cb"], "left")
+                    .withColumn("_m", F.coalesce("_m", "_carry")))
     return matched.select(*[F.col(f"_l.{c}").alias(c) for c in left.columns],
                           *[F.col(f"_m.{c}").alias(c) for c in out_cols])

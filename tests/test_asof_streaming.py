@@ -10,7 +10,11 @@ from sessionbars.operators.asof import asof_join
 from sessionbars.plans import q_execution, q_streaming
 
 
-def test_asof_matches_brute_force(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bucket", ["day", "hour"])
+def test_asof_matches_brute_force(spark, bucket):
     rnd = random.Random(7)
     t0 = datetime(2024, 1, 1)
     left, right = [], []
@@ -25,7 +29,7 @@ def test_asof_matches_brute_force(spark):
     L = spark.createDataFrame(left, "k string, t timestamp_ntz, lid long")
     R = spark.createDataFrame(right, "k string, rt timestamp_ntz, rid long, v double")
     got = {(r["k"], r["lid"]): (r["v"], r["asof_ts"])
-           for r in asof_join(L, R, "k", "t", "rt", ["v"], right_tie="rid").collect()}
+           for r in asof_join(L, R, "k", "t", "rt", ["v"], right_tie="rid", bucket=bucket).collect()}
     assert len(got) == len(left)
     for k, t, lid in left:
         cands = [(rt, rid, v) for (rk, rt, rid, v) in right if rk == k and rt <= t]
