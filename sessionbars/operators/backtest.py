@@ -85,27 +85,42 @@ def portfolio_drawdown(df: DataFrame, key: str = "symbol", order: str = "datetim
                           (F.try_divide(F.col("equity"), F.col("running_max")) - F.lit(1.0)) * F.lit(100.0)))
 
 
+def path_aggs(ts: str = "ts", tie: str = "id", hours: tuple[int, int] = TRADE_HOURS) -> list:
+    """Aggregates over the trade hours of a day: entry close nearest 20:00 and
+    the lowest / highest close with their first time.  Usable inside any
+    ``groupBy(symbol, date)`` over bars (F01 adds them to its own aggregate)."""
+    inside = in_hours(ts, *hours)
+    lo = F.struct(F.col("close").alias("c"), F.col(ts).alias("t"), F.col(tie).alias("i"))
+    hi = F.struct((-F.col("close")).alias("c"), F.col(ts).alias("t"), F.col(tie).alias("i"))
+    return [nearest_pick(ts, tie, TRADE_CLOCK, hours, ["close"])["close"].alias("path_entry"),
+            F.min(F.when(inside, lo)).alias("path_lo"),
+            F.min(F.when(inside, hi)).alias("path_hi")]
+
+
+PATH_COLUMNS = ["path_entry", "path_lo", "path_hi"]
+
+
 def trade_path_stats(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
                      hours: tuple[int, int] = TRADE_HOURS) -> DataFrame:
-    """Per (symbol, date) over the trade hours: entry close nearest 20:00
-    and the lowest / highest close with their first time."""
+    """Per (symbol, date): ``path_aggs`` over the bars of the trade hours."""
     b = bars.filter(in_hours(ts, *hours)).withColumn("date", F.to_date(F.col(ts)))
-    return b.groupBy(key, "date").agg(
-        nearest_pick(ts, tie, TRADE_CLOCK, hours, ["close"])["close"].alias("path_entry"),
-        F.min(F.struct(F.col("close").alias("c"), F.col(ts).alias("t"), F.col(tie).alias("i"))).alias("path_lo"),
-        F.min(F.struct((-F.col("close")).alias("c"), F.col(ts).alias("t"), F.col(tie).alias("i"))).alias("path_hi"),
-    )
+    return b.groupBy(key, "date").agg(*path_aggs(ts, tie, hours))
 
 
-def intra_trade_drawdown(trades: DataFrame, bars: DataFrame, key: str = "symbol",
+def intra_trade_drawdown(trades: DataFrame, bars: DataFrame | None, key: str = "symbol",
                          ts: str = "ts", tie: str = "id") -> DataFrame:
     """Worst floating P&L of each trade during 20-23h of its own date.
 
     Adds max_intra_drawdown_pct / _dollars / time_of_max_drawdown; a trade
-    with no bars, or whose floating P&L never goes below 0, gets 0, 0, NULL."""
-    path = trade_path_stats(bars, key, ts, tie)
-    t = trades.withColumn("date", F.to_date(F.col("datetime")))
-    j = t.join(path, [key, "date"], "left")
+    with no bars, or whose floating P&L never goes below 0, gets 0, 0, NULL.
+    With ``bars=None`` the trades must already carry ``PATH_COLUMNS`` (as
+    ``build_features(with_path=True)`` gives them: no further bar scan)."""
+    if bars is None:
+        j = trades
+    else:
+        path = trade_path_stats(bars, key, ts, tie)
+        t = trades.withColumn("date", F.to_date(F.col("datetime")))
+        j = t.join(path, [key, "date"], "left").drop("date")
     e = F.col("path_entry")
     pos = F.col("position")
     long_side = F.try_divide(pos.cast("double"), e) > 0
@@ -117,7 +132,7 @@ def intra_trade_drawdown(trades: DataFrame, bars: DataFrame, key: str = "symbol"
              .withColumn("max_intra_drawdown_dollars",
                          F.when(neg, pnl * F.lit(DOLLARS_PER_PCT)).otherwise(F.lit(0.0)))
              .withColumn("time_of_max_drawdown", F.when(neg, worst_time))
-             .drop("path_entry", "path_lo", "path_hi", "date"))
+             .drop(*PATH_COLUMNS))
 
 
 def trade_path(trades: DataFrame, bars: DataFrame, key: str = "symbol", ts: str = "ts",
@@ -142,7 +157,8 @@ def backtest(features: DataFrame, bars: DataFrame | None = None, prediction: str
     """Feature rows with a prediction column -> full trade ledger.
 
     ``slice_from`` keeps rows at positions >= int(f*n) (None = all rows).
-    ``bars`` feeds the intra-trade drawdown; without bars it is 0 / NULL."""
+    ``bars`` feeds the intra-trade drawdown; without bars it comes from the
+    features' path columns when present, else it is 0 / NULL."""
     d = features
     if slice_from is not None:
         d = backtest_slice(d, key, start=slice_from)
@@ -150,7 +166,7 @@ def backtest(features: DataFrame, bars: DataFrame | None = None, prediction: str
           .withColumn("actual_change", F.col("target")))
     d = trade_direction(d)
     d = equity_curve(d, key, capital=capital)
-    if bars is not None:
+    if bars is not None or all(c in features.columns for c in PATH_COLUMNS):
         d = intra_trade_drawdown(d, bars, key, ts, tie)
     else:
         d = (d.withColumn("max_intra_drawdown_pct", F.lit(0.0))

@@ -45,7 +45,8 @@ def week_features(daily: DataFrame, key: str = "symbol", order: str = "datetime"
 def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
                    cutoff: str | None = None, left_exit: bool = False,
                    session_hours: tuple[int, int] | None = (9, 23),
-                   slice_minutes: int | None = None, raw: bool = False) -> DataFrame:
+                   slice_minutes: int | None = None, raw: bool = False,
+                   with_path: bool = False) -> DataFrame:
     """Bars (symbol, ts, id, open, high, low, close, volume) -> one feature row
     per (symbol, trading day) that has an entry bar and an exit bar.
 
@@ -54,7 +55,11 @@ def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: st
     left_exit:  keep days without an exit bar (target NULL) — used to score
                 today's row live; the reference drops them.
     raw:        stop before the fills and the NULL filter (P10/P11).
+    with_path:  also return the day's 20-23h path aggregates (entry close and
+                close extremes) for the backtest's intra-trade drawdown, from
+                the same aggregate (no second pass over the bars).
     """
+    from sessionbars.operators.backtest import PATH_COLUMNS, path_aggs
     if session_hours:
         bars = filters.session_filter(bars, *session_hours, ts=ts)
     ind = with_indicators(bars.drop("date") if "date" in bars.columns else bars, key=key, ts=ts, tie=tie,
@@ -65,6 +70,7 @@ def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: st
         *daily_stat_aggs(ts, tie, cutoff),
         nearest_pick(ts, tie, ENTRY_CLOCK, ENTRY_HOURS, entry_fields).alias("e"),
         nearest_pick(ts, tie, EXIT_CLOCK, EXIT_HOURS, ["close"]).alias("x"),
+        *(path_aggs(ts, tie) if with_path else []),
     )
     keep = F.col("e").isNotNull()
     if not left_exit:
@@ -82,13 +88,14 @@ def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: st
         F.col("e.rsi").alias("current_rsi"),
         F.col("e.macd").alias("current_macd"),
         pct_change(F.col("e.close"), F.col("x.close")).alias("target"),
+        *(PATH_COLUMNS if with_path else []),
     )
     daily = week_features(daily, key)
     if raw:
-        return daily.select(key, *FEATURE_COLUMNS)
+        return daily.select(key, *FEATURE_COLUMNS, *(PATH_COLUMNS if with_path else []))
     daily = filters.fill_features(daily)
     cols = [key] + FEATURE_COLUMNS
-    daily = daily.select(*cols)
+    daily = daily.select(*cols, *(PATH_COLUMNS if with_path else []))
     if left_exit:
         return daily.dropna(subset=[c for c in cols if c != "target"])
-    return daily.dropna()
+    return daily.dropna(subset=cols)

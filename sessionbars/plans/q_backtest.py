@@ -24,7 +24,8 @@ from sessionbars.plans.sqlparts import (
 
 
 def session_feature_rows(spark, sf_dir):
-    f = build_features(event_bars(spark, sf_dir))
+    """F01 rows (with the intra-trade path aggregates) + the MACD-sign rule."""
+    f = build_features(event_bars(spark, sf_dir), with_path=True)
     return f.withColumn("prediction", F.col("current_macd"))
 
 
@@ -182,7 +183,7 @@ _EV_ALL_TRADES = with_ctes(*_EV_FEAT, _EV_PATH_BARS, ledger_ctes("src", "sbars",
 @register("backtest_ledger", _EV_LEDGER + "\n" + normalized_select(LEDGER_KINDS, "led"))
 def q_backtest_ledger(spark, sf_dir):
     """Session features -> MACD-sign trades -> 20-column ledger."""
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir))
+    led = bt.backtest(session_feature_rows(spark, sf_dir))
     return bt.ledger_export(led)
 
 
@@ -191,7 +192,7 @@ def q_backtest_ledger(spark, sf_dir):
      ("max_intra_drawdown_dollars", "d"), ("time_of_max_drawdown", "t")], "led"))
 def q_intra_trade_drawdown(spark, sf_dir):
     """A05 over every feature day (150 trades at sf0.01), not just the slice."""
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir), slice_from=None)
+    led = bt.backtest(session_feature_rows(spark, sf_dir), slice_from=None)
     return led.select("symbol", "datetime", "position", "max_intra_drawdown_pct",
                       "max_intra_drawdown_dollars", "time_of_max_drawdown")
 
@@ -227,14 +228,14 @@ ids AS (SELECT symbol,
                          ("avg_intra_dd_pct", "d"), ("avg_intra_dd_dollars", "d"), ("trades_with_dd", "i"),
                          ("pct_trades_with_dd", "d"), ("dd_std", "d")], "ids"))
 def q_intra_dd_summary(spark, sf_dir):
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir), slice_from=None)
+    led = bt.backtest(session_feature_rows(spark, sf_dir), slice_from=None)
     return mt.intra_dd_summary(led)
 
 
 @register("dd_histogram", _hist_sql(_EV_ALL_TRADES, "led", "max_intra_drawdown_pct", 20,
                                     "max_intra_drawdown_pct < 0"))
 def q_dd_histogram(spark, sf_dir):
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir), slice_from=None)
+    led = bt.backtest(session_feature_rows(spark, sf_dir), slice_from=None)
     return mt.histogram(led.filter(F.col("max_intra_drawdown_pct") < 0), "max_intra_drawdown_pct", 20)
 
 
@@ -245,7 +246,7 @@ wt AS (SELECT * FROM (SELECT symbol, datetime, max_intra_drawdown_pct, time_of_m
 """ + normalized_select([("symbol", "s"), ("datetime", "t"), ("max_intra_drawdown_pct", "d"),
                          ("time_of_max_drawdown", "t"), ("rank", "i")], "wt"))
 def q_worst_trades(spark, sf_dir):
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir), slice_from=None)
+    led = bt.backtest(session_feature_rows(spark, sf_dir), slice_from=None)
     return mt.worst_trades(led, 5).select("symbol", "datetime", "max_intra_drawdown_pct",
                                           "time_of_max_drawdown", "rank")
 
@@ -254,7 +255,7 @@ def q_worst_trades(spark, sf_dir):
           normalized_select(SUMMARY_KINDS, "summ2"))
 def q_performance_summary_sessions(spark, sf_dir):
     """A06 on the session backtest (5 trades per symbol at sf0.01)."""
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir))
+    led = bt.backtest(session_feature_rows(spark, sf_dir))
     return mt.performance_summary(led)
 
 

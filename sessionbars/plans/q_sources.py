@@ -119,7 +119,7 @@ def q_bar_profile(spark, sf_dir):
 @register("ledger_export", _EV_LEDGER + "\n" + normalized_select(LEDGER_KINDS, "led"))
 def q_ledger_export(spark, sf_dir):
     """The session ledger written as CSV and read back with its schema."""
-    led = bt.backtest(session_feature_rows(spark, sf_dir), session_bars(spark, sf_dir))
+    led = bt.backtest(session_feature_rows(spark, sf_dir))
     path = scratch_path(spark, "ledger")
     sinks.write_ledger(led, path)
     return sinks.read_ledger(spark, path)
