@@ -16,9 +16,10 @@ runs in *blocks* and is a classic two-phase parallel scan:
   block's EWM sums;
 * phase 2, over the block table (one row per block, per symbol): running row
   offset, the values just before each block (the halo for rolling means and
-  lags), and the EWM carry ``C <- C*q^n + s`` folded over the previous K
-  blocks.  Every block holds at least one row, so blocks older than K weigh
-  <= q^K; K makes that < 2^-57 (below double precision): exact in doubles;
+  lags), and the EWM carry ``C <- C*q^n + s`` folded over the blocks that
+  start within H + sub_rows rows before the block (a range frame on the row
+  offset).  Rows further back weigh <= q^H; H makes that < 2^-57 (below
+  double precision): exact in doubles;
 * one join brings the block context back to the bars.
 
 Values that depend on the previous row (the RSI's price change) are exact
@@ -105,7 +106,7 @@ class Ewm:
 
 
 def carry_blocks(q: float) -> int:
-    """Blocks to fold so that older blocks weigh less than 2^-57 (>= 1 row each)."""
+    """Rows of history after which a weight q^rows is below 2^-57."""
     return int(math.ceil(40.0 / -math.log(q))) + 1
 
 
@@ -172,8 +173,13 @@ def blocked_scan(df: DataFrame, value: str, halo: int, specs: list[Ewm], key: st
         blk = blk.withColumns(firsts)
         blk = blk.withColumns({f"_s{i}": (F.col(f"_s{i}") + F.col(f"_f{i}")) * F.pow(F.lit(s.q), F.col("_n") - 1)
                                for i, s in enumerate(specs)})
-        k = max(carry_blocks(s.q) for s in specs)
-        hist = F.collect_list(F.struct("_n", *[f"_s{i}" for i in range(len(specs))])).over(wb.rowsBetween(-k, -1))
+        # every block that holds a row within `horizon` rows of this block's
+        # start begins at most horizon + sub_rows rows earlier (blocks have at
+        # most sub_rows rows): a range frame on the row offset, so small
+        # blocks (clock slices) do not inflate the fold
+        horizon = max(carry_blocks(s.q) for s in specs) + sub_rows
+        by_offset = Window.partitionBy(key).orderBy("_g0").rangeBetween(-horizon, -1)
+        hist = F.collect_list(F.struct("_n", *[f"_s{i}" for i in range(len(specs))])).over(by_offset)
         blk = blk.withColumn("_hist", hist)
 
         def fold(q: float, field: str):
