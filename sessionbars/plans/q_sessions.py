@@ -149,3 +149,12 @@ def q_session_features_asof(spark, sf_dir):
 
 
 __all__ = ["SESSION_FEATURES_SQL", "session_bars", "F"]
+
+
+@register("macd_hourly_blocks", _IND_SQL + "\n" + normalized_select(
+    [("symbol", "s"), ("ts", "t"), ("id", "i"), ("macd", "d")], "ind"))
+def q_macd_hourly_blocks(spark, sf_dir):
+    """W03 with the hot-day layout: blocks cut by clock hour and every 64 rows
+    (what a dense tick day uses); the result must not change."""
+    ind = with_indicators(session_bars(spark, sf_dir), sma=(), rsi=None, slice_minutes=60, sub_rows=64)
+    return ind.select("symbol", "ts", "id", "macd")

@@ -140,3 +140,19 @@ def test_histogram_counts_every_row(spark, bins):
     df = spark.range(0, 97).select(F.lit("X").alias("symbol"), (F.col("id") * 1.7).alias("v"))
     h = mt.histogram(df, "v", bins).toPandas()
     assert len(h) == bins and h["count"].sum() == 97
+
+
+def test_instrument_files_overlay_defaults_shallowly(spark):
+    import json
+
+    from sessionbars.sources.instruments import load_instruments
+    d = tempfile.mkdtemp(prefix="cfg-")
+    with open(os.path.join(d, "a.json"), "w") as f:
+        json.dump({"symbol": "GER40", "volume": 20.0, "trading_hours": {"start": "19:00"}}, f, indent=2)
+    with open(os.path.join(d, "b.json"), "w") as f:
+        json.dump({"symbol": "US30", "timezone": "US/Eastern"}, f, indent=4)
+    got = {r["symbol"]: r for r in load_instruments(spark, d).collect()}
+    assert got["GER40"]["volume"] == 20.0 and got["GER40"]["max_daily_trades"] == 5
+    # a user trading_hours replaces the whole default struct (no key merge)
+    assert got["GER40"]["trading_hours"]["start"] == "19:00" and got["GER40"]["trading_hours"]["end"] is None
+    assert got["US30"]["trading_hours"]["end"] == "23:00" and got["US30"]["timezone"] == "US/Eastern"
