@@ -177,7 +177,8 @@ def _positions_step(key, pdfs, state, max_daily_trades: int, session_end_hour: i
     the daily limit; close on the first tick touching stop (first) or target;
     close at the last tick of the session when the next event is past the
     session end (or at the timeout)."""
-    pdf = pd.concat(list(pdfs), ignore_index=True) if pdfs is not None else pd.DataFrame()
+    chunks = list(pdfs) if pdfs is not None else []
+    pdf = pd.concat(chunks, ignore_index=True) if chunks else pd.DataFrame(columns=POSITION_EVENT_SCHEMA.names)
     if state.hasTimedOut:
         st = dict(zip(STATE_SCHEMA_NAMES, state.get))
         out = []
@@ -238,10 +239,14 @@ def _close_row(sym, st, ts, reason, price):
 
 def stream_positions(events: DataFrame, max_daily_trades: int = 5, session_end_hour: int = 23,
                      watermark: str = "10 minutes") -> DataFrame:
-    """Signals and ticks of each symbol drive a position state machine
+    """Signals and ticks drive a position state machine
     (``applyInPandasWithState``, event-time timeout at the session end).
-    The per-symbol state is one open position plus the day's trade count;
-    a micro-batch hands each symbol only its rows of that batch."""
+
+    The state is keyed by (symbol, session date): a position never outlives
+    its session and the trade limit is daily, so a key's state is one open
+    position plus the day's trade count, dropped at the session-end timeout.
+    A group therefore never holds more than one symbol-day of a micro-batch,
+    even when history is replayed in one batch."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     from sessionbars.session import ship_package
@@ -251,6 +256,8 @@ def stream_positions(events: DataFrame, max_daily_trades: int = 5, session_end_h
     def fn(key, pdfs, state):
         yield from _positions_step(key, pdfs, state, max_daily_trades, session_end_hour)
 
-    return (events.withWatermark("ets", watermark).groupBy("symbol")
+    return (events.withWatermark("ets", watermark)
+                  .withColumn("session_date", F.to_date("ets"))
+                  .groupBy("symbol", "session_date")
                   .applyInPandasWithState(fn, CLOSED_SCHEMA, STATE_SCHEMA, "append",
                                           GroupStateTimeout.EventTimeTimeout))
