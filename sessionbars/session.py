@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     # (symbol, date, slice, sub)) keep that partitioning and shuffle only the
     # small side.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Streaming state (window aggregates, position keeper) lives in RocksDB,
+    # off the JVM heap, so large state does not pressure executor memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
