@@ -156,3 +156,25 @@ def test_instrument_files_overlay_defaults_shallowly(spark):
     # a user trading_hours replaces the whole default struct (no key merge)
     assert got["GER40"]["trading_hours"]["start"] == "19:00" and got["GER40"]["trading_hours"]["end"] is None
     assert got["US30"]["trading_hours"]["end"] == "23:00" and got["US30"]["timezone"] == "US/Eastern"
+
+
+def test_intra_trade_drawdown_gap_days(spark):
+    bars = bars_df(spark, [
+        ("X", "2024-01-02 20:00:00", 100.0), ("X", "2024-01-02 21:00:00", 98.0),   # long: dips -2 %
+        ("X", "2024-01-02 22:00:00", 99.0),
+        ("X", "2024-01-03 20:00:00", 100.0), ("X", "2024-01-03 21:00:00", 101.0),  # long: never below entry
+        ("X", "2024-01-05 20:00:30", 50.0), ("X", "2024-01-05 23:10:00", 55.0),    # short: worst at 55
+    ])
+    trades = spark.createDataFrame(
+        [("X", datetime(2024, 1, 2, 20), 1), ("X", datetime(2024, 1, 3, 20), 1),
+         ("X", datetime(2024, 1, 4, 20), 1), ("X", datetime(2024, 1, 5, 20), -1)],
+        "symbol string, datetime timestamp_ntz, position int")
+    got = {str(r["datetime"].date()): r for r in bt.intra_trade_drawdown(trades, bars).collect()}
+    d2 = got["2024-01-02"]
+    assert abs(d2["max_intra_drawdown_pct"] + 2.0) < 1e-12 and abs(d2["max_intra_drawdown_dollars"] + 10000.0) < 1e-6
+    assert str(d2["time_of_max_drawdown"]) == "2024-01-02 21:00:00"
+    for day in ("2024-01-03", "2024-01-04"):        # never negative / no bars that day
+        r = got[day]
+        assert (r["max_intra_drawdown_pct"], r["max_intra_drawdown_dollars"], r["time_of_max_drawdown"]) == (0.0, 0.0, None)
+    d5 = got["2024-01-05"]
+    assert abs(d5["max_intra_drawdown_pct"] + 10.0) < 1e-12 and str(d5["time_of_max_drawdown"]) == "2024-01-05 23:10:00"
