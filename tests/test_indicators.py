@@ -32,7 +32,9 @@ def pandas_indicators(pdf: pd.DataFrame) -> pd.DataFrame:
 
 @pytest.fixture(scope="module")
 def bars(spark):
-    return event_bars(spark, SF01).filter(F.hour("ts").between(9, 23)).cache()
+    b = event_bars(spark, SF01).filter(F.hour("ts").between(9, 23)).cache()
+    yield b
+    b.unpersist()
 
 
 def _merge(spark_df, ref):

@@ -23,3 +23,5 @@ def test_train_ensemble_end_to_end(spark):
     assert rows and all(all(v is not None for v in r) for r in rows)
     again = ml.ensemble_average(ml.predict_members(res["members"], test)).select("pred_ensemble").collect()
     assert sorted(r["pred_ensemble"] for r in rows) == sorted(r["pred_ensemble"] for r in again)
+    res["split"].unpersist()
+    feats.unpersist()

@@ -17,6 +17,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def feature_plan(spark):
+    spark.catalog.clearCache()
     return plan(build_features(event_bars(spark, SF01)))
 
 
@@ -46,6 +47,7 @@ def test_block_join_back_keeps_bar_partitioning(spark):
     """Without broadcast (as at 100 TB), the sort-merge join-back must shuffle
     only the block table: no exchange of the bars on the sub-block key."""
     import re
+    spark.catalog.clearCache()
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
