@@ -31,6 +31,18 @@ def q_bars_csv_roundtrip(spark, sf_dir):
     return src.read_bars_csv(spark, path).select("symbol", "ts", "open", "high", "low", "close", "volume")
 
 
+@register("bars_parquet_window", with_ctes(EVENT_BARS) + "\n" + normalized_select(
+    [("id", "i")] + _BAR_KINDS,
+    "bars WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' "
+    "AND symbol IN ('click', 'view')"))
+def q_bars_parquet_window(spark, sf_dir):
+    """Bar store: written partitioned by date, read back for two weeks of two
+    symbols (partition pruning on date, pushed filter on symbol)."""
+    path = scratch_path(spark, "bar-store")
+    src.write_bars_parquet(event_bars(spark, sf_dir), path)
+    return src.read_bars_parquet(spark, path, "2024-01-08", "2024-01-21", ["click", "view"])
+
+
 @register("ts_assembly", with_ctes(EVENT_BARS, """a AS (
   SELECT symbol, id, date_trunc('second', ts) AS ts FROM bars)""") + "\n" +
           normalized_select([("symbol", "s"), ("id", "i"), ("ts", "t")], "a"))

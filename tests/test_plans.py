@@ -64,3 +64,17 @@ def test_block_join_back_keeps_bar_partitioning(spark):
     assert not re.search(r"Exchange hashpartitioning\(symbol#\d+, _date#\d+, _sub#\d+", p)
     # one hash exchange of the bars per branch on (symbol, _date); the daily aggregate reuses it
     assert not re.search(r"Exchange hashpartitioning\(symbol#\d+, date#\d+", p)
+
+
+def test_bar_store_prunes_dates_and_pushes_symbols(spark):
+    import tempfile
+
+    from sessionbars.sources.bars import read_bars_parquet, write_bars_parquet
+    path = tempfile.mkdtemp(prefix="bar-store-")
+    write_bars_parquet(event_bars(spark, SF01), path)
+    df = read_bars_parquet(spark, path, "2024-01-08", "2024-01-09", ["click"])
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in p and "2024-01-08" in p
+    assert "PushedFilters: [In(symbol" in p or "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,click)" in p
+    assert df.count() == event_bars(spark, SF01).filter(
+        (F.to_date("ts").between("2024-01-08", "2024-01-09")) & (F.col("symbol") == "click")).count()
