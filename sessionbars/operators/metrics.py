@@ -125,26 +125,28 @@ def regression_metrics(df: DataFrame, pred: str, actual: str = "target", key: st
 def histogram(df: DataFrame, value: str, bins: int, key: str = "symbol") -> DataFrame:
     """Equal-width bins over [min, max] per symbol, last edge inclusive,
     every bin listed (zero counts included).  min == max: the single value
-    sits in the middle bin of [v-0.5, v+0.5]."""
-    rng = df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    rng = (rng.withColumn("_flat", F.col("_lo") == F.col("_hi"))
-              .withColumn("_lo", F.when(F.col("_flat"), F.col("_lo") - 0.5).otherwise(F.col("_lo")))
-              .withColumn("_hi", F.when(F.col("_flat"), F.col("_hi") + 0.5).otherwise(F.col("_hi"))))
-    # rng has one row per symbol: joining it back is a join with a table
-    # bounded by the number of instruments.
-    b = df.join(rng, key).withColumn(
-        "bin",
-        F.least(F.floor((F.col(value) - F.col("_lo")) * F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))),
-                F.lit(bins - 1)).cast("long"))
-    counts = b.groupBy(key, "bin").agg(F.count(F.lit(1)).cast("long").alias("count"))
-    grid = (rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-               .withColumn("bin", F.col("bin").cast("long")))
+    sits in the middle bin of [v-0.5, v+0.5].
+
+    The input is read once: the range is a window over the symbol's rows
+    (histograms are chart data over trades, one row per trading day), and all
+    bins are counted in one aggregate (one conditional count per bin)."""
+    w = Window.partitionBy(key)
+    lo0, hi0 = F.min(value).over(w), F.max(value).over(w)
+    d = df.select(key, F.col(value).alias("_v"), lo0.alias("_lo0"), hi0.alias("_hi0"))
+    flat = F.col("_lo0") == F.col("_hi0")
+    d = d.withColumns({"_lo": F.when(flat, F.col("_lo0") - 0.5).otherwise(F.col("_lo0")),
+                       "_hi": F.when(flat, F.col("_hi0") + 0.5).otherwise(F.col("_hi0"))})
+    b = F.least(F.floor((F.col("_v") - F.col("_lo")) * F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))),
+                F.lit(bins - 1))
+    d = d.withColumn("_bin", b)
+    agg = d.groupBy(key).agg(F.min("_lo").alias("_lo"), F.min("_hi").alias("_hi"),
+                             F.array(*[F.count(F.when(F.col("_bin") == i, 1)) for i in range(bins)]).alias("_c"))
+    out = agg.select(key, "_lo", "_hi", F.posexplode("_c").alias("bin", "count"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    return (grid.join(counts, [key, "bin"], "left")
-                .select(key, "bin",
-                        (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
-                        (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
-                        F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
+    return out.select(key, F.col("bin").cast("long").alias("bin"),
+                      (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
+                      (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
+                      F.col("count").cast("long").alias("count"))
 
 
 def correct_wrong_split(ledger: DataFrame, key: str = "symbol") -> DataFrame:
