@@ -157,15 +157,24 @@ def correct_wrong_split(ledger: DataFrame, key: str = "symbol") -> DataFrame:
         F.avg("predictions").alias("avg_predicted"))
 
 
-def bar_profile(raw: DataFrame, kept: DataFrame, key: str = "symbol", ts: str = "ts") -> DataFrame:
-    """Rows in, rows kept, first / last timestamp and the kept ratio."""
-    a = raw.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("rows_in"))
-    b = kept.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("rows_out"),
-                              F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
-    j = a.join(b, key, "left")
-    return j.select(key, "rows_in", F.coalesce("rows_out", F.lit(0)).cast("long").alias("rows_out"),
-                    "first_ts", "last_ts",
-                    (F.coalesce("rows_out", F.lit(0)) / F.col("rows_in") * F.lit(100.0)).alias("kept_pct"))
+def bar_profile(raw: DataFrame, kept, key: str = "symbol", ts: str = "ts") -> DataFrame:
+    """Rows in, rows kept, first / last kept timestamp and the kept share.
+
+    ``kept`` is the keep condition (a Column: one pass over ``raw``) or the
+    kept DataFrame (two aggregates joined on the symbol)."""
+    if isinstance(kept, Column):
+        agg = raw.groupBy(key).agg(
+            F.count(F.lit(1)).cast("long").alias("rows_in"),
+            F.count(F.when(kept, 1)).cast("long").alias("rows_out"),
+            F.min(F.when(kept, F.col(ts))).alias("first_ts"),
+            F.max(F.when(kept, F.col(ts))).alias("last_ts"))
+    else:
+        a = raw.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("rows_in"))
+        b = kept.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("rows_out"),
+                                  F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+        agg = a.join(b, key, "left").withColumn("rows_out", F.coalesce("rows_out", F.lit(0)).cast("long"))
+    return agg.select(key, "rows_in", "rows_out", "first_ts", "last_ts",
+                      (F.col("rows_out") / F.col("rows_in") * F.lit(100.0)).alias("kept_pct"))
 
 
 def worst_trades(ledger: DataFrame, k: int = 5, key: str = "symbol",

@@ -11,7 +11,6 @@ from sessionbars.sources import bars as src
 from sessionbars.sources import instruments, sinks
 from sessionbars.plans.adapters import event_bars, table
 from sessionbars.plans.q_backtest import _EV_LEDGER, session_feature_rows
-from sessionbars.plans.q_sessions import session_bars
 from sessionbars.plans.registry import register
 from sessionbars.plans.sqlparts import EVENT_BARS, LEDGER_KINDS, normalized_select, with_ctes
 
@@ -125,7 +124,8 @@ p AS (SELECT i.symbol, rows_in, coalesce(rows_out, 0) AS rows_out, first_ts, las
                              ("last_ts", "t"), ("kept_pct", "d")], "p"))
 def q_bar_profile(spark, sf_dir):
     """Rows before / after the session filter, time range, kept share."""
-    return mt.bar_profile(event_bars(spark, sf_dir), session_bars(spark, sf_dir))
+    hour = F.hour("ts")
+    return mt.bar_profile(event_bars(spark, sf_dir), (hour >= 9) & (hour <= 23))
 
 
 @register("ledger_export", _EV_LEDGER + "\n" + normalized_select(LEDGER_KINDS, "led"))

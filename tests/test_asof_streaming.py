@@ -3,7 +3,6 @@
 from datetime import datetime, timedelta
 import random
 
-from pyspark.sql import functions as F
 
 from conftest import SF01
 from sessionbars.operators.asof import asof_join
