@@ -1,17 +1,15 @@
 """As-of join vs brute force, and streaming jobs vs their batch twins."""
 
-from datetime import datetime, timedelta
 import random
+from datetime import datetime, timedelta
 
+import pytest
 
 from conftest import SF01
 from sessionbars.operators.asof import asof_join
 from sessionbars.plans import q_execution, q_streaming
 
 
-import pytest
-
-
 @pytest.mark.parametrize("bucket", ["day", "hour"])
 def test_asof_matches_brute_force(spark, bucket):
     rnd = random.Random(7)
