@@ -21,6 +21,9 @@ table gives no rows.
 
 from __future__ import annotations
 
+import re
+import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -34,17 +37,18 @@ from sessionbars.llm.common import prepare, save, texts_of, worker_cache
 
 SEQUENCE = 4096
 END_ID = 1
-CACHE_WORDS = 400_000
-_TAIL = ".,!?;:"
+#: Words that a worker keeps; past it the cache starts anew.
+CACHE_WORDS = 500_000
 
 
 class WordEncoder:
-    """Ids of whole texts from a tokenizer that drops white space.
+    """Ids of whole texts from a tokenizer that drops white space and case.
 
     Such a tokenizer cuts at white space before anything else, so a text's ids
     are those of its blank-separated chunks in a row, and a chunk that is
-    letters plus closing punctuation is those two in a row.  Frequent chunks
-    come from a bounded cache.
+    letters plus closing punctuation is those two in a row.  A batch of texts
+    is looked up in a small table of its own, filled from a bounded cache of
+    words and, for the rest, by encoding many new words at once.
     """
 
     def __init__(self, path: str):
@@ -54,57 +58,63 @@ class WordEncoder:
         vocab = self.tok.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.chunk: dict[str, bytes] = {"": b""}
-        self.word: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {"": b""}
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> None:
-        """Add words of letters only: encoded in one go, cut at word ends."""
+        """Keep words of letters only: encoded in one go, cut at word ends."""
         got = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closes[got]) + 1
         if len(ends) == len(words) and (not len(got) or ends[-1] == len(got)):
-            raw, at = got.tobytes(), 0
-            for w, e in zip(words, (ends * 4).tolist()):
-                self.word[w] = raw[at:e]
-                at = e
+            raw, cuts = got.tobytes(), (ends * 4).tolist()
+            self.kept.update(zip(words, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
         else:
-            for w in words:
-                self.word[w] = self.ids(w)
-
-    def learn(self, chunks: set[str]) -> None:
-        miss = [c for c in chunks if c not in self.chunk]
-        if not miss:
-            return
-        if len(self.chunk) + len(miss) > 2 * CACHE_WORDS:
-            self.chunk = {"": b""}
-            miss = list(chunks - {""})
-        if len(self.word) > CACHE_WORDS:
-            self.word = {}
-        parts = []
-        for c in miss:
-            core = c.rstrip(_TAIL)
-            if core.isalpha():
-                parts.append((c, core.lower() if core.isascii() else core, c[len(core) :]))
-            else:
-                self.chunk[c] = self.ids(c)
-        new = list({w for _, w, _ in parts if w not in self.word})
+            self.kept.update((w, self.ids(w)) for w in words)
+
+    def table(self, chunks: set[str]) -> dict[str, bytes]:
+        if len(self.kept) > CACHE_WORDS:
+            self.kept = {"": b""}
+        kept = self.kept
+        out = dict(zip(chunks, map(kept.get, chunks)))
+        miss = [c for c, ids in out.items() if ids is None]
+        cores = [c.rstrip(string.punctuation) for c in miss]
+        new = list({w for w in cores if w not in kept and w.isalpha()})
         for i in range(0, len(new), 20_000):
             self._words(new[i : i + 20_000])
-        for c, w, tail in parts:
-            if tail and tail not in self.chunk:
-                self.chunk[tail] = self.ids(tail)
-            self.chunk[c] = self.word[w] + (self.chunk[tail] if tail else b"")
+        kept = self.kept
+        for c, core in zip(miss, cores):
+            ids = kept.get(core) if core.isalpha() else None
+            if ids is None:  # digits, symbols, marks: the chunk as it is
+                ids = kept[c] = self.ids(c)
+            elif len(c) > len(core):
+                tail = c[len(core) :]
+                if tail not in kept:
+                    kept[tail] = self.ids(tail)
+                ids = kept[c] = ids + kept[tail]
+            out[c] = ids
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*split))
-        get = self.chunk.__getitem__
+        split = [_plain(t).split(" ") for t in texts]
+        get = self.table(set().union(*split)).__getitem__
         for chunks in split:
             yield b"".join(map(get, chunks))
 
 
+#: Two symbols in a row are one unit to the tokenizer; nothing may be put between them.
+_RUN = re.compile(r"[^\w \n]{2}|_")
+
+
+def _plain(t: str) -> str:
+    """Blanks for line ends, lower case where Python's is surely the
+    tokenizer's, and stops set apart where every symbol stands alone."""
+    safe = "<|" not in t and (t.isascii() or ("\u03a3" not in t and "\u0130" not in t and unicodedata.is_normalized("NFC", t)))
+    t = (t.lower() if safe else t).replace("\n", " ")
+    return t if _RUN.search(t) else t.replace(".", " .").replace(",", " ,")
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids with the
     closing id, cut into pieces of at most ``capacity``."""
@@ -115,9 +125,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_
         enc = worker_cache(f"words:{tokenizer}", lambda: WordEncoder(tokenizer))
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo in range(0, len(ids), 250):
+            for lo in range(0, len(ids), 500):
                 rows = []
-                for d, raw in zip(ids[lo : lo + 250], enc.encode([t or "" for t in texts[lo : lo + 250]])):
+                for d, raw in zip(ids[lo : lo + 500], enc.encode([t or "" for t in texts[lo : lo + 500]])):
                     raw += end
                     for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                         part = raw[at : at + 4 * capacity]

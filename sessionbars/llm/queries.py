@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionbars.llm import fingerprint, packing, voronoi, warc
+from sessionbars.llm import fingerprint, packing, quality, toxicity, voronoi, warc
 from sessionbars.llm.common import table
 
 QUERIES: dict = {}
@@ -29,6 +29,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document by its labelled neighbours."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, tokenised, packed into sequences of 4096 tokens."""
@@ -51,3 +57,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hundredth vector's ten best inner products among all others."""
     return voronoi.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document by the convolutional network."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
