@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionbars.llm import fingerprint, packing, quality, toxicity, voronoi, warc
+from sessionbars.llm import fingerprint, packing, quality, spm, superminhash, toxicity, voronoi, warc
 from sessionbars.llm.common import table
 
 QUERIES: dict = {}
@@ -53,6 +53,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.archive_pages(table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents encoded, decoded and compared."""
+    return spm.encode_documents(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+@query("op7_superminhash_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups on 3-word shingles at 85 per cent."""
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 85)
+
+
 @query("op8_voronoi_top_k", voronoi.ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hundredth vector's ten best inner products among all others."""
