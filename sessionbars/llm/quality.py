@@ -30,7 +30,7 @@ MARKS = 16
 DIMS = 48
 NEIGHBOURS = 15
 #: Labelled vectors per class, which bounds the broadcast.
-PER_CLASS = (2000, 3000)
+PER_CLASS = (1500, 2000)
 KEEP = 0.7
 
 
@@ -92,7 +92,7 @@ class Space:
         df = (m > 0).sum(0)
         self.weight = (np.log((1 + len(texts)) / (1 + df)) + 1).astype(np.float32) * (df > 0)
         self.weight[TERMS:] *= 1.5
-        m = m * self.weight
+        m *= self.weight
         rng = np.random.default_rng(seed)  # randomised range finder with two power steps
         q = rng.standard_normal((m.shape[1], min(dims + 8, *m.shape))).astype(np.float32)
         for _ in range(3):
