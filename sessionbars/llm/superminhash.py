@@ -13,9 +13,8 @@ band are candidates:
 
 1. each class against the band's least one (a star, never all pairs), and
    links are grouped by union-find;
-2. then, only in bands that still hold more than one group, classes of
-   different groups against each other, unless sizes or the distances to the
-   band's least class (Jaccard distance is a metric) rule a link out.
+2. then the classes of bands that still hold more than one group, by an exact
+   prefix filter over their rarest shingles, against those of other groups.
 
 So every candidate pair is verified, known to be in one group already, or
 proven no link.  Links are confirmed on the full shingle sets in integers.
@@ -33,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionbars.llm.common import prepare, save, text_chunks, texts_of
@@ -136,6 +135,35 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     return full.mapInArrow(run, "a long, b long, inter long, uni long")
 
 
+def open_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of open documents (doc_id, component) of different components
+    that can still be linked.
+
+    A document's shingles are ordered from rare to common among the open ones.
+    Linked sets of sizes n and m share at least percent * n / 100 elements, so
+    they share one of the n - ceil(percent * n / 100) + 1 rarest of either
+    (prefix filtering).  For each such shingle, only documents outside its most
+    frequent component are paired, with those of other components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, c, t in zip(*(batch.column(j).to_pylist() for j in range(3))):
+                h, _ = _sets([t.encode()], k)
+                n = len(h)
+                yield pa.record_batch([pa.array(np.full(n, i)), pa.array(np.full(n, c)), pa.array(np.full(n, n)), pa.array(h.view(np.int64))], names=["doc_id", "component", "n", "s"])
+
+    every = save(open_.join(texts, "doc_id").select("doc_id", "component", "text").mapInArrow(run, "doc_id long, component long, n long, s long"), "open")
+    seen = every.groupBy("s").agg(F.count(F.lit(1)).alias("seen"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("seen", "s"))
+    first = every.join(seen, "s").withColumn("place", place).filter(F.col("place") <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1)
+    first = save(first.filter("seen > 1").select("s", "doc_id", "component", "n"), "prefixes")
+    main = first.groupBy("s", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("s").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    x = first.join(main.select("s", "main"), "s").filter("component <> main").select("s", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "component", "n")])
+    y = first.select("s", *[F.col(c).alias(f"{c}_y") for c in ("doc_id", "component", "n")])
+    pairs = x.join(y, "s").filter((F.col("component_x") != F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+    return pairs.select(F.greatest("doc_id_x", "doc_id_y").alias("a"), F.least("doc_id_x", "doc_id_y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept.  Texts are linked if
     100 * |intersection| >= percent * |union|."""
@@ -165,16 +193,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     # bands that still hold several groups
     known = live.join(label.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     apart = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo < hi and n > 2").select("key")
-    far = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("inter") / F.col("uni")).alias("far"))
-    open_ = known.join(apart, "key", "left_semi").filter("doc_id <> hub")
-    open_ = open_.join(far, (open_["doc_id"] == far["_a"]) & (open_["hub"] == far["_b"]), "left").select("key", "doc_id", "n_shingles", "component", "far")
-    open_ = save(open_, "open")
-    x, y = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "n_shingles", "component", "far")]) for s in "xy")
-    # an untested distance rules nothing out
-    near = F.coalesce(F.abs(F.col("far_x") - F.col("far_y")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    more = (x.join(y, "key").filter((F.col("doc_id_x") > F.col("doc_id_y")) & (F.col("component_x") != F.col("component_y")) & fits("n_shingles_x", "n_shingles_y") & near)
-            .select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct())
-    more = save(verify(more, texts, shingle), "tested-more").filter(linked).select("a", "b")
+    open_ = known.join(apart, "key", "left_semi").select("doc_id", "component").distinct()
+    more = save(verify(open_pairs(open_, texts, shingle, percent), texts, shingle), "tested-more").filter(linked).select("a", "b")
     if not more.isEmpty():
         label = components(links.unionByName(more))
 
