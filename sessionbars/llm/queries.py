@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionbars.llm import fingerprint, packing, quality, spm, superminhash, toxicity, voronoi, warc
+from sessionbars.llm import fingerprint, packing, quality, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
 from sessionbars.llm.common import table
 
 QUERIES: dict = {}
@@ -53,6 +53,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.archive_pages(table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 50-byte strings cut from all but the first document."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op6_sentencepiece")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents encoded, decoded and compared."""
