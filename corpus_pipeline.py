@@ -1,3 +1,74 @@
+"""A corpus pipeline of five stages over ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns the rows it keeps; ``run``
+writes each stage's result as Parquet into the shared folder and reads it again
+as the next stage's input.  All stages but the last return the columns of
+documents, extra ones included.  A null text is judged as an empty one; a row
+without doc_id is judged by its text alone and is no near duplicate; an empty
+table stays empty.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sessionbars.llm import packing, quality, suffix_dedup, superminhash, toxicity
+from sessionbars.llm.common import filter_by_score, save, table
+from sessionbars.llm.queries import WORD_BPE
+
+#: No SQL states the classifiers, so the pipeline is tested against brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir): ...
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return docs if net is None else filter_by_score(docs, net.scores, lambda s: s < 0.5, size=128)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    space = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return docs if space is None else filter_by_score(docs, space.scores, lambda s: s >= quality.KEEP)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, and rows without an id."""
+    gone = superminhash.near_duplicates(docs, 5, 80).filter("doc_id is not null and not kept")
+    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated 50-byte strings are cut from the texts; n_chars follows.  Null
+    texts stay null; rows of one doc_id are taken for repeated rows."""
+    cut = suffix_dedup.remove_repeats(docs, with_text=True)
+    cut = cut.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_text"))
+    rest = docs.withColumn("_null", F.col("text").isNull()).drop("text")
+    joined = rest.join(cut, rest["doc_id"].cast("long").eqNullSafe(cut["_id"]), "left")
+    text = F.when(~F.col("_null"), F.col("_text"))
+    new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
+    return joined.select(*[new[c] if c in new else rest[c] for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining texts as sequences of 4096 tokens."""
+    return packing.pack_documents(docs, WORD_BPE, weights=(1.0, 1e-3, 1e-3))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("quality classifier", good_quality),
+    ("MinHash near-dedup", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
+    ("best-fit packing", packed),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -84,3 +84,19 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) ->
             size += len(t)
         if texts:
             yield ids[lo:], texts
+
+
+def filter_by_score(docs: DataFrame, scores, keep, text_col: str = "text", size: int = 512) -> DataFrame:
+    """Rows of docs for which ``keep(score of the text)`` holds, all columns as
+    they are.  ``scores`` maps a list of UTF-8 texts to an array; no shuffle."""
+    prepare(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, size):
+                part = batch.slice(lo, size)
+                texts = [(t or "").encode() for t in part.column(at).cast(pa.string()).to_pylist()]
+                yield part.filter(pa.array(keep(scores(texts))))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionbars.llm import fingerprint, packing, quality, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
+from sessionbars.llm import chaining, fingerprint, packing, quality, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
 from sessionbars.llm.common import table
 
 QUERIES: dict = {}
@@ -77,6 +77,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query("op9_collinear_passages")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages, exact or fuzzy, that documents share with earlier ones."""
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document by the convolutional network."""

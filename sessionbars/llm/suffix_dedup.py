@@ -372,7 +372,7 @@ def covered(size: int, starts: np.ndarray, counts: np.ndarray, length: int) -> t
 
 def _cut(length: int, with_text: bool) -> Callable:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])]
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+    kinds = [pa.int64()] * 4 + [pa.string(), pa.string()]
 
     def run(texts: pa.Table, spans: pa.Table) -> pa.Table:
         rows = []
@@ -388,7 +388,7 @@ def _cut(length: int, with_text: bool) -> Callable:
                     at = b
                 kept = b"".join([*left, raw[at:]])
                 i = int(t.ids[r])
-                rows.append((None if i == LAST else i, len(raw), len(raw) - len(kept), len(lo), hashlib.sha256(kept).hexdigest(), kept)[: len(names)])
+                rows.append((None if i == LAST else i, len(raw), len(raw) - len(kept), len(lo), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"))[: len(names)])
         cols = list(zip(*rows)) or [()] * len(names)
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
@@ -396,14 +396,15 @@ def _cut(length: int, with_text: bool) -> Callable:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept text if asked for
+    (what is left of a character that was cut in half is dropped from it)."""
     spark = docs.sparkSession
     prepare(spark)
     seed = min(seed, length)
     docs = texts_of(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(spark)
-    buckets, shards = max(n, -(-size // BUCKET_BYTES)), 2 * n
+    buckets, shards = max(n, -(-size // BUCKET_BYTES)), n
     name = f"llm_texts_{uuid.uuid4().hex[:12]}"
     cut = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(buckets)).cast("int"))
     (cut.repartition(n, "bucket").write.bucketBy(n, "bucket").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))
@@ -421,5 +422,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     found = narrow(beside(shared, _entries(length, seed, shards)), _resolve(shards), "runs")
     last = narrow(beside(found.filter(F.col("kind") == OPEN), _bytes(length, shards)), _settle(length), "windows")
     spans = found.filter(F.col("kind") == SPAN).unionByName(last)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
     return beside(spans, _cut(length, with_text), schema)

@@ -13,8 +13,10 @@ band are candidates:
 
 1. each class against the band's least one (a star, never all pairs), and
    links are grouped by union-find;
-2. then the classes of bands that still hold more than one group, by an exact
-   prefix filter over their rarest shingles, against those of other groups.
+2. then, in bands that still hold more than one group, against a random one of
+   the largest group;
+3. then what is left in such bands, by an exact prefix filter over the rarest
+   shingles, against those of other groups.
 
 So every candidate pair is verified, known to be in one group already, or
 proven no link.  Links are confirmed on the full shingle sets in integers.
@@ -156,11 +158,14 @@ def open_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     seen = every.groupBy("s").agg(F.count(F.lit(1)).alias("seen"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("seen", "s"))
     first = every.join(seen, "s").withColumn("place", place).filter(F.col("place") <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1)
-    first = save(first.filter("seen > 1").select("s", "doc_id", "component", "n"), "prefixes")
+    first = save(first.filter("seen > 1").select("s", "doc_id", "component", "n", "place"), "prefixes")
     main = first.groupBy("s", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("s").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    x = first.join(main.select("s", "main"), "s").filter("component <> main").select("s", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "component", "n")])
-    y = first.select("s", *[F.col(c).alias(f"{c}_y") for c in ("doc_id", "component", "n")])
-    pairs = x.join(y, "s").filter((F.col("component_x") != F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+    x = first.join(main.select("s", "main"), "s").filter("component <> main").select("s", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "component", "n", "place")])
+    y = first.select("s", *[F.col(c).alias(f"{c}_y") for c in ("doc_id", "component", "n", "place")])
+    # if this is their first common one, they can share no more than what is left of either
+    left = 1 + F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    enough = left * (100 + percent) >= percent * (F.col("n_x") + F.col("n_y"))
+    pairs = x.join(y, "s").filter(enough & (F.col("component_x") != F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
     return pairs.select(F.greatest("doc_id_x", "doc_id_y").alias("a"), F.least("doc_id_x", "doc_id_y").alias("b")).distinct()
 
 
@@ -191,9 +196,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     label = components(links)
 
     # bands that still hold several groups
-    known = live.join(label.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    apart = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo < hi and n > 2").select("key")
-    open_ = known.join(apart, "key", "left_semi").select("doc_id", "component").distinct()
+    def opened() -> tuple[DataFrame, DataFrame]:
+        known = live.join(label.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("h"), "doc_id", "n_shingles")).alias("one"))
+        main = sizes.groupBy("key").agg(F.max_by("one", F.struct("c", "component")).alias("one"), F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("groups"))
+        return known, main.filter("groups > 1 and n > 2").select("key", "main", "one.doc_id", "one.n_shingles")
+
+    # first against a random one of the band's largest group, which takes in most of them
+    known, main = opened()
+    main = main.select("key", "main", F.col("doc_id").alias("pivot"), F.col("n_shingles").alias("pivot_n"))
+    near = known.join(main, "key").filter((F.col("component") != F.col("main")) & fits("n_shingles", "pivot_n")).select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    more = save(verify(near, texts, shingle), "tested-pivots").filter(linked).select("a", "b")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        label = components(links)
+        known, main = opened()
+    open_ = known.join(main.select("key"), "key", "left_semi").select("doc_id", "component").distinct()
     more = save(verify(open_pairs(open_, texts, shingle, percent), texts, shingle), "tested-more").filter(linked).select("a", "b")
     if not more.isEmpty():
         label = components(links.unionByName(more))
