@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sessionbars.functions.columns import confidence as confidence_col
 from sessionbars.functions.columns import predicted_direction
 from sessionbars.operators.asof import asof_join
+from sessionbars.operators.filters import in_trading_time
 from sessionbars.operators.sessions import in_hours
 
 # Fixed values of the reference's broker and sizing arithmetic.
@@ -52,9 +53,10 @@ def position_size(df: DataFrame, balance: Column | float, ask: str = "ask",
         return x if isinstance(x, Column) else F.lit(x)
     risk = c(balance) * (c(risk_pct) / 100)
     raw = F.try_divide(risk, F.col(ask) * (c(sl_pct) / 100) * F.lit(POINT_VALUE))
-    vol = F.bround(F.greatest(raw, F.lit(MIN_VOLUME)), 1)
+    # without a price there is no size (greatest would skip the null), and margin_check rejects it
+    vol = F.when(raw.isNotNull(), F.bround(F.greatest(raw, F.lit(MIN_VOLUME)), 1))
     return (df.withColumn("risk_amount", risk)
-              .withColumn("volume", F.least(vol, c(max_volume))))
+              .withColumn("volume", F.when(vol.isNotNull(), F.least(vol, c(max_volume)))))
 
 
 def margin_check(df: DataFrame, balance: Column | float, order_type: str = "direction",
@@ -66,6 +68,7 @@ def margin_check(df: DataFrame, balance: Column | float, order_type: str = "dire
     known = side.isin("BUY", "SELL")
     margin = F.col(volume) * F.col(price) * F.lit(MARGIN_RATE)
     err = (F.when(~known, F.lit("invalid order type"))
+            .when(F.col(volume).isNull(), F.lit("invalid volume"))
             .when(margin > bal, F.lit("insufficient margin")))
     return (df.withColumn("required_margin", margin)
               .withColumn("success", err.isNull())
@@ -124,15 +127,18 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
     """The first bar after entry (same date, within ``hours``) whose low
     reaches the stop (long) / whose high reaches it (short), or that reaches
     the target; both in one bar -> stop first.  No hit -> the last bar's close
-    (session end).  Trades need: key, entry_ts, position_type, entry_price,
-    stop_loss, take_profit, volume.
+    (session end).  A trade without a later bar is closed where it was opened
+    (NO_BAR).  Trades need: key, entry_ts, position_type, entry_price,
+    stop_loss, take_profit, volume; equal trades stay separate.
 
     One trade per (symbol, date) in the callers, so the equi-join on
     (symbol, date) is linear in the bars; the first hit is a min(struct)."""
     b = (bars.filter(in_hours(ts, *hours)).withColumn("_d", F.to_date(F.col(ts)))
              .select(key, "_d", F.col(ts).alias("_bt"), F.col(tie).alias("_bi"), "high", "low", "close"))
-    t = trades.withColumn("_d", F.to_date(F.col(entry_ts)))
-    j = t.join(b, [key, "_d"], "inner").filter(F.col("_bt") > F.col(entry_ts))
+    # an id only has to be unique within one run of the aggregate below
+    t = trades.withColumns({"_d": F.to_date(F.col(entry_ts)), "_trade": F.monotonically_increasing_id()})
+    later = (t[key] == b[key]) & (t["_d"] == b["_d"]) & (F.col("_bt") > F.col(entry_ts))
+    j = t.join(b, later, "left").drop(b[key], b["_d"])
     long_ = F.col("position_type") == "LONG"
     sl_hit = F.when(long_, F.col("low") <= F.col("stop_loss")).otherwise(F.col("high") >= F.col("stop_loss"))
     tp_hit = F.when(long_, F.col("high") >= F.col("take_profit")).otherwise(F.col("low") <= F.col("take_profit"))
@@ -140,16 +146,17 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
     level = F.when(sl_hit, F.col("stop_loss")).when(tp_hit, F.col("take_profit"))
     hit = F.when(reason.isNotNull(), F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"),
                                                reason.alias("reason"), level.alias("price")))
-    agg = j.groupBy(*[c for c in trades.columns]).agg(
+    agg = j.groupBy(key, "_d", "_trade", *[c for c in trades.columns if c != key]).agg(
         F.min(hit).alias("_hit"),
-        F.max(F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"), F.col("close").alias("price"))).alias("_end"))
-    px = F.coalesce(F.col("_hit.price"), F.col("_end.price"))
+        F.max(F.when(F.col("_bt").isNotNull(), F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"), F.col("close").alias("price")))).alias("_end"))
+    px = F.coalesce(F.col("_hit.price"), F.col("_end.price"), F.col("entry_price"))
     pts = F.when(long_, px - F.col("entry_price")).otherwise(F.col("entry_price") - px)
-    return (agg.withColumn("exit_ts", F.coalesce(F.col("_hit.t"), F.col("_end.t")))
-               .withColumn("exit_reason", F.coalesce(F.col("_hit.reason"), F.lit("SESSION_END")))
+    ended = F.when(F.col("_end").isNull(), F.lit("NO_BAR")).otherwise(F.lit("SESSION_END"))
+    return (agg.withColumn("exit_ts", F.coalesce(F.col("_hit.t"), F.col("_end.t"), F.col(entry_ts)))
+               .withColumn("exit_reason", F.coalesce(F.col("_hit.reason"), ended))
                .withColumn("exit_price", px)
                .withColumn("profit", pts * F.lit(POINT_VALUE) * F.col("volume"))
-               .drop("_hit", "_end"))
+               .drop("_hit", "_end", "_d", "_trade"))
 
 
 def broadcast_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -189,10 +196,7 @@ def order_signals(signals: DataFrame, cfg: DataFrame, balance: float, key: str =
     s = instrument_join(signals, cfg, key)
     start, end = F.col("trading_hours.start"), F.col("trading_hours.end")
 
-    def hms(c):
-        return F.when(F.length(c) == 5, F.concat(c, F.lit(":00"))).otherwise(c)
-    tod = F.date_format(F.col(local_ts), "HH:mm:ss")
-    s = s.withColumn("in_session", (F.weekday(F.col(local_ts)) < 5) & (tod >= hms(start)) & (tod <= hms(end)))
+    s = s.withColumn("in_session", in_trading_time(local_ts, start, end))
     s = confidence_gate(s, pred, F.col("min_confidence"))
     s = s.filter(F.col("in_session") & F.col("tradable"))
     w = Window.partitionBy(key, F.to_date(F.col(local_ts))).orderBy(F.col(ts))

@@ -70,10 +70,14 @@ def resolve_tz(name: str) -> str:
 
 
 def tz_name_column(name_col) -> Column:
-    """P08 as a column: alias map applied row-wise (for per-instrument configs)."""
+    """P08 as a column: alias map applied row-wise (for per-instrument configs);
+    a name that is no known zone falls back to the default, like ``resolve_tz``."""
+    from zoneinfo import available_timezones
+
     c = F.col(name_col) if isinstance(name_col, str) else name_col
     mapping = F.create_map(*[x for kv in TZ_ALIASES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    return F.coalesce(F.try_element_at(mapping, F.lower(c)), c)
+    known = F.when(c.isin(sorted(available_timezones())), c)
+    return F.coalesce(F.try_element_at(mapping, F.lower(c)), known, F.lit(DEFAULT_TZ))
 
 
 def to_trading_tz(df: DataFrame, ts: str = "ts", tz_col: str | None = None, tz: str = DEFAULT_TZ,
@@ -85,14 +89,18 @@ def to_trading_tz(df: DataFrame, ts: str = "ts", tz_col: str | None = None, tz:
 
 def trading_time_gate(df: DataFrame, ts: str = "local_ts", start: str | Column = "20:00",
                       end: str | Column = "23:00", out: str = "in_session") -> DataFrame:
-    """Monday-Friday and start <= time-of-day <= end (inclusive, seconds resolution)."""
-    def hms(x):
-        if isinstance(x, Column):
-            return F.when(F.length(x) == 5, F.concat(x, F.lit(":00"))).otherwise(x)
-        return F.lit(x if len(x) > 5 else x + ":00")
-    tod = F.date_format(F.col(ts), "HH:mm:ss")
-    ok = (F.weekday(F.col(ts)) < 5) & (tod >= hms(start)) & (tod <= hms(end))
-    return df.withColumn(out, ok)
+    """Monday-Friday and start <= time-of-day <= end (end inclusive to the
+    microsecond: 23:00:00.4 is after an end of 23:00)."""
+    return df.withColumn(out, in_trading_time(ts, start, end))
+
+
+def in_trading_time(ts: str, start: str | Column, end: str | Column) -> Column:
+    """P06 as a condition; start and end are HH:MM or HH:MM:SS."""
+    def full(x):
+        c = x if isinstance(x, Column) else F.lit(x)
+        return F.concat(F.when(F.length(c) == 5, F.concat(c, F.lit(":00"))).otherwise(c), F.lit(".000000"))
+    tod = F.date_format(F.col(ts), "HH:mm:ss.SSSSSS")
+    return (F.weekday(F.col(ts)) < 5) & (tod >= full(start)) & (tod <= full(end))
 
 
 def entry_minute_gate(df: DataFrame, ts: str = "local_ts", start: str | Column = "20:00",

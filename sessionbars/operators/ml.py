@@ -41,9 +41,8 @@ REFERENCE_GRID = {
 ENSEMBLE_WEIGHTS = {"gbt": 0.4, "rf": 0.25, "gbt2": 0.25, "enet": 0.1}
 SEED = 42
 
-# A small default grid: a 324-fit search on a few thousand daily rows is
-# scheduling-bound; pass REFERENCE_GRID for the full search.
-SMALL_GRID = {
+# A coarse grid for a quick look; every default is the full grid.
+COARSE_GRID = {
     "maxDepth": [4, 6],
     "stepSize": [0.1],
     "maxIter": [10],
@@ -104,7 +103,7 @@ def param_grid(grid: dict) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
-def grid_search(train: DataFrame, grid: dict = SMALL_GRID, k: int = 3, label: str = "target",
+def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label: str = "target",
                 by_symbol: bool = True) -> tuple[dict, DataFrame]:
     """Mean MAE of each combination over the expanding time folds.
 
@@ -146,19 +145,18 @@ def select_model(val: DataFrame, primary: str = "pred_gbt", ensemble: str = "pre
                                      .otherwise(F.lit("primary")))
 
 
-def train_ensemble(features: DataFrame, grid: dict = SMALL_GRID, fast: bool = True,
+def train_ensemble(features: DataFrame, grid: dict = REFERENCE_GRID, sizes: dict | None = None,
                    by_symbol: bool = True) -> dict:
     """E1 in one call: split, search, fit the four members, pick the model."""
     sp = chronological_split(features).cache()
     train = sp.filter(F.col("split") == "train").drop("split")
     val = sp.filter(F.col("split") == "val").drop("split")
     best, table = grid_search(train, grid, by_symbol=by_symbol)
-    small = {"numTrees": 20} if fast else {}
-    small2 = {"maxIter": 20} if fast else {}
+    sizes = sizes or {}    # overrides per member, e.g. {"rf": {"numTrees": 20}}
     members = {
         "gbt": fit(gbt(**best), train, by_symbol),
-        "rf": fit(random_forest(**small), train, by_symbol),
-        "gbt2": fit(gbt_second(**small2), train, by_symbol),
+        "rf": fit(random_forest(**sizes.get("rf", {})), train, by_symbol),
+        "gbt2": fit(gbt_second(**sizes.get("gbt2", {})), train, by_symbol),
         "enet": fit(elastic_net(), train, by_symbol),
     }
     scored = predict_members(members, val)

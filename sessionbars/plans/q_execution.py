@@ -109,7 +109,7 @@ _ORDERS_SQL = _SIG_SQL + [CFG_SQL_CTE, """g AS (
   SELECT s.*, c.min_confidence, c.max_positions, c.max_daily_trades, c.stop_loss_pct, c.take_profit_pct,
          c.risk_per_trade, c.max_volume
   FROM sig s LEFT JOIN cfg c ON s.symbol = c.symbol
-  WHERE isodow(s.datetime) <= 5 AND strftime(s.datetime, '%H:%M:%S') BETWEEN '20:00:00' AND '23:00:00'
+  WHERE isodow(s.datetime) <= 5 AND CAST(s.datetime AS TIME) BETWEEN TIME '20:00:00' AND TIME '23:00:00'
     AND s.confidence >= c.min_confidence),
 g2 AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, CAST(datetime AS DATE) ORDER BY datetime)
@@ -218,11 +218,12 @@ _BARRIER_SQL = _POS_SQL + ["""bb AS (
                  FROM bj WHERE sl_hit OR tp_hit) WHERE rn = 1)""", """lst AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, open_time ORDER BY bts DESC, bid_ DESC) AS rn
                  FROM bj) WHERE rn = 1)""", """bx AS (
-  SELECT l.symbol, l.open_time, l.type, l.volume, l.open_price,
-         coalesce(h.bts, l.bts) AS exit_ts,
-         CASE WHEN h.sl_hit THEN 'SL' WHEN h.tp_hit THEN 'TP' ELSE 'SESSION_END' END AS exit_reason,
-         CASE WHEN h.sl_hit THEN h.stop_loss WHEN h.tp_hit THEN h.take_profit ELSE l.close END AS exit_price
-  FROM lst l LEFT JOIN hit h ON l.symbol = h.symbol AND l.open_time = h.open_time)""", """bx2 AS (
+  SELECT p.symbol, p.open_time, p.type, p.volume, p.open_price,
+         coalesce(h.bts, l.bts, p.open_time) AS exit_ts,
+         CASE WHEN h.sl_hit THEN 'SL' WHEN h.tp_hit THEN 'TP' WHEN l.bts IS NULL THEN 'NO_BAR' ELSE 'SESSION_END' END AS exit_reason,
+         CASE WHEN h.sl_hit THEN h.stop_loss WHEN h.tp_hit THEN h.take_profit ELSE coalesce(l.close, p.open_price) END AS exit_price
+  FROM pos p LEFT JOIN lst l ON p.symbol = l.symbol AND p.open_time = l.open_time
+             LEFT JOIN hit h ON p.symbol = h.symbol AND p.open_time = h.open_time)""", """bx2 AS (
   SELECT *, CASE WHEN type = 'LONG' THEN exit_price - open_price ELSE open_price - exit_price END * 5.0 * volume
               AS profit FROM bx)"""]
 
@@ -317,7 +318,7 @@ def q_tz_convert(spark, sf_dir):
 
 
 @register("session_gate", with_ctes(EVENT_BARS, f"""t AS (SELECT symbol, id, ts, {_MSK} AS local_ts FROM bars),
-g AS (SELECT *, isodow(local_ts) <= 5 AND strftime(local_ts, '%H:%M:%S') BETWEEN '20:00:00' AND '23:00:00'
+g AS (SELECT *, isodow(local_ts) <= 5 AND CAST(local_ts AS TIME) BETWEEN TIME '20:00:00' AND TIME '23:00:00'
                 AS in_session FROM t)""") + "\n" + normalized_select(
     [("symbol", "s"), ("id", "i"), ("local_ts", "t"), ("in_session", "s")], "g"))
 def q_session_gate(spark, sf_dir):

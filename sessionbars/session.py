@@ -73,8 +73,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/sessionbars/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    # through the file system that the path names, which need not be the driver's own
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
     return path
 
 
@@ -83,8 +85,8 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``sessionbars`` importable in Python workers (needed only by the
-    pandas-backed stateful operator): zip it once per application into the
-    shared folder and register it with ``addPyFile``."""
+    pandas-backed stateful operator): zip it once per application on the
+    driver, which serves it to the executors (``addPyFile``)."""
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
@@ -92,7 +94,7 @@ def ship_package(spark: SparkSession) -> None:
     import shutil
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_path(spark, "pyfiles").replace("file:", "")
+    base = tempfile.mkdtemp(prefix="sessionbars-pyfiles-")
     archive = shutil.make_archive(f"{base}/sessionbars", "zip", os.path.dirname(pkg_dir), "sessionbars")
     sc.addPyFile(archive)
     _SHIPPED.add(app)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,25 +97,29 @@ def stream_daily_summary(closed: DataFrame, watermark: str = "1 hour", key: str
 
 
 def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_table: str, out: str,
-                   checkpoint: str, balance: float, lookback: int = 1440, history_days: int = 3) -> None:
+                   checkpoint: str, balance: float, lookback: int = 1440) -> None:
     """Each micro-batch appends its bars to ``bar_table`` (partitioned
     by date), rebuilds the features on the newest ``lookback`` bars per symbol
     (today's row kept even without an exit bar), scores the newest row with
     the rule predictor (MACD at entry) and writes the resulting orders.
 
-    Only the last ``history_days`` date partitions are read back (partition
-    pruning), so a batch costs the lookback window, not the whole history;
-    ``history_days`` must cover ``lookback`` bars (3 days hold 1,440 minute
-    bars of a 9-23h session)."""
+    Each symbol's dates are walked back until they hold ``lookback`` bars (an
+    aggregate of symbol and date only), so a symbol that pauses keeps its
+    history; only those dates are read back in full."""
     def step(batch: DataFrame, batch_id: int) -> DataFrame:
         dated = batch.withColumn("date", F.to_date("ts"))
         dated.write.mode("overwrite").partitionBy("date").parquet(f"{bar_table}/batch_id={batch_id}")
         newest = batch.agg(F.max("ts")).first()[0]      # one scalar per micro-batch
         if newest is None:
             return None
-        since = (newest - timedelta(days=history_days)).date()
-        bars = spark.read.parquet(bar_table).filter(F.col("date") >= F.lit(since)).drop("batch_id", "date")
-        recent = last_n_bars(bars, lookback)
+        stored = spark.read.parquet(bar_table)
+        later = Window.partitionBy("symbol").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
+        days = stored.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("_n"))
+        days = days.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).filter(F.col("_later") < lookback)
+        days = days.select("symbol", "date").persist()
+        since = days.agg(F.min("date")).first()[0]      # one scalar: prunes partitions
+        bars = stored.filter(F.col("date") >= F.lit(since)).join(days, ["symbol", "date"], "left_semi")
+        recent = last_n_bars(bars.drop("batch_id", "date"), lookback)
         feats = build_features(recent, left_exit=True).withColumn("prediction", F.col("current_macd"))
         latest = score_latest(feats, "prediction").drop("direction", "confidence")
         sig = ex.quotes_from_mid(latest, "day_close_current").withColumn("local_ts", F.col("datetime"))

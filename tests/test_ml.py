@@ -13,7 +13,7 @@ TINY = {"maxDepth": [2, 3], "stepSize": [0.1], "maxIter": [3], "subsamplingRate"
 
 def test_train_ensemble_end_to_end(spark):
     feats = build_features(event_bars(spark, SF01)).cache()
-    res = ml.train_ensemble(feats, grid=TINY)
+    res = ml.train_ensemble(feats, grid=TINY, sizes={"rf": {"numTrees": 20}, "gbt2": {"maxIter": 20}})
     assert res["chosen"] in ("ensemble", "primary")
     assert res["grid"].count() == 2
     assert res["best_params"]["maxDepth"] in (2, 3)
