@@ -88,7 +88,7 @@ class Space:
     def __init__(self, texts: list[bytes], labels: list[int], prior: float, dims: int = DIMS, seed: int = 7):
         self.prior = prior
         self.labels = np.array(labels, np.float32)
-        m = term_matrix(texts)
+        m = np.concatenate([term_matrix(texts[lo : lo + 64]) for lo in range(0, len(texts), 64)])
         df = (m > 0).sum(0)
         self.weight = (np.log((1 + len(texts)) / (1 + df)) + 1).astype(np.float32) * (df > 0)
         self.weight[TERMS:] *= 1.5
