@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sessionbars.functions.columns import confidence as confidence_col
 from sessionbars.functions.columns import predicted_direction
 from sessionbars.operators.asof import asof_join
-from sessionbars.operators.filters import in_trading_time
+from sessionbars.operators.filters import entry_minute_gate, in_trading_time
 from sessionbars.operators.sessions import in_hours
 
 # Fixed values of the reference's broker and sizing arithmetic.
@@ -22,6 +22,7 @@ MARGIN_RATE = 0.2          # 20 % margin (5:1)
 MIN_VOLUME = 0.1
 DEFAULT_MAX_VOLUME = 1.0
 CONFIDENCE_SCALE = 0.5
+MIN_HISTORY = 100          # bars below which there is no prediction
 
 
 def confidence_gate(df: DataFrame, pred: str = "prediction", min_confidence: Column | float = 0.5) -> DataFrame:
@@ -123,13 +124,15 @@ def open_positions(tracked: DataFrame, broker_open: DataFrame, keys: list[str])
 
 
 def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_ts: str = "entry_ts",
-                 ts: str = "ts", tie: str = "id", hours: tuple[int, int] = (20, 23)) -> DataFrame:
+                 ts: str = "ts", tie: str = "id", hours: tuple[int, int] = (20, 23),
+                 until: str | None = None) -> DataFrame:
     """The first bar after entry (same date, within ``hours``) whose low
     reaches the stop (long) / whose high reaches it (short), or that reaches
     the target; both in one bar -> stop first.  No hit -> the last bar's close
     (session end).  A trade without a later bar is closed where it was opened
     (NO_BAR).  Trades need: key, entry_ts, position_type, entry_price,
-    stop_loss, take_profit, volume; equal trades stay separate.
+    stop_loss, take_profit, volume; equal trades stay separate.  ``until`` names
+    the trades' column with their session end: later bars do not count.
 
     One trade per (symbol, date) in the callers, so the equi-join on
     (symbol, date) is linear in the bars; the first hit is a min(struct)."""
@@ -138,6 +141,8 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
     # an id only has to be unique within one run of the aggregate below
     t = trades.withColumns({"_d": F.to_date(F.col(entry_ts)), "_trade": F.monotonically_increasing_id()})
     later = (t[key] == b[key]) & (t["_d"] == b["_d"]) & (F.col("_bt") > F.col(entry_ts))
+    if until:
+        later &= F.col("_bt") <= F.col(until)
     j = t.join(b, later, "left").drop(b[key], b["_d"])
     long_ = F.col("position_type") == "LONG"
     sl_hit = F.when(long_, F.col("low") <= F.col("stop_loss")).otherwise(F.col("high") >= F.col("stop_loss"))
@@ -159,17 +164,10 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
                .drop("_hit", "_end", "_d", "_trade"))
 
 
-def broadcast_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a size check (one cheap bounded count);
-    beyond ``max_rows`` the planner's shuffle join is kept."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def instrument_join(df: DataFrame, cfg: DataFrame, key: str = "symbol", max_rows: int = 100_000) -> DataFrame:
+def instrument_join(df: DataFrame, cfg: DataFrame, key: str = "symbol") -> DataFrame:
     """Attach per-instrument parameters (config table is one row per
-    instrument; broadcast after a size check)."""
-    return df.join(broadcast_small(cfg, max_rows), key, "left")
+    instrument).  AQE broadcasts it by its measured bytes; no hint, no job here."""
+    return df.join(cfg, key, "left")
 
 
 def daily_trading_summary(closed: DataFrame, key: str = "symbol", ts: str = "exit_ts") -> DataFrame:
@@ -185,20 +183,28 @@ def daily_trading_summary(closed: DataFrame, key: str = "symbol", ts: str = "exi
 
 
 def order_signals(signals: DataFrame, cfg: DataFrame, balance: float, key: str = "symbol",
-                  ts: str = "datetime", pred: str = "prediction", local_ts: str = "local_ts") -> DataFrame:
+                  ts: str = "datetime", pred: str = "prediction", local_ts: str = "local_ts",
+                  history: str = "history_bars", min_history: int = MIN_HISTORY) -> DataFrame:
     """Gate -> size -> levels -> margin for prediction rows.
 
-    ``signals`` needs key, ts, prediction, bid, ask and ``local_ts`` (time in
-    the instrument zone).  ``cfg`` is the instrument table of ``load_instruments``.
-    Gates: Monday-Friday inside trading hours, confidence >= min_confidence,
-    and at most min(max_positions, max_daily_trades) orders per symbol-day
-    (positions close at the session end, so max_positions open at once)."""
+    ``signals`` needs key, ts, prediction, bid, ask, ``local_ts`` (time in the
+    instrument zone) and ``history`` (bars known by then, see
+    ``filters.with_history``).  ``cfg`` is the instrument table of
+    ``load_instruments``.  Gates: Monday-Friday inside trading hours, the first
+    minute of the session (later minutes only watch), at least ``min_history``
+    bars, confidence >= min_confidence, and at most min(max_positions,
+    max_daily_trades) orders per symbol-day (all of a day's orders fall in that
+    minute, so all count as open).  ``session_end`` is that day's end of the
+    trading hours on the clock of ``ts``."""
     s = instrument_join(signals, cfg, key)
     start, end = F.col("trading_hours.start"), F.col("trading_hours.end")
 
     s = s.withColumn("in_session", in_trading_time(local_ts, start, end))
+    s = entry_minute_gate(s, local_ts, start)
     s = confidence_gate(s, pred, F.col("min_confidence"))
-    s = s.filter(F.col("in_session") & F.col("tradable"))
+    s = s.filter(F.col("in_session") & F.col("is_entry_minute") & (F.col(history) >= min_history) & F.col("tradable"))
+    local_end = F.concat_ws(" ", F.to_date(F.col(local_ts)).cast("string"), end).cast("timestamp_ntz")
+    s = s.withColumn("session_end", F.col(ts) + (local_end - F.col(local_ts)))
     w = Window.partitionBy(key, F.to_date(F.col(local_ts))).orderBy(F.col(ts))
     limit = F.least(F.col("max_positions"), F.col("max_daily_trades"))
     s = s.withColumn("order_of_day", F.row_number().over(w)).filter(F.col("order_of_day") <= limit)

@@ -121,8 +121,27 @@ def min_history_gate(bars: DataFrame, n: int = 100, key: str = "symbol") -> Data
     return bars.join(ok, key, "left_semi")
 
 
+def with_history(signals: DataFrame, bars: DataFrame, key: str = "symbol", ts: str = "datetime",
+                 bar_ts: str = "ts", out: str = "history_bars") -> DataFrame:
+    """P09 per signal: the number of its key's bars at or before ``ts``.
+
+    Earlier days come from a running sum over daily counts, the day itself from
+    a join on (key, date) that is aggregated again; no window over bars."""
+    s = signals.withColumns({"_d": F.to_date(F.col(ts)), "_sid": F.monotonically_increasing_id()})
+    b = bars.select(F.col(key).alias("_k"), F.to_date(F.col(bar_ts)).alias("_bd"), F.col(bar_ts).alias("_bt"))
+    on_day = (F.col(key) == F.col("_k")) & (F.col("_d") == F.col("_bd")) & (F.col("_bt") <= F.col(ts))
+    today = s.join(b, on_day, "left").groupBy(*s.columns).agg(F.count("_bt").alias("_today"))
+    asked = signals.select(F.col(key).alias("_k"), F.to_date(F.col(ts)).alias("_bd"), F.lit(0).cast("long").alias("_n"))
+    days = b.groupBy("_k", "_bd").agg(F.count(F.lit(1)).alias("_n")).unionByName(asked)
+    days = days.groupBy("_k", "_bd").agg(F.sum("_n").alias("_n"))
+    before = Window.partitionBy("_k").orderBy("_bd").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    j = today.join(days, (F.col(key) == F.col("_k")) & (F.col("_d") == F.col("_bd")), "left")
+    return j.select(*signals.columns, (F.col("_today") + F.coalesce("_before", F.lit(0))).alias(out))
+
+
 __all__ = [
     "session_filter", "evening_filter", "time_parts", "fill_features", "drop_incomplete",
     "resolve_tz", "tz_name_column", "to_trading_tz", "trading_time_gate", "entry_minute_gate",
-    "min_history_gate", "Window",
+    "min_history_gate", "with_history",
 ]

@@ -105,11 +105,16 @@ def q_margin_check(spark, sf_dir):
                                            "error", "position_type")
 
 
-_ORDERS_SQL = _SIG_SQL + [CFG_SQL_CTE, """g AS (
+_ORDERS_SQL = _SIG_SQL + [CFG_SQL_CTE, """known AS (
+  SELECT s.symbol, s.datetime, count(b.ts) AS history
+  FROM (SELECT DISTINCT symbol, datetime FROM sig) s JOIN bars b ON s.symbol = b.symbol AND b.ts <= s.datetime
+  GROUP BY ALL),
+g AS (
   SELECT s.*, c.min_confidence, c.max_positions, c.max_daily_trades, c.stop_loss_pct, c.take_profit_pct,
          c.risk_per_trade, c.max_volume
   FROM sig s LEFT JOIN cfg c ON s.symbol = c.symbol
-  WHERE isodow(s.datetime) <= 5 AND CAST(s.datetime AS TIME) BETWEEN TIME '20:00:00' AND TIME '23:00:00'
+       JOIN known k ON s.symbol = k.symbol AND s.datetime = k.datetime
+  WHERE hour(s.datetime) = 20 AND minute(s.datetime) = 0 AND k.history >= 100 AND isodow(s.datetime) <= 5 AND CAST(s.datetime AS TIME) BETWEEN TIME '20:00:00' AND TIME '23:00:00'
     AND s.confidence >= c.min_confidence),
 g2 AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, CAST(datetime AS DATE) ORDER BY datetime)
@@ -135,7 +140,8 @@ _ORDER_KINDS = [("symbol", "s"), ("datetime", "t"), ("direction", "s"), ("confid
 
 
 def orders(spark, sf_dir):
-    return ex.order_signals(signal_rows(spark, sf_dir), instrument_table(spark, sf_dir), BALANCE)
+    sig = filters.with_history(signal_rows(spark, sf_dir), event_bars(spark, sf_dir))
+    return ex.order_signals(sig, instrument_table(spark, sf_dir), BALANCE)
 
 
 @register("order_signals", with_ctes(*_ORDERS_SQL) + "\n" + normalized_select(_ORDER_KINDS, "ord"))
@@ -148,12 +154,13 @@ def positions(spark, sf_dir):
     o = orders(spark, sf_dir).filter(F.col("success"))
     return o.select("symbol", F.col("datetime").alias("open_time"), F.col("position_type").alias("type"),
                     "volume", F.col("entry_price").alias("open_price"), "stop_loss", "take_profit",
-                    (F.col("datetime") + F.expr("INTERVAL 3 HOURS")).alias("mark_ts"))
+                    (F.col("datetime") + F.expr("INTERVAL 3 HOURS")).alias("mark_ts"), "session_end")
 
 
 _POS_SQL = _ORDERS_SQL + ["""pos AS (
   SELECT symbol, datetime AS open_time, position_type AS type, volume, entry_price AS open_price, stop_loss,
-         take_profit, datetime + INTERVAL 3 HOUR AS mark_ts FROM ord WHERE success)""",
+         take_profit, datetime + INTERVAL 3 HOUR AS mark_ts,
+         CAST(CAST(datetime AS DATE) AS TIMESTAMP) + INTERVAL 23 HOUR AS session_end FROM ord WHERE success)""",
                           """q AS (SELECT symbol, ts, id, round(close - 1.0, 2) AS bid, round(close + 1.0, 2) AS ask
                                    FROM bars)""",
                           """m AS (
@@ -213,7 +220,7 @@ _BARRIER_SQL = _POS_SQL + ["""bb AS (
     CASE WHEN type = 'LONG' THEN b.low <= p.stop_loss ELSE b.high >= p.stop_loss END AS sl_hit,
     CASE WHEN type = 'LONG' THEN b.high >= p.take_profit ELSE b.low <= p.take_profit END AS tp_hit
   FROM pos p JOIN bb b ON p.symbol = b.symbol AND CAST(p.open_time AS DATE) = CAST(b.ts AS DATE)
-  WHERE b.ts > p.open_time)""", """hit AS (
+  WHERE b.ts > p.open_time AND b.ts <= p.session_end)""", """hit AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, open_time ORDER BY bts, bid_) AS rn
                  FROM bj WHERE sl_hit OR tp_hit) WHERE rn = 1)""", """lst AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, open_time ORDER BY bts DESC, bid_ DESC) AS rn
@@ -228,11 +235,14 @@ _BARRIER_SQL = _POS_SQL + ["""bb AS (
               AS profit FROM bx)"""]
 
 
-def barrier(spark, sf_dir):
-    p = positions(spark, sf_dir).select(
+def trades(spark, sf_dir):
+    return positions(spark, sf_dir).select(
         "symbol", F.col("open_time").alias("entry_ts"), F.col("type").alias("position_type"), "volume",
-        F.col("open_price").alias("entry_price"), "stop_loss", "take_profit")
-    return ex.barrier_exit(p, event_bars(spark, sf_dir))
+        F.col("open_price").alias("entry_price"), "stop_loss", "take_profit", "session_end")
+
+
+def barrier(spark, sf_dir):
+    return ex.barrier_exit(trades(spark, sf_dir), event_bars(spark, sf_dir), until="session_end")
 
 
 _BARRIER_KINDS = [("symbol", "s"), ("open_time", "t"), ("exit_ts", "t"), ("exit_reason", "s"),
@@ -299,7 +309,7 @@ def q_daily_trading_summary(spark, sf_dir):
     [("symbol", "s"), ("datetime", "t"), ("stop_loss_pct", "d"), ("take_profit_pct", "d"),
      ("min_confidence", "d"), ("timezone", "s")], "ij"))
 def q_instrument_join(spark, sf_dir):
-    """Feature rows + instrument parameters (size-checked broadcast)."""
+    """Feature rows + instrument parameters (AQE picks the join)."""
     j = ex.instrument_join(session_feature_rows(spark, sf_dir), instrument_table(spark, sf_dir))
     return j.select("symbol", "datetime", "stop_loss_pct", "take_profit_pct", "min_confidence", "timezone")
 

@@ -152,6 +152,11 @@ def derived_configs(spark, sf_dir):
 
 
 def instrument_table(spark, sf_dir):
+    """The configs with their defaults, without the way through files."""
+    return instruments.with_defaults(derived_configs(spark, sf_dir))
+
+
+def instrument_files(spark, sf_dir):
     path = scratch_path(spark, "instruments")
     instruments.write_instruments(derived_configs(spark, sf_dir), path)
     return instruments.load_instruments(spark, path, multiline=False)
@@ -168,7 +173,7 @@ CFG_SQL_CTE = """cfg AS (
 @register("instrument_config", with_ctes(CFG_SQL_CTE) + "\n" + normalized_select(_CFG_KINDS, "cfg"))
 def q_instrument_config(spark, sf_dir):
     """Config files overlaid on the defaults (shallow: whole keys)."""
-    c = instrument_table(spark, sf_dir)
+    c = instrument_files(spark, sf_dir)
     return c.select("symbol", "broker_type", "volume", "max_positions", "max_daily_trades", "stop_loss_pct",
                     "take_profit_pct", F.col("trading_hours.start").alias("hours_start"),
                     F.col("trading_hours.end").alias("hours_end"), "timezone", "model_path", "min_confidence",

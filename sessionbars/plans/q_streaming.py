@@ -2,8 +2,8 @@
 
 Each query runs its stream with ``availableNow`` over the driver table (a
 file source), into an upsert log under the shared checkpoint folder, and
-returns the log's newest rows as a batch DataFrame.  R01 and R04 have exact
-SQL twins (stream = batch); R02, R03 and R05 are rows-only.
+returns the log's newest rows as a batch DataFrame.  All but R02 have exact
+SQL twins (stream = batch).
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from sessionbars.operators import execution as ex
 from sessionbars.plans.adapters import table
-from sessionbars.plans.q_execution import _BARRIER_SQL, barrier, instrument_table, positions
+from sessionbars.plans.q_execution import (_BARRIER_KINDS, _BARRIER_SQL, _POS_SQL, barrier, instrument_table,
+                                           positions, trades)
 from sessionbars.plans.q_sources import _ohlcv_sql
 from sessionbars.plans.registry import register
 from sessionbars.plans.sqlparts import normalized_select, with_ctes
@@ -69,37 +70,29 @@ def q_stream_signals(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@register("stream_mtm")
+@register("stream_mtm", with_ctes(*_POS_SQL, """sm AS (
+  SELECT p.symbol, q.ts, q.id, p.open_time, p.type,
+         CASE WHEN p.type = 'LONG' THEN q.bid ELSE q.ask END AS current_price,
+         CASE WHEN p.type = 'LONG' THEN q.bid - p.open_price ELSE p.open_price - q.ask END * 5.0 * p.volume AS profit
+  FROM pos p JOIN q ON p.symbol = q.symbol AND q.ts BETWEEN p.open_time AND p.mark_ts)""") + "\n" + normalized_select(
+    [("symbol", "s"), ("ts", "t"), ("id", "i"), ("open_time", "t"), ("type", "s"), ("current_price", "d"),
+     ("profit", "d")], "sm"))
 def q_stream_mtm(spark, sf_dir):
     """Quotes stream joined to the static book of positions."""
     quotes = ex.quotes_from_mid(event_tick_stream(spark, sf_dir), "close", 2.0)
-    pos = positions(spark, sf_dir)
-    out, ck = scratch_path(spark, "mtm"), scratch_path(spark, "mtm-ckpt")
+    book, out, ck = (scratch_path(spark, n) for n in ("mtm-book", "mtm", "mtm-ckpt"))
+    positions(spark, sf_dir).write.mode("overwrite").parquet(book)
+    pos = spark.read.parquet(book)
     jobs.run_upsert_log(jobs.stream_mark_to_market(quotes, pos), out, ck, mode="append")
     return spark.read.parquet(out).drop("batch_id")
 
 
-def position_events(spark, sf_dir):
-    """Signals (successful orders) and 20-23h ticks as one event table."""
-    pos = positions(spark, sf_dir)
-    sig = pos.select("symbol", F.col("open_time").cast("timestamp").alias("ets"), F.lit("signal").alias("kind"),
-                     F.lit(-1).cast("long").alias("id"), F.col("open_price").alias("price"),
-                     F.col("type").alias("side"), "volume", "stop_loss", "take_profit")
-    ev = table(spark, sf_dir, "events").filter(F.hour("ts").between(20, 23))
-    ticks = ev.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ets"),
-                      F.lit("tick").alias("kind"), F.col("event_id").alias("id"),
-                      F.col("value").cast("double").alias("price"), F.lit(None).cast("string").alias("side"),
-                      F.lit(None).cast("double").alias("volume"), F.lit(None).cast("double").alias("stop_loss"),
-                      F.lit(None).cast("double").alias("take_profit"))
-    return sig.unionByName(ticks)
-
-
-@register("stream_positions")
+@register("stream_positions", with_ctes(*_BARRIER_SQL) + "\n" + normalized_select(_BARRIER_KINDS, "bx2"))
 def q_stream_positions(spark, sf_dir):
-    """Stateful position keeper; batch twin = barrier_exit."""
-    src = scratch_path(spark, "pos-events")
-    position_events(spark, sf_dir).write.mode("overwrite").parquet(src)
-    stream = jobs.tick_stream(spark, src, jobs.POSITION_EVENT_SCHEMA)
-    out, ck = scratch_path(spark, "pos-out"), scratch_path(spark, "pos-ckpt")
-    jobs.run_upsert_log(jobs.stream_positions(stream), out, ck, mode="append")
-    return spark.read.parquet(out).drop("batch_id")
+    """Exits of open positions over a tick stream; equals barrier_exit."""
+    names = ("pos-trades", "pos-ticks", "pos-out", "pos-ckpt")
+    src, ticks, out, ck = (scratch_path(spark, n) for n in names)
+    trades(spark, sf_dir).write.mode("overwrite").parquet(src)
+    jobs.stream_positions(spark, event_tick_stream(spark, sf_dir), spark.read.parquet(src), ticks, out, ck)
+    b = jobs.read_latest(spark, out, ["symbol", "entry_ts"]).withColumnRenamed("entry_ts", "open_time")
+    return b.select(*[c for c, _ in _BARRIER_KINDS])

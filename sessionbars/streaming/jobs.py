@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionbars.operators import execution as ex
 from sessionbars.operators.features import build_features
+from sessionbars.operators.filters import with_history
 from sessionbars.operators.ml import score_latest
 from sessionbars.sources.bars import TIMEFRAMES, last_n_bars
 
@@ -123,6 +123,7 @@ def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_ta
         feats = build_features(recent, left_exit=True).withColumn("prediction", F.col("current_macd"))
         latest = score_latest(feats, "prediction").drop("direction", "confidence")
         sig = ex.quotes_from_mid(latest, "day_close_current").withColumn("local_ts", F.col("datetime"))
+        sig = with_history(sig, recent)
         return ex.order_signals(sig, cfg, balance).select(
             "symbol", "datetime", "direction", "confidence", "volume", "entry_price", "stop_loss",
             "take_profit", "success", "error").withColumn("batch", F.lit(batch_id).cast("long"))
@@ -137,12 +138,14 @@ def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_ta
 
 def stream_mark_to_market(quotes: DataFrame, positions: DataFrame, key: str = "symbol") -> DataFrame:
     """Every quote marks the positions of its symbol that are open at
-    that moment (open_time <= quote time <= mark_ts): a stream-static join
-    with a range condition, so each quote meets at most the few open
-    positions, never the whole book."""
-    q = quotes.alias("q")
-    p = positions.alias("p")
-    j = q.join(p, (F.col(f"q.{key}") == F.col(f"p.{key}")) & (F.col("q.ts") >= F.col("p.open_time"))
+    that moment (open_time <= quote time <= mark_ts): a stream-static join on
+    (symbol, date), a position standing on each date of its span, so a quote
+    meets the day's positions and never the whole book."""
+    q = quotes.withColumn("_d", F.to_date("ts")).alias("q")
+    span = F.sequence(F.to_date("open_time"), F.to_date("mark_ts"))
+    p = positions.withColumn("_d", F.explode(span)).alias("p")
+    same = (F.col(f"q.{key}") == F.col(f"p.{key}")) & (F.col("q._d") == F.col("p._d"))
+    j = q.join(p, same & (F.col("q.ts") >= F.col("p.open_time"))
                & (F.col("q.ts") <= F.col("p.mark_ts")), "inner")
     long_ = F.col("p.type") == "LONG"
     px = F.when(long_, F.col("q.bid")).otherwise(F.col("q.ask"))
@@ -153,114 +156,27 @@ def stream_mark_to_market(quotes: DataFrame, positions: DataFrame, key: str = "s
 
 
 # ----------------------------------------------------------------------------
-# Stateful position keeper
+# Exits of open positions
 # ----------------------------------------------------------------------------
 
-POSITION_EVENT_SCHEMA = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("ets", T.TimestampType()),
-    T.StructField("kind", T.StringType()),          # 'signal' or 'tick'
-    T.StructField("id", T.LongType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("side", T.StringType()),          # LONG / SHORT for signals
-    T.StructField("volume", T.DoubleType()),
-    T.StructField("stop_loss", T.DoubleType()),
-    T.StructField("take_profit", T.DoubleType()),
-])
-
-CLOSED_SCHEMA = ("symbol string, open_time timestamp, side string, volume double, open_price double, "
-                 "exit_ts timestamp, exit_reason string, exit_price double, profit double")
-STATE_SCHEMA = ("open boolean, side string, volume double, open_price double, open_time timestamp, "
-                "stop_loss double, take_profit double, session_end timestamp, last_ts timestamp, "
-                "last_id long, last_price double, day date, trades_today long")
-
-
-def _positions_step(key, pdfs, state, max_daily_trades: int, session_end_hour: int):
-    """Per symbol, in event-time order: open on a signal when flat and under
-    the daily limit; close on the first tick touching stop (first) or target;
-    close at the last tick of the session when the next event is past the
-    session end (or at the timeout)."""
-    chunks = list(pdfs) if pdfs is not None else []
-    pdf = pd.concat(chunks, ignore_index=True) if chunks else pd.DataFrame(columns=POSITION_EVENT_SCHEMA.names)
-    if state.hasTimedOut:
-        st = dict(zip(STATE_SCHEMA_NAMES, state.get))
-        out = []
-        if st["open"] and st["last_ts"] is not None:
-            out.append(_close_row(key[0], st, st["last_ts"], "SESSION_END", st["last_price"]))
-        state.remove()
-        yield pd.DataFrame(out, columns=CLOSED_NAMES)
-        return
-    st = dict(zip(STATE_SCHEMA_NAMES, state.get)) if state.exists else {
-        "open": False, "side": None, "volume": None, "open_price": None, "open_time": None, "stop_loss": None,
-        "take_profit": None, "session_end": None, "last_ts": None, "last_id": None, "last_price": None,
-        "day": None, "trades_today": 0}
-    out = []
-    pdf = pdf.assign(_k=(pdf["kind"] == "signal").astype(int)).sort_values(["ets", "_k", "id"])
-    for r in pdf.itertuples(index=False):
-        ts = r.ets
-        if st["open"] and st["session_end"] is not None and ts > st["session_end"]:
-            # no tick after entry: nothing to close at (the batch twin drops it too)
-            if st["last_ts"] is not None:
-                out.append(_close_row(key[0], st, st["last_ts"], "SESSION_END", st["last_price"]))
-            st["open"] = False
-        day = ts.date()
-        if st["day"] != day:
-            st["day"], st["trades_today"] = day, 0
-        if r.kind == "tick":
-            if st["open"] and ts > st["open_time"]:
-                long_ = st["side"] == "LONG"
-                sl_hit = r.price <= st["stop_loss"] if long_ else r.price >= st["stop_loss"]
-                tp_hit = r.price >= st["take_profit"] if long_ else r.price <= st["take_profit"]
-                if sl_hit or tp_hit:
-                    lvl = st["stop_loss"] if sl_hit else st["take_profit"]
-                    out.append(_close_row(key[0], st, ts, "SL" if sl_hit else "TP", lvl))
-                    st["open"] = False
-            if st["open"]:
-                st["last_ts"], st["last_id"], st["last_price"] = ts, r.id, r.price
-        elif not st["open"] and st["trades_today"] < max_daily_trades:
-            st.update(open=True, side=r.side, volume=r.volume, open_price=r.price, open_time=ts,
-                      stop_loss=r.stop_loss, take_profit=r.take_profit,
-                      session_end=pd.Timestamp(day) + pd.Timedelta(hours=session_end_hour + 1) - pd.Timedelta(microseconds=1),
-                      last_ts=None, last_id=None, last_price=None)
-            st["trades_today"] += 1
-    state.update(tuple(st[n] for n in STATE_SCHEMA_NAMES))
-    if st["open"] and st["session_end"] is not None:
-        state.setTimeoutTimestamp(int(pd.Timestamp(st["session_end"]).timestamp() * 1000) + 1)
-    yield pd.DataFrame(out, columns=CLOSED_NAMES)
-
-
-STATE_SCHEMA_NAMES = [x.strip().split(" ")[0] for x in STATE_SCHEMA.split(",")]
-CLOSED_NAMES = [x.strip().split(" ")[0] for x in CLOSED_SCHEMA.split(",")]
-
-
-def _close_row(sym, st, ts, reason, price):
-    long_ = st["side"] == "LONG"
-    pts = (price - st["open_price"]) if long_ else (st["open_price"] - price)
-    return [sym, st["open_time"], st["side"], st["volume"], st["open_price"], ts, reason, price,
-            pts * ex.POINT_VALUE * st["volume"]]
-
-
-def stream_positions(events: DataFrame, max_daily_trades: int = 5, session_end_hour: int = 23,
-                     watermark: str = "10 minutes") -> DataFrame:
-    """Signals and ticks drive a position state machine
-    (``applyInPandasWithState``, event-time timeout at the session end).
-
-    The state is keyed by (symbol, session date): a position never outlives
-    its session and the trade limit is daily, so a key's state is one open
-    position plus the day's trade count, dropped at the session-end timeout.
-    A group therefore never holds more than one symbol-day of a micro-batch,
-    even when history is replayed in one batch."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    from sessionbars.session import ship_package
-
-    ship_package(events.sparkSession)
-
-    def fn(key, pdfs, state):
-        yield from _positions_step(key, pdfs, state, max_daily_trades, session_end_hour)
-
-    return (events.withWatermark("ets", watermark)
-                  .withColumn("session_date", F.to_date("ets"))
-                  .groupBy("symbol", "session_date")
-                  .applyInPandasWithState(fn, CLOSED_SCHEMA, STATE_SCHEMA, "append",
-                                          GroupStateTimeout.EventTimeTimeout))
+
+def stream_positions(spark: SparkSession, ticks: DataFrame, trades: DataFrame, tick_table: str, out: str,
+                     checkpoint: str) -> None:
+    """Each micro-batch appends its ticks to ``tick_table`` (partitioned by
+    date) and settles the trades of the dates it touched by ``barrier_exit`` over
+    all ticks of those dates.  A trade that is still open has its latest price as
+    SESSION_END, and a later batch replaces the row (``read_latest``); late ticks
+    are taken in alike.  Only the tables are state, so nothing has to be released."""
+    def step(batch: DataFrame, batch_id: int) -> DataFrame | None:
+        dated = batch.withColumn("date", F.to_date("ts"))
+        dated.write.mode("overwrite").partitionBy("date").parquet(f"{tick_table}/batch_id={batch_id}")
+        since = dated.agg(F.min("date")).first()[0]     # one scalar: prunes partitions
+        if since is None:
+            return None
+        touched = dated.select("date").distinct()
+        stored = spark.read.parquet(tick_table).filter(F.col("date") >= F.lit(since))
+        bars = stored.join(touched, "date", "left_semi").drop("batch_id", "date")
+        mine = trades.withColumn("date", F.to_date("entry_ts")).join(touched, "date", "left_semi").drop("date")
+        return ex.barrier_exit(mine, bars, until="session_end")
+
+    run_upsert_log(ticks, out, checkpoint, mode="append", transform=step)

@@ -178,3 +178,30 @@ def test_intra_trade_drawdown_gap_days(spark):
         assert (r["max_intra_drawdown_pct"], r["max_intra_drawdown_dollars"], r["time_of_max_drawdown"]) == (0.0, 0.0, None)
     d5 = got["2024-01-05"]
     assert abs(d5["max_intra_drawdown_pct"] + 10.0) < 1e-12 and str(d5["time_of_max_drawdown"]) == "2024-01-05 23:10:00"
+
+
+def test_order_gates(spark):
+    """A late entry, a short history and a weekend give no order."""
+    from datetime import datetime
+
+    from sessionbars.operators import execution as ex
+    from sessionbars.sources.instruments import with_defaults
+    rows = [(datetime(2024, 1, 3, 20, 0, 30), 100), (datetime(2024, 1, 4, 20, 1, 0), 100),
+            (datetime(2024, 1, 5, 20, 0, 0), 99), (datetime(2024, 1, 6, 20, 0, 0), 100)]
+    sig = spark.createDataFrame([("x", t, t, n, 1.0, 99.0, 101.0) for t, n in rows],
+                                "symbol string, datetime timestamp_ntz, local_ts timestamp_ntz, history_bars long, "
+                                "prediction double, bid double, ask double")
+    cfg = with_defaults(spark.createDataFrame([("x",)], "symbol string"))
+    got = ex.order_signals(sig, cfg, 100_000.0).collect()
+    assert [(r["datetime"], r["session_end"]) for r in got] == [(rows[0][0], datetime(2024, 1, 3, 23, 0))]
+
+
+def test_history_counts_bars_up_to_the_signal(spark):
+    from datetime import datetime, timedelta
+
+    from sessionbars.operators.filters import with_history
+    t0 = datetime(2024, 1, 3, 10, 0)
+    bars = spark.createDataFrame([("x", t0 + timedelta(hours=i)) for i in range(30)], "symbol string, ts timestamp_ntz")
+    ask = [("x", t0), ("x", t0), ("x", t0 + timedelta(hours=20)), ("x", t0 + timedelta(days=9)), ("y", t0)]
+    got = with_history(spark.createDataFrame(ask, "symbol string, datetime timestamp_ntz"), bars).collect()
+    assert sorted((r[0], r[1], r[2]) for r in got) == sorted((k, t, n) for (k, t), n in zip(ask, [1, 1, 21, 30, 0]))
