@@ -7,7 +7,6 @@ only created when that setting is absent *and* the master is local (tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,23 +77,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
     return path
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``sessionbars`` importable in Python workers (needed only by the
-    pandas-backed stateful operator): zip it once per application on the
-    driver, which serves it to the executors (``addPyFile``)."""
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    import shutil
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = tempfile.mkdtemp(prefix="sessionbars-pyfiles-")
-    archive = shutil.make_archive(f"{base}/sessionbars", "zip", os.path.dirname(pkg_dir), "sessionbars")
-    sc.addPyFile(archive)
-    _SHIPPED.add(app)
