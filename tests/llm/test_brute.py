@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow.dataset as ds
 import pytest
-from conftest import EDGE, PASSAGE, SF, rows_of, DOCS
+from .conftest import EDGE, PASSAGE, SF, rows_of, DOCS
 
 from sessionbars.llm import chaining, fingerprint, packing, quality, queries, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
 from sessionbars.llm.components import components

@@ -1,7 +1,7 @@
 """Null and empty texts, ties, repeated rows, clashing columns and empty tables."""
 
 import corpus_pipeline
-from conftest import EDGE, PASSAGE, SF
+from .conftest import EDGE, PASSAGE, SF
 
 from sessionbars.llm import chaining, fingerprint, packing, quality, queries, spm, suffix_dedup, superminhash, toxicity
 
