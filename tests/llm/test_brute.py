@@ -268,6 +268,48 @@ def test_chain_against_all_predecessors():
     assert chaining.align(np.array([1, 2, 3, 9]), np.array([7, 1, 3, 9])) == (3, 0, 4, 1, 4)
 
 
+def covered_by(spark, texts):
+    """Word positions of each text that a passage covers, by home."""
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = defaultdict(lambda: defaultdict(set))
+    for r in chaining.passages(rows).collect():
+        assert r["identity"] >= chaining.IDENTITY and r["end"] - r["start"] >= 20
+        out[r["doc_id"]][r["home"]].update(range(r["start"], r["end"]))
+    return out
+
+
+def test_passages_edited_often(spark):
+    plain = [f"w{i}" for i in range(60)]
+    texts = {1: " ".join(["vor"] * 9 + plain)}
+    for every in (5, 6, 8):
+        edited = [f"neu{every}x{i}" if i % every == every - 1 else x for i, x in enumerate(plain)]
+        texts[every] = " ".join([f"anfang{every}"] * 7 + edited)
+    got = covered_by(spark, texts)
+    for every in (5, 6, 8):
+        assert got[every][1] >= set(range(7, 7 + 59)), every
+
+
+def test_passages_whose_seeds_stand_elsewhere_before(spark):
+    plain = [f"w{i}" for i in range(30)]
+    texts, n = {}, 0
+    for i in range(30 - chaining.SEED + 1):  # every seed stands in three earlier documents
+        for _ in range(3):
+            texts[n] = " ".join([f"a{n}"] * 5 + plain[i : i + chaining.SEED] + [f"b{n}"] * 5)
+            n += 1
+    texts[500] = " ".join([f"c{i}" for i in range(40)] + plain)
+    texts[501] = " ".join([f"d{i}" for i in range(11)] + plain + [f"e{i}" for i in range(40)])
+    got = covered_by(spark, texts)
+    assert set(got) == {501} and got[501][500] >= set(range(11, 41))
+
+
+def test_passages_at_a_later_place_of_the_home(spark):
+    """The home holds every seed of the passage apart before it holds the passage."""
+    plain = [f"w{i}" for i in range(30)]
+    apart = [x for i in range(27) for x in [f"u{i}", f"v{i}", *plain[i : i + 4]]]
+    got = covered_by(spark, {1: " ".join(apart + ["mitte"] * 9 + plain), 2: " ".join(["z"] * 3 + plain)})
+    assert got[2][1] >= set(range(3, 33))
+
+
 def test_shingles():
     h, b = shingles(Words([b"a b c d", b"", b"a b", b"x a b c"]), 3)
     assert np.diff(b).tolist() == [2, 0, 1, 2] and h[0] == h[4] and len(set(h.tolist())) == 4
