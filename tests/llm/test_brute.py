@@ -310,6 +310,43 @@ def test_passages_at_a_later_place_of_the_home(spark):
     assert got[2][1] >= set(range(3, 33))
 
 
+def test_chain_windowed_against_brute_force():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        q, r = rng.integers(0, 150, n), rng.integers(0, 150, n)
+        if rng.random() < 0.5:  # distinct places with runs of neighbours
+            q = np.unique(q)
+            r = q + np.repeat(rng.integers(0, 80), len(q)) if rng.random() < 0.5 else rng.permutation(150)[: len(q)]
+        k, gap, cost = 4, 60, 0.25
+        best = {}
+        for at in np.lexsort((r, q)).tolist():
+            before = [p for p in best if 1 <= q[at] - q[p] <= gap and 1 <= r[at] - r[p] <= gap]
+            best[at] = max([float(k)] + [best[p] + min(k, q[at] - q[p], r[at] - r[p]) - cost * abs((q[at] - q[p]) - (r[at] - r[p])) for p in before])
+        paths = chaining.chain(q, r, k, gap, cost)
+        assert sorted(i for p in paths for i in p) == list(range(len(q)))
+        for p in paths:
+            assert all(1 <= q[b] - q[a] <= gap and 1 <= r[b] - r[a] <= gap for a, b in zip(p, p[1:]))
+        steps = list(zip(paths[0], paths[0][1:]))
+        score = k + sum(min(k, q[b] - q[a], r[b] - r[a]) - cost * abs((q[b] - q[a]) - (r[b] - r[a])) for a, b in steps)
+        assert score == pytest.approx(max(best.values()))
+
+
+def test_chain_behind_a_long_one():
+    """400 words alike, 80 own words, 200 words alike: the first chain's score hides no later match."""
+    q = np.concatenate([np.arange(0, 400), np.arange(480, 680)])
+    paths = chaining.chain(q, np.concatenate([np.arange(0, 400), np.arange(400, 600)]))
+    assert [len(p) for p in paths] == [400, 200]
+
+
+def test_passage_with_insertions(spark):
+    """Two insertions of 40 words early in a long passage and two deletions late."""
+    a = [f"w{i}" for i in range(900)]
+    b = a[:100] + [f"x{i}" for i in range(40)] + a[100:200] + [f"y{i}" for i in range(40)] + a[200:600] + a[640:750] + a[790:]
+    got = covered_by(spark, {1: " ".join(a), 2: " ".join(b)})
+    assert got[2][1] >= {*range(100), *range(140, 240), *range(280, len(b))}
+
+
 def test_shingles():
     h, b = shingles(Words([b"a b c d", b"", b"a b", b"x a b c"]), 3)
     assert np.diff(b).tolist() == [2, 0, 1, 2] and h[0] == h[4] and len(set(h.tolist())) == 4
