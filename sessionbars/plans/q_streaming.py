@@ -2,8 +2,8 @@
 
 Each query runs its stream with ``availableNow`` over the driver table (a
 file source), into an upsert log under the shared checkpoint folder, and
-returns the log's newest rows as a batch DataFrame.  All but R02 have exact
-SQL twins (stream = batch).
+returns the log's newest rows as a batch DataFrame.  All have exact SQL twins
+(stream = batch).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sessionbars.operators import execution as ex
 from sessionbars.plans.adapters import table
-from sessionbars.plans.q_execution import (_BARRIER_KINDS, _BARRIER_SQL, _POS_SQL, barrier, instrument_table,
+from sessionbars.plans.q_execution import (_BARRIER_KINDS, _BARRIER_SQL, _ORDERS_SQL, _POS_SQL, barrier, instrument_table,
                                            positions, trades)
 from sessionbars.plans.q_sources import _ohlcv_sql
 from sessionbars.plans.registry import register
@@ -60,14 +60,23 @@ def q_stream_daily_summary(spark, sf_dir):
     return jobs.read_latest(spark, out, ["symbol", "day_start"])
 
 
-@register("stream_signals")
+# the batch twin scores every day with an entry bar: the exit bar is not known at entry
+_STREAM_ORDERS_SQL = [c.replace("JOIN ext x", "LEFT JOIN ext x").replace(" AND target IS NOT NULL", "")
+                      for c in _ORDERS_SQL] + ["""so AS (
+  SELECT *, CASE WHEN volume IS NULL THEN 'invalid volume' WHEN NOT success THEN 'insufficient margin' END AS error
+  FROM ord)"""]
+
+
+@register("stream_signals", with_ctes(*_STREAM_ORDERS_SQL) + "\n" + normalized_select(
+    [("symbol", "s"), ("datetime", "t"), ("direction", "s"), ("confidence", "d"), ("volume", "d"),
+     ("entry_price", "d"), ("stop_loss", "d"), ("take_profit", "d"), ("success", "s"), ("error", "s")], "so"))
 def q_stream_signals(spark, sf_dir):
-    """Orders produced per micro-batch from the newest 1,440 bars."""
+    """The orders of every (symbol, date), each from the 1,440 bars up to its entry bar."""
     cfg = instrument_table(spark, sf_dir)
     bars, out, ck = (scratch_path(spark, "sig-bars"), scratch_path(spark, "sig-out"),
                      scratch_path(spark, "sig-ckpt"))
     jobs.stream_signals(spark, event_tick_stream(spark, sf_dir), cfg, bars, out, ck, 100_000.0)
-    return spark.read.parquet(out)
+    return jobs.read_signals(spark, out)
 
 
 @register("stream_mtm", with_ctes(*_POS_SQL, """sm AS (

@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from sessionbars.operators import execution as ex
 from sessionbars.operators.features import build_features
-from sessionbars.operators.filters import with_history
-from sessionbars.operators.ml import score_latest
+from sessionbars.operators.sessions import ENTRY_CLOCK, ENTRY_HOURS, nearest_pick
 from sessionbars.sources.bars import TIMEFRAMES, last_n_bars
 
 # ----------------------------------------------------------------------------
@@ -96,41 +95,71 @@ def stream_daily_summary(closed: DataFrame, watermark: str = "1 hour", key: str
 # ----------------------------------------------------------------------------
 
 
+def _signal_windows(stored: DataFrame, brought: DataFrame, since, lookback: int) -> DataFrame:
+    """(symbol, day, entry_ts, date): the dates that hold the ``lookback`` bars
+    up to the entry bar of ``day``, for every day that ``brought`` (symbol,
+    date) can change.  Days meet earlier dates by their bar count in steps of
+    ``lookback``, so the join is linear in the dates."""
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = stored.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(w))
+    days = days.join(brought.withColumn("_new", F.lit(True)), ["symbol", "date"], "left")
+    entry = nearest_pick("ts", "id", ENTRY_CLOCK, ENTRY_HOURS, [])
+    entries = stored.filter(F.col("date") >= F.lit(since)).groupBy("symbol", "date").agg(entry.alias("_e"))
+    targets = entries.filter(F.col("_e").isNotNull()).join(days, ["symbol", "date"])
+    targets = targets.select("symbol", F.col("date").alias("day"), F.col("_e.ts").alias("entry_ts"),
+                             (F.col("_upto") - F.col("_n")).alias("_before"), "_new")
+    own = targets.select("symbol", "day", "entry_ts", F.col("day").alias("date"), "_new")
+    step = F.floor(F.col("_before") / F.lit(lookback))
+    steps = targets.drop("_new").withColumn("_step", F.explode(F.array(step - 1, step)))
+    earlier = steps.join(days.withColumn("_step", F.floor(F.col("_upto") / F.lit(lookback))), ["symbol", "_step"])
+    earlier = earlier.filter((F.col("date") < F.col("day")) & (F.col("_before") - F.col("_upto") < lookback))
+    spans = own.unionByName(earlier.select(own.columns))
+    changed = spans.filter("_new").select("symbol", "day").distinct()
+    return spans.join(changed, ["symbol", "day"], "left_semi").drop("_new")
+
+
 def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_table: str, out: str,
                    checkpoint: str, balance: float, lookback: int = 1440) -> None:
-    """Each micro-batch appends its bars to ``bar_table`` (partitioned
-    by date), rebuilds the features on the newest ``lookback`` bars per symbol
-    (today's row kept even without an exit bar), scores the newest row with
-    the rule predictor (MACD at entry) and writes the resulting orders.
-
-    Each symbol's dates are walked back until they hold ``lookback`` bars (an
-    aggregate of symbol and date only), so a symbol that pauses keeps its
-    history; only those dates are read back in full."""
-    def step(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Each micro-batch appends its bars to ``bar_table`` (partitioned by
+    date) and scores every (symbol, date) with an entry bar that the batch can
+    change: the features are rebuilt on the ``lookback`` bars up to that entry bar
+    and scored with the rule predictor (MACD at entry).
+
+    One row per (symbol, date) scored, without ``datetime`` where there is no
+    order; a later batch replaces it (``read_latest``), so the result does not
+    depend on where the batches are cut."""
+    cols = ["datetime", "direction", "confidence", "volume", "entry_price", "stop_loss", "take_profit",
+            "success", "error"]
+
+    def step(batch: DataFrame, batch_id: int) -> DataFrame | None:
         dated = batch.withColumn("date", F.to_date("ts"))
         dated.write.mode("overwrite").partitionBy("date").parquet(f"{bar_table}/batch_id={batch_id}")
-        newest = batch.agg(F.max("ts")).first()[0]      # one scalar per micro-batch
-        if newest is None:
+        since = dated.agg(F.min("date")).first()[0]     # one scalar per micro-batch
+        if since is None:
             return None
         stored = spark.read.parquet(bar_table)
-        later = Window.partitionBy("symbol").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
-        days = stored.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("_n"))
-        days = days.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).filter(F.col("_later") < lookback)
-        days = days.select("symbol", "date").persist()
-        since = days.agg(F.min("date")).first()[0]      # one scalar: prunes partitions
-        bars = stored.filter(F.col("date") >= F.lit(since)).join(days, ["symbol", "date"], "left_semi")
-        recent = last_n_bars(bars.drop("batch_id", "date"), lookback)
-        feats = build_features(recent, left_exit=True).withColumn("prediction", F.col("current_macd"))
-        latest = score_latest(feats, "prediction").drop("direction", "confidence")
-        sig = ex.quotes_from_mid(latest, "day_close_current").withColumn("local_ts", F.col("datetime"))
-        sig = with_history(sig, recent)
-        return ex.order_signals(sig, cfg, balance).select(
-            "symbol", "datetime", "direction", "confidence", "volume", "entry_price", "stop_loss",
-            "take_profit", "success", "error").withColumn("batch", F.lit(batch_id).cast("long"))
+        brought = dated.select("symbol", "date").distinct()
+        spans = _signal_windows(stored, brought, since, lookback).persist()
+        oldest = spans.agg(F.min("date")).first()[0]    # one scalar: prunes partitions
+        bars = stored.filter(F.col("date") >= F.lit(oldest)).join(spans, ["symbol", "date"])
+        bars = bars.filter(F.col("ts") <= F.col("entry_ts")).withColumn("_w", F.concat("symbol", F.lit("@"), F.col("day").cast("string")))
+        recent = last_n_bars(bars.drop("batch_id", "date", "entry_ts"), lookback, key="_w")
+        known = recent.groupBy("_w", "symbol", "day").agg(F.count(F.lit(1)).alias("history_bars"))
+        feats = build_features(recent.drop("symbol", "day"), key="_w", left_exit=True).join(known, "_w")
+        feats = feats.filter(F.to_date("datetime") == F.col("day")).withColumn("prediction", F.col("current_macd"))
+        sig = ex.quotes_from_mid(feats, "day_close_current").withColumn("local_ts", F.col("datetime"))
+        orders = ex.order_signals(sig, cfg, balance).select("symbol", F.to_date("datetime").alias("date"), *cols)
+        scored = spans.select("symbol", F.col("day").alias("date")).distinct()
+        return scored.join(orders, ["symbol", "date"], "left")
 
     run_upsert_log(ticks, out, checkpoint, mode="append", transform=step)
 
 
+def read_signals(spark: SparkSession, path: str) -> DataFrame:
+    """The orders of the newest scoring of each (symbol, date)."""
+    return read_latest(spark, path, ["symbol", "date"]).filter(F.col("datetime").isNotNull()).drop("date")
+
+
 # ----------------------------------------------------------------------------
 # Stream-static mark to market
 # ----------------------------------------------------------------------------

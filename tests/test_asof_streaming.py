@@ -55,3 +55,35 @@ def test_stream_bars_equal_batch_resample(spark):
     cols = ["symbol", "ts", "id", "open", "high", "low", "close", "volume", "ticks"]
     assert s.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert b.select(*cols).exceptAll(s.select(*cols)).count() == 0
+
+
+def test_stream_signals_do_not_depend_on_the_batches(spark, tmp_path):
+    """Every day's orders come, whether a batch brings one day, a piece of a day or all."""
+    from pyspark.sql import functions as F
+
+    from sessionbars.plans.adapters import event_bars
+    from sessionbars.plans.q_sources import instrument_table
+    from sessionbars.streaming import jobs
+
+    # ten weekdays of five-minute bars with a first minute at 20:00, and a price that swings
+    t0, rows = datetime(2024, 3, 4), []
+    symbol = event_bars(spark, SF01).select("symbol").orderBy("symbol").first()[0]
+    days = [d for d in range(14) if d % 7 < 5]
+    for d in days:
+        for m in range(9 * 60, 21 * 60 + 30, 5):
+            px = 100.0 + (d % 3 - 1) * (m - 900) / 20.0
+            rows.append((symbol, t0 + timedelta(days=d, minutes=m), len(rows), px, px, px, px, 1))
+    bars = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, id long, open double, high double, low double, "
+                                       "close double, volume long")
+    cfg, got = instrument_table(spark, SF01).persist(), {}
+    for name, cuts in {"one": [len(rows)], "many": [100, 431, 700, 1111, len(rows)]}.items():
+        src, lo = str(tmp_path / name), 0
+        for hi in cuts:
+            bars.filter((F.col("id") >= lo) & (F.col("id") < hi)).coalesce(1).write.mode("append").parquet(src)
+            lo = hi
+        paths = [str(tmp_path / f"{name}-{x}") for x in ("bars", "out", "ck")]
+        stream = jobs.tick_stream(spark, src, bars.schema, max_files=1 if name == "many" else None)
+        jobs.stream_signals(spark, stream, cfg, paths[0], paths[1], paths[2], 100_000.0)
+        got[name] = sorted(tuple(r) for r in jobs.read_signals(spark, paths[1]).drop("error").collect())
+    assert got["one"] == got["many"]
+    assert len(got["one"]) > 3 and len({r[1].date() for r in got["one"]}) == len(got["one"])
