@@ -19,7 +19,9 @@ expected to equal it; the structure, the selection rule and determinism are.
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -40,15 +42,8 @@ REFERENCE_GRID = {
 }
 ENSEMBLE_WEIGHTS = {"gbt": 0.4, "rf": 0.25, "gbt2": 0.25, "enet": 0.1}
 SEED = 42
-
-# A coarse grid for a quick look; every default is the full grid.
-COARSE_GRID = {
-    "maxDepth": [4, 6],
-    "stepSize": [0.1],
-    "maxIter": [10],
-    "subsamplingRate": [0.8],
-    "featureSubsetStrategy": ["0.8"],
-}
+# Fits of the grid that run at a time.
+PARALLEL_FITS = 8
 
 
 def feature_stages(features: list[str] = MODEL_FEATURES, by_symbol: bool = True, key: str = "symbol"):
@@ -107,21 +102,29 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
                 by_symbol: bool = True) -> tuple[dict, DataFrame]:
     """Mean MAE of each combination over the expanding time folds.
 
-    Returns (best params, one row per combination with its mean MAE).  The
-    training rows are cached once; every fit is a distributed job."""
+    Returns (best params, one row per combination with its mean MAE).  Each
+    fold's vectors are assembled and persisted once; every fit is a distributed
+    job, and ``PARALLEL_FITS`` of them are submitted at a time."""
     folds = time_series_folds(train, k).cache()
     spark = train.sparkSession
-    rows = []
+    data = []
+    for f in range(k):
+        tr = folds.filter((F.col("fold") == f) & (F.col("role") == "train"))
+        te = folds.filter((F.col("fold") == f) & (F.col("role") == "test"))
+        vectors = Pipeline(stages=feature_stages(by_symbol=by_symbol)).fit(tr)
+        data.append([vectors.transform(x).select("features", label).persist() for x in (tr, te)])
     combos = param_grid(grid)
-    for ci, params in enumerate(combos):
-        scores = []
-        for f in range(k):
-            tr = folds.filter((F.col("fold") == f) & (F.col("role") == "train"))
-            te = folds.filter((F.col("fold") == f) & (F.col("role") == "test"))
-            m = fit(gbt(label, **params), tr, by_symbol)
-            scores.append(m.transform(te).agg(mae(te, "pred_gbt", label)).first()[0])
-        rows.append((ci, str(params), float(sum(scores) / len(scores))))
-    folds.unpersist()
+
+    def score(job: tuple[int, int]) -> float:
+        tr, te = data[job[1]]
+        scored = gbt(label, **combos[job[0]]).fit(tr).transform(te)
+        return scored.agg(mae(scored, "pred_gbt", label)).first()[0]
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        scores = list(pool.map(inheritable_thread_target(spark)(score), [(ci, f) for ci in range(len(combos)) for f in range(k)]))
+    for df in [folds, *itertools.chain(*data)]:
+        df.unpersist()
+    rows = [(ci, str(params), float(sum(scores[ci * k : (ci + 1) * k]) / k)) for ci, params in enumerate(combos)]
     res = spark.createDataFrame(rows, "combo long, params string, mean_mae double")
     best = combos[min(rows, key=lambda r: (r[2], r[0]))[0]]
     return best, res
@@ -172,6 +175,12 @@ def predict_members(members: dict[str, PipelineModel], df: DataFrame) -> DataFra
     return out
 
 
+def predict_chosen(trained: dict, df: DataFrame, out: str = "prediction") -> DataFrame:
+    """Score ``df`` with the model that ``train_ensemble`` chose."""
+    scored = ensemble_average(predict_members(trained["members"], df))
+    return scored.withColumn(out, F.col("pred_ensemble" if trained["chosen"] == "ensemble" else "pred_gbt"))
+
+
 def score_latest(features: DataFrame, pred: str = "prediction", key: str = "symbol",
                  order: str = "datetime") -> DataFrame:
     """Newest feature row per symbol with direction and confidence."""

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sessionbars.operators import backtest as bt
 from sessionbars.operators import ml
 from sessionbars.operators.features import build_features
 from sessionbars.operators.splits import chronological_split
 from sessionbars.plans.adapters import event_bars
 from sessionbars.plans.q_backtest import _EV_FEAT
-from sessionbars.plans.registry import register
+from sessionbars.plans.registry import register, register_model
 from sessionbars.plans.sqlparts import normalized_select, with_ctes
 from sessionbars.session import scratch_path
 
@@ -45,12 +46,29 @@ register("enet_fit")(_fit_query(ml.elastic_net, "pred_enet"))
 
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
-    """Mean fold MAE per combination of the coarse grid (324 fits of the full one take hours here; see README)."""
+    """Mean fold MAE per combination of the full grid (324 fits; see README)."""
     train, _ = _split(spark, sf_dir)
-    _, table = ml.grid_search(train, ml.COARSE_GRID)
+    _, table = ml.grid_search(train, ml.REFERENCE_GRID)
     return table
 
 
+@register_model("model_backtest")
+def q_model_backtest(spark, sf_dir, grid=ml.REFERENCE_GRID, sizes=None):
+    """The ledger of the slice after training, traded by the chosen fitted model."""
+    feats = build_features(event_bars(spark, sf_dir), with_path=True)
+    trained = ml.train_ensemble(feats, grid, sizes)
+    return bt.ledger_export(bt.backtest(ml.predict_chosen(trained, feats)))
+
+
+@register_model("latest_signal_model")
+def q_latest_signal_model(spark, sf_dir, grid=ml.REFERENCE_GRID, sizes=None):
+    """The newest feature row per symbol, today's included, scored by the chosen fitted model."""
+    trained = ml.train_ensemble(_features(spark, sf_dir), grid, sizes)
+    feats = build_features(event_bars(spark, sf_dir), left_exit=True)
+    return ml.score_latest(ml.predict_chosen(trained, feats)).select(
+        "symbol", "datetime", "prediction", "direction", "confidence")
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """Fit, save to the shared folder, load, score; ``same`` compares

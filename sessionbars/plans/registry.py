@@ -12,6 +12,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+#: Queries on a whole trained ensemble: rows only, and hours long at the full grid.
+MODEL_QUERIES: dict[str, QueryFn] = {}
 
 
 def rounded(c):
@@ -46,3 +48,15 @@ def register(name: str, sql: str | None = None):
             ORACLE[name] = sql
         return fn
     return deco
+
+
+def register_model(name: str):
+    """Decorator: register a query of ``MODEL_QUERIES``."""
+    def deco(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return normalize(fn(spark, sf_dir))
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        MODEL_QUERIES[name] = run
+        return fn
+    return deco

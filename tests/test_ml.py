@@ -25,3 +25,48 @@ def test_train_ensemble_end_to_end(spark):
     assert sorted(r["pred_ensemble"] for r in rows) == sorted(r["pred_ensemble"] for r in again)
     res["split"].unpersist()
     feats.unpersist()
+
+
+def test_grid_query_searches_the_full_grid(spark, monkeypatch):
+    from sessionbars.plans import q_ml
+
+    asked = []
+    monkeypatch.setattr(q_ml.ml, "grid_search", lambda train, grid: (asked.append(grid), (None, train))[1])
+    q_ml.q_grid_search(spark, SF01)
+    assert [len(ml.param_grid(g)) for g in asked] == [108] and min(asked[0]["maxIter"]) == 100
+
+
+def test_parallel_grid_equals_single_fits(spark):
+    from sessionbars.operators.splits import chronological_split, time_series_folds
+
+    feats = build_features(event_bars(spark, SF01))
+    train = chronological_split(feats).filter(F.col("split") == "train").drop("split").cache()
+    best, table = ml.grid_search(train, TINY, k=2)
+    got = {r["combo"]: r["mean_mae"] for r in table.collect()}
+    folds = time_series_folds(train, 2).cache()
+    for ci, params in enumerate(ml.param_grid(TINY)):
+        scores = []
+        for f in range(2):
+            tr, te = (folds.filter((F.col("fold") == f) & (F.col("role") == x)) for x in ("train", "test"))
+            scored = ml.fit(ml.gbt(**params), tr).transform(te)
+            scores.append(scored.agg(ml.mae(scored, "pred_gbt")).first()[0])
+        assert abs(got[ci] - sum(scores) / 2) < 1e-9
+    assert best == ml.param_grid(TINY)[min(got, key=lambda c: (got[c], c))]
+
+
+def test_model_queries_use_the_chosen_model(spark, monkeypatch):
+    """The ledger and the signal carry the fitted model's predictions, not the rule's."""
+    from sessionbars.plans import q_ml
+
+    import __spark_entry__ as E
+
+    assert {"model_backtest", "latest_signal_model"} <= set(E.queries())
+    feats = build_features(event_bars(spark, SF01))
+    trained = ml.train_ensemble(feats, {**TINY, "maxDepth": [2]}, {"rf": {"numTrees": 5}, "gbt2": {"maxIter": 3}})
+    monkeypatch.setattr(ml, "train_ensemble", lambda *a: trained)
+    col = "pred_ensemble" if trained["chosen"] == "ensemble" else "pred_gbt"
+    want = {(r["symbol"], r["datetime"]): r[col] for r in ml.ensemble_average(ml.predict_members(trained["members"], feats)).collect()}
+    led = q_ml.q_model_backtest(spark, SF01).collect()
+    assert led and all(abs(r["predictions"] - want[r["symbol"], r["datetime"]]) < 1e-9 for r in led)
+    sig = q_ml.q_latest_signal_model(spark, SF01).collect()
+    assert len(sig) == len({s for s, _ in want}) and all(abs(r["prediction"] - want[r["symbol"], r["datetime"]]) < 1e-9 for r in sig if (r["symbol"], r["datetime"]) in want)
