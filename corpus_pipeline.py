@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionbars.llm import packing, quality, suffix_dedup, superminhash, toxicity
-from sessionbars.llm.common import filter_by_score, save, table
+from sessionbars.llm.common import filter_by_score, partitions, save, table
 from sessionbars.llm.queries import WORD_BPE
 
 #: No SQL states the classifiers, so the pipeline is tested against brute force.
@@ -33,23 +33,33 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs if space is None else filter_by_score(docs, space.scores, lambda s: s >= quality.KEEP)
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with ``_key``, a number of each row that rises with doc_id (rows
+    without one last), written so that it stays the same."""
+    at = docs.withColumn("_at", F.monotonically_increasing_id())
+    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.col("_at").asc()]
+    at = at.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    return save(at.withColumn("_key", F.monotonically_increasing_id()).drop("_at"), name)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, and rows without an id."""
-    gone = superminhash.near_duplicates(docs, 5, 80).filter("doc_id is not null and not kept")
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    """One row of each near-duplicate group stays, and all rows without an id."""
+    rows = keyed(docs, "near-dedup-rows")
+    named = rows.filter(F.col("doc_id").cast("long").isNotNull())
+    gone = superminhash.near_duplicates(named, 5, 80, id_col="_key").filter("not kept").select(F.col("doc_id").alias("_key"))
+    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated 50-byte strings are cut from the texts; n_chars follows.  Null
-    texts stay null; rows of one doc_id are taken for repeated rows."""
-    cut = suffix_dedup.remove_repeats(docs, with_text=True)
-    cut = cut.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_text"))
-    rest = docs.withColumn("_null", F.col("text").isNull()).drop("text")
-    joined = rest.join(cut, rest["doc_id"].cast("long").eqNullSafe(cut["_id"]), "left")
+    """Repeated 50-byte strings are cut from the texts, each row's from its own;
+    n_chars follows.  Null texts stay null."""
+    rows = keyed(docs, "suffix-array-rows")
+    cut = suffix_dedup.remove_repeats(rows, id_col="_key", with_text=True)
+    cut = cut.select(F.col("doc_id").alias("_key"), F.col("kept").alias("_text"))
+    joined = rows.withColumn("_null", F.col("text").isNull()).drop("text").join(cut, "_key", "left")
     text = F.when(~F.col("_null"), F.col("_text"))
     new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
-    return joined.select(*[new[c] if c in new else rest[c] for c in docs.columns])
+    return joined.select(*[new.get(c, F.col(c)) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

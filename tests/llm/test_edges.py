@@ -80,6 +80,22 @@ def test_stages(spark, edge, empty, tmp_path, labels):
     assert not {5, 9, 11} & set(kept) and {-4, 10, None} <= set(kept)
 
 
+def test_rows_without_or_with_equal_ids_keep_their_own_text(spark, tmp_path):
+    """Every row keeps its own text, and exactly one row of a group stays."""
+    from .conftest import DOCS, rows_of
+
+    other = [" ".join(f"{x}{i}" for i in range(40)) for x in "abcde"]
+    pairs = [(None, other[0]), (None, other[1]), (7, other[2]), (7, other[3]), (8, other[2]), (9, other[4]), (9, other[4]), (9, other[4])]
+    docs, sf = spark.createDataFrame(rows_of(pairs), DOCS).repartition(3), str(tmp_path)
+    alone = [(i, t) for i, t in pairs if i != 8][:5]
+    cut = corpus_pipeline.without_repeats(spark, spark.createDataFrame(rows_of(alone), DOCS).repartition(2), sf)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in cut.collect()) == sorted((i or 0, t) for i, t in alone)
+    texts = sorted(r["text"] for r in corpus_pipeline.without_repeats(spark, docs, sf).collect())
+    assert texts == sorted(["", "", "", *other])
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, sf).collect())
+    assert kept == sorted([(0, other[0]), (0, other[1]), (7, other[2]), (7, other[3]), (9, other[4])])
+
+
 def test_pipeline_by_steps(spark):
     """run() is the stages in order, each on what the one before kept."""
     got = corpus_pipeline.run(spark, SF).collect()
