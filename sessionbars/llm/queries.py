@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionbars.llm import chaining, fingerprint, packing, quality, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
+from sessionbars.llm import chaining, collocations, fingerprint, merkle, packing, quality, shuffle_shards, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
 from sessionbars.llm.common import table
 
 QUERIES: dict = {}
@@ -87,3 +87,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document by the convolutional network."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_two_pass_shuffle")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in one random order, cut into eight shards of equal counts."""
+    return shuffle_shards.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", merkle.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof, and what a tampered copy folds to."""
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+@query("op13_phrase_collocations", collocations.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two to four words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
