@@ -40,7 +40,7 @@ BITS = 26
 #: Text behind one hash partition on average.
 PARTITION_BYTES = 32 << 20
 #: Distinct n-grams that a task counts before it hands its summary on.
-HELD = 1 << 21
+HELD = 1 << 20
 LONGEST = 4
 
 _ENDS = np.zeros(256, bool)
@@ -140,14 +140,14 @@ def _local(shift: int, orders: tuple[int, ...], bitmap):
     """Counts of a task's n-grams of these orders, packed by hash partition; with a
     bitmap, only of those whose pairs all pass."""
 
-    def rows(h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-        part = (h >> np.uint64(64 - shift)).astype(np.int64) if shift else np.zeros(len(h), np.int64)
+    def rows(h: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = (h >> np.uint64(64 - shift)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(h) else np.zeros(0, np.int64)
         last = np.append(first[1:], len(h))
-        return pa.record_batch([
-            pa.array(part[first]), pa.array([int(c[a:b].sum()) for a, b in zip(first, last)], pa.int64()),
-            pa.array([h[a:b].tobytes() for a, b in zip(first, last)], pa.binary()),
-            pa.array([c[a:b].astype(np.uint32).tobytes() for a, b in zip(first, last)], pa.binary())], names=["part", "mass", "hashes", "counts"])
+        mass = [int(c[a:b].sum()) for a, b in zip(first, last)]
+        full = [h[a:b].tobytes() for a, b in zip(first, last)], [c[a:b].astype(np.uint32).tobytes() for a, b in zip(first, last)]
+        for data, (left, right) in ((False, ([b""] * len(first),) * 2), (True, full)):
+            yield pa.record_batch([pa.array(part[first]), pa.array([data] * len(first), pa.bool_()), pa.array([0 if data else m for m in mass], pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["part", "data", "mass", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -168,41 +168,43 @@ def _local(shift: int, orders: tuple[int, ...], bitmap):
                 h, c = summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
                 held, waiting = [(h, c)], len(h)
                 if len(h) > HELD:
-                    yield rows(h, c)
+                    yield from rows(h, c)
                     held, waiting = [], 0
         if held:
-            yield rows(*summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])))
+            yield from rows(*summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])))
 
     return run
 
 
 def _merged(shift: int, least: int, slack: int):
     """The survivors of each hash partition as its slice of the bitmap.  Rows come
-    sorted by partition; a summary and one batch of rows are in memory."""
+    sorted by partition, the masses of its summaries before the summaries; the
+    merged summary and one batch of rows are in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, summary, held = None, None, []
-
-        def merge():
-            if held:
-                summary.merge(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
-                held.clear()
+        part, total, summary, held, waiting = None, 0, None, [], 0
 
         def slice_of() -> pa.RecordBatch:
-            merge()
+            summary.merge(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
             bits = np.zeros(1 << BITS - shift, bool)
             bits[(summary.survivors(least) >> np.uint64(64 - BITS)).astype(np.int64) - (part << BITS - shift)] = True
             return pa.record_batch([pa.array([part], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
 
         for batch in batches:
-            for p, total, h, c in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+            for p, data, mass, h, c in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 if p != part:
                     if part is not None:
                         yield slice_of()
-                    part, summary = p, Summary(slack * total // least + 1)
+                    part, total, summary, held, waiting = p, 0, None, [], 0
+                if not data:
+                    total += mass
+                    continue
+                summary = summary or Summary(slack * total // least + 1)
                 held.append((np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32).astype(np.int64)))
-                if sum(len(x) for x, _ in held) > summary.capacity:
-                    merge()
+                waiting += len(held[-1][0])
+                if waiting > summary.capacity:
+                    summary.merge(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+                    held, waiting = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
         if part is not None:
             yield slice_of()
 
@@ -211,9 +213,8 @@ def _merged(shift: int, least: int, slack: int):
 
 def survivors(texts: DataFrame, orders: tuple[int, ...], shift: int, least: int, bitmap=None, slack: int = SLACK) -> np.ndarray:
     """The bitmap of the n-grams of these orders that may occur ``least`` times."""
-    local = save(texts.mapInArrow(_local(shift, orders, bitmap), "part long, mass long, hashes binary, counts binary"), "gram-counts")
-    total = local.groupBy("part").agg(F.sum("mass").alias("total"))
-    dealt = local.join(total, "part").select("part", "total", "hashes", "counts").repartition(1 << shift, "part").sortWithinPartitions("part")
+    local = texts.mapInArrow(_local(shift, orders, bitmap), "part long, data boolean, mass long, hashes binary, counts binary")
+    dealt = local.repartition(1 << shift, "part").sortWithinPartitions("part", "data")
     bits = np.zeros(1 << BITS - 3, np.uint8)
     for r in dealt.mapInArrow(_merged(shift, least, slack), "part long, bits binary").toLocalIterator():  # 2^BITS bits in all
         lo = r["part"] << BITS - shift - 3
