@@ -222,29 +222,48 @@ def survivors(texts: DataFrame, orders: tuple[int, ...], shift: int, least: int,
     return bits
 
 
-def _exact(bitmap):
-    """(lang, k, phrase, f) of a chunk's n-grams that pass, and its words (k = 0).
-    N-grams are told apart by their hash and, should one hash have several, by words."""
+def _exact(bitmap, most: int = 1 << 18):
+    """(lang, k, phrase, f) of a task's n-grams that pass, and its words (k = 0).
+    N-grams are told apart by two hashes; one met again adds to the row held for
+    it, of which a task holds about ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        h, check, n, at = none
+        names: list[tuple[str, int, str]] = []
+        total: dict[str, int] = {}
+
+        def rows() -> pa.RecordBatch:
+            out = [(*names[i], f) for i, f in zip(at.tolist(), n.tolist())] + [(lang, 0, "", f) for lang, f in total.items()]
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+            return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 4, kinds)], names=["lang", "k", "phrase", "f"])
+
         for g in _mixed(batches):
-            langs, ks, phrases, counts = [], [], [], []
-            for i, n in zip(*np.unique(g.text, return_counts=True)):
-                langs.append(g.langs[i]), ks.append(0), phrases.append(""), counts.append(int(n))
-            second = mix(g.words.hashes ^ (g.words.ends - g.words.starts).astype(np.uint64) * _P)
-            check = second.copy()
-            for k, h, there in g.orders(LONGEST):
+            for i, f in zip(*np.unique(g.text, return_counts=True)):
+                total[g.langs[i]] = total.get(g.langs[i], 0) + int(f)
+            word = mix(g.words.hashes ^ (g.words.ends - g.words.starts).astype(np.uint64) * _P)
+            second = word
+            for k, first, there in g.orders(LONGEST):
                 if k > 1:
-                    check = mix(check[: len(h)] + second[k - 1 :][: len(h)] * _P)
-                at = np.flatnonzero(there & passes(bitmap.value, h))
-                at = at[np.lexsort((check[at], h[at]))]
-                new = np.ones(len(at), bool)
-                new[1:] = (h[at][1:] != h[at][:-1]) | (check[at][1:] != check[at][:-1])
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(at)))
-                for i, c in zip(at[first].tolist(), n.tolist()):
-                    langs.append(g.langs[g.text[i]]), ks.append(k), phrases.append(g.phrase(i, k).decode()), counts.append(c)
-            yield pa.record_batch([pa.array(langs, pa.string()), pa.array(ks, pa.int32()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())], names=["lang", "k", "phrase", "f"])
+                    second = mix(second[: len(first)] + word[k - 1 :][: len(first)] * _P)
+                i = np.flatnonzero(there & passes(bitmap.value, first))
+                i = i[np.lexsort((second[i], first[i]))]
+                x, y = first[i], second[i]
+                new = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(i) else np.zeros(0, np.int64)
+                x, y, f, i = x[new], y[new], np.diff(np.append(new, len(i))), i[new]
+                place = np.minimum(np.searchsorted(h, x), len(h) - 1) if len(h) else np.zeros(len(x), np.int64)
+                known = (h[place] == x) & (check[place] == y) if len(h) else np.zeros(len(x), bool)
+                n[place[known]] += f[known]
+                fresh = ~known
+                ref = np.arange(len(names), len(names) + int(fresh.sum()))
+                names.extend((g.langs[g.text[j]], k, g.phrase(j, k).decode()) for j in i[fresh].tolist())
+                h, check, n, at = (np.concatenate(z) for z in ((h, x[fresh]), (check, y[fresh]), (n, f[fresh]), (at, ref)))
+                order = np.argsort(h, kind="stable")
+                h, check, n, at = h[order], check[order], n[order], at[order]
+            if len(h) > most:
+                yield rows()
+                (h, check, n, at), names, total = none, [], {}
+        yield rows()
 
     return run
 
