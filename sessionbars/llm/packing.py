@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionbars.llm.common import prepare, save, texts_of, worker_cache
+from sessionbars.llm.common import prepare, save, texts_of, vocabulary, worker_cache
 
 SEQUENCE = 4096
 END_ID = 1
@@ -46,7 +46,9 @@ class WordEncoder:
 
     Such a tokenizer cuts at white space before anything else, so a text's ids
     are those of its blank-separated chunks in a row, and a chunk that is
-    letters plus closing punctuation is those two in a row.  A batch of texts
+    letters plus closing punctuation is those two in a row.  That holds for
+    words that stay letters in the tokenizer's normal form (see ``_letters``);
+    any other chunk is encoded as it stands.  A batch of texts
     is looked up in a small table of its own, filled from a bounded cache of
     words and, for the rest, by encoding many new words at once.
     """
@@ -80,12 +82,13 @@ class WordEncoder:
         out = dict(zip(chunks, map(kept.get, chunks)))
         miss = [c for c, ids in out.items() if ids is None]
         cores = [c.rstrip(string.punctuation) for c in miss]
-        new = list({w for w in cores if w not in kept and w.isalpha()})
+        plain = {w for w in set(cores) if _letters(w)}
+        new = [w for w in plain if w not in kept]
         for i in range(0, len(new), 20_000):
             self._words(new[i : i + 20_000])
         kept = self.kept
         for c, core in zip(miss, cores):
-            ids = kept.get(core) if core.isalpha() else None
+            ids = kept.get(core) if core in plain else None
             if ids is None:  # digits, symbols, marks: the chunk as it is
                 ids = kept[c] = self.ids(c)
             elif len(c) > len(core):
@@ -103,6 +106,18 @@ class WordEncoder:
             yield b"".join(map(get, chunks))
 
 
+def _letters(word: str) -> bool:
+    """Whether a word is letters alone, also composed and in lower case: some letters
+    (a capital I with a dot) become a letter and a mark, and a mark goes with the
+    symbols that follow it."""
+    if not word.isalpha():
+        return False
+    if word.isascii():
+        return True
+    composed = unicodedata.normalize("NFC", word)
+    return composed.isalpha() and unicodedata.normalize("NFC", composed.lower()).isalpha() and composed.lower().isalpha()
+
+
 #: Two symbols in a row are one unit to the tokenizer; nothing may be put between them.
 _RUN = re.compile(r"[^\w \n]{2}|_")
 
@@ -110,9 +125,10 @@ _RUN = re.compile(r"[^\w \n]{2}|_")
 def _plain(t: str) -> str:
     """Blanks for line ends, lower case where Python's is surely the
     tokenizer's, and stops set apart where every symbol stands alone."""
-    safe = "<|" not in t and (t.isascii() or ("\u03a3" not in t and "\u0130" not in t and unicodedata.is_normalized("NFC", t)))
+    normal = t.isascii() or ("\u0130" not in t and unicodedata.is_normalized("NFC", t))
+    safe = normal and "<|" not in t and "\u03a3" not in t
     t = (t.lower() if safe else t).replace("\n", " ")
-    return t if _RUN.search(t) else t.replace(".", " .").replace(",", " ,")
+    return t if not normal or _RUN.search(t) else t.replace(".", " .").replace(",", " ,")
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -122,7 +138,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = worker_cache(f"words:{tokenizer}", lambda: WordEncoder(tokenizer))
+        enc = worker_cache(f"words:{tokenizer}", lambda: WordEncoder(vocabulary(tokenizer)))
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(ids), 500):
