@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import tempfile
 import uuid
@@ -69,6 +70,16 @@ def worker_cache(key: str, make):
     return kept[key]
 
 
+def vocabulary(name: str) -> str:
+    """Where a vocabulary file lies on this machine: a path as it is, a bare file
+    name among the public tokenizers.  Asked on the workers."""
+    if os.sep in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, UTF-8 texts) in pieces of about ``limit`` bytes; null texts are empty."""
     for batch in batches:

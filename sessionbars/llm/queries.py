@@ -13,10 +13,9 @@ from sessionbars.llm.common import table
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
-#: Where the vocabulary files lie, unless set otherwise.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
-PIECE_BPE = f"{TOKENIZERS}/piece_bpe_32k.model"
+#: Vocabulary files: names among the public tokenizers, or paths in the folder TOKENIZER_DIR.
+_FOLDER = os.environ.get("TOKENIZER_DIR")
+WORD_BPE, PIECE_BPE = (os.path.join(_FOLDER, f) if _FOLDER else f for f in ("word_bpe_49k.json", "piece_bpe_32k.model"))
 
 
 def query(name: str, oracle: str | None = None):

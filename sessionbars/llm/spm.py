@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
-from sessionbars.llm.common import prepare, texts_of, worker_cache
+from sessionbars.llm.common import prepare, texts_of, vocabulary, worker_cache
 
 MARK = "▁"
 CACHE_WORDS = 500_000
@@ -138,9 +138,9 @@ def words_apart(m: Model) -> bool:
 
 class Codec:
     def __init__(self, path: str):
-        with open(path, "rb") as f:
+        self.path = vocabulary(path)
+        with open(self.path, "rb") as f:
             self.model = parse(f.read())
-        self.path = path
         self.tok = build(self.model)
         self.apart = words_apart(self.model) and not self.model.charsmap and not self.model.drop_spaces and self.model.dummy_prefix
         self.starts = np.array([p.startswith(MARK) for p in self.model.pieces])

@@ -7,8 +7,8 @@ the least offer.  One element thus takes different ranks at different places,
 which lowers the variance against independent minima, and a set is done as soon
 as no place holds more than j: large sets after two or three steps.
 
-Equal sets form classes first and only one document of each, that with the
-least doc_id, goes on.  Signatures are cut into bands; classes that share a
+Equal sets form classes first and only one text of each, of the least doc_id,
+goes on, under a number of its own.  Signatures are cut into bands; classes that share a
 band are candidates:
 
 1. each class against the band's least one (a star, never all pairs), and
@@ -24,7 +24,8 @@ proven no link.  Links are confirmed on the full shingle sets in integers.
 Edge cases: a null text is empty; a text without words has an empty set and is
 linked with nothing; fewer words than a shingle make one shingle; rows with a
 null doc_id take no part (component_id null, kept false); repeated rows get
-equal rows; an empty table gives no rows.
+equal rows; a doc_id with unlike texts has the links of all of them, and its
+rows without words only itself; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ def _sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def profiles(docs: DataFrame, k: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), band keys."""
+    """doc_id, n_shingles, digest of the set (null if empty), band keys, tag (MD5) of the text."""
     kind = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +107,10 @@ def profiles(docs: DataFrame, k: int, rows: int) -> DataFrame:
             size = np.diff(bounds)
             raw = h.tobytes()
             digest = [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() if b > a else None for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(list(keys), kind)], names=["doc_id", "n_shingles", "digest", "keys"])
+            tag = [hashlib.md5(t, usedforsecurity=False).hexdigest() for t in texts]
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(list(keys), kind), pa.array(tag)], names=["doc_id", "n_shingles", "digest", "keys", "tag"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, tag string")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
@@ -169,6 +171,15 @@ def open_pairs(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return pairs.select(F.greatest("doc_id_x", "doc_id_y").alias("a"), F.least("doc_id_x", "doc_id_y").alias("b")).distinct()
 
 
+def of_one_id(some: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that the unlike texts of one doc_id are in."""
+    ids = some.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi")
+    rows = some.select("doc_id", "digest").join(ids.select("doc_id"), "doc_id", "left_semi").distinct()
+    nodes = rows.join(reps.select("digest", "node"), "digest")
+    hubs = nodes.groupBy("doc_id").agg(F.min("node").alias("hub"))
+    return nodes.join(hubs, "doc_id").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept.  Texts are linked if
     100 * |intersection| >= percent * |union|."""
@@ -177,9 +188,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     rows = rows_per_band(percent / 100)
     prof = save(profiles(docs, shingle, rows), "profiles")
     some = prof.filter("doc_id is not null and digest is not null")
-    reps = some.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    heads = some.join(reps.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_d")), ["doc_id"]).filter("digest = _d").dropDuplicates(["doc_id"])
-    member = heads.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
+    # a class of equal sets goes by its number, as one doc_id may head several
+    reps = some.groupBy("digest").agg(F.min(F.struct("doc_id", "tag", "n_shingles", "keys")).alias("one"))
+    reps = save(reps.select("digest", F.col("one.doc_id").alias("rep"), "one.tag", "one.n_shingles", "one.keys", F.monotonically_increasing_id().alias("node")), "classes")
+    member = reps.select(F.col("node").alias("doc_id"), "n_shingles", F.explode("keys").alias("key"))
     hubs = member.groupBy("key").agg(F.min(F.struct("doc_id", "n_shingles")).alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     live = save(member.join(hubs, "key").select("key", "doc_id", "n_shingles", F.col("hub.doc_id").alias("hub"), F.col("hub.n_shingles").alias("hub_n")), "members")
 
@@ -187,12 +199,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
     # only texts that share a band with another are read again
-    ids = live.select("doc_id").distinct()
-    texts = save(docs.join(ids, "doc_id", "left_semi").filter("text is not null").dropDuplicates(["doc_id"]), "texts")
+    ids = reps.join(live.select(F.col("doc_id").alias("node")).distinct(), "node").select(F.col("rep").alias("doc_id"), "tag", "node")
+    tagged = docs.filter("text is not null").withColumn("tag", F.md5(F.encode("text", "UTF-8")))
+    texts = save(tagged.join(ids, ["doc_id", "tag"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "texts")
     star = live.filter((F.col("doc_id") != F.col("hub")) & fits("n_shingles", "hub_n")).select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     tested = save(verify(star, texts, shingle), "tested")
     linked = (100 * F.col("inter") >= percent * F.col("uni"))
-    links = tested.filter(linked).select("a", "b")
+    links = tested.filter(linked).select("a", "b").unionByName(of_one_id(some, reps))
     label = components(links)
 
     # bands that still hold several groups
@@ -216,7 +229,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     if not more.isEmpty():
         label = components(links.unionByName(more))
 
-    named = reps.join(label, reps["rep"] == label["id"], "left").select(F.col("digest").alias("_d"), F.coalesce("component", "rep").alias("_c"))
+    joined = reps.join(label, reps["node"] == label["id"], "left").withColumn("group", F.coalesce("component", "node"))
+    least = joined.groupBy("group").agg(F.min("rep").alias("_c"))
+    named = joined.join(least, "group").select(F.col("digest").alias("_d"), "_c")
     out = prof.join(named, prof["digest"] == named["_d"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -8,9 +8,11 @@ from collections import defaultdict
 import numpy as np
 import pyarrow.dataset as ds
 import pytest
+from pyspark.sql import functions as F
 from .conftest import EDGE, PASSAGE, SF, rows_of, DOCS
 
 from sessionbars.llm import chaining, fingerprint, packing, quality, queries, spm, suffix_dedup, superminhash, toxicity, voronoi, warc
+from sessionbars.llm.common import vocabulary
 from sessionbars.llm.components import components
 from sessionbars.llm.textops import Words, shingles
 
@@ -62,6 +64,18 @@ def test_near_duplicates(spark, small):
     check_near(queries.op7(spark, SF), small, 3, 85)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """A doc_id with unlike texts keeps the links of each of them, in any order."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b + " z"), (3, a + " z"), (5, c), (5, ""), (4, c + " y"), (6, None), (1, a), (9, c), (9, b)]
+    for seed in (1, 2):
+        df = spark.createDataFrame(rows_of(rows), DOCS).orderBy(F.rand(seed)).repartition(3)
+        got = [(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in superminhash.near_duplicates(df, 3, 85).collect()]
+        assert len(got) == len(rows)
+        assert {(i, k) for i, n, k, _ in got if n} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (9, 1)}
+        assert {(i, k, kept) for i, n, k, kept in got if not n} == {(5, 5, True), (6, 6, True)}
+
+
 def test_near_duplicate_chains(spark):
     """A cluster whose texts are linked only by way of others, in three components of one band."""
     rng = np.random.default_rng(3)
@@ -156,7 +170,7 @@ def test_fingerprint_plan_is_native(spark):
 def test_packing(spark, small):
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(queries.WORD_BPE)
+    tok = Tokenizer.from_file(vocabulary(queries.WORD_BPE))
     got = queries.op2(spark, SF).collect()
     want = {}
     for i, t in small:
@@ -177,6 +191,20 @@ def test_packing(spark, small):
     assert len(bins) <= 1.05 * sum(r["length"] for r in got) / 4096 + 1
 
 
+def test_token_ids_of_marks_and_symbols():
+    """Letters that become a letter and a mark, marks, runs of symbols: as the tokenizer has them."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary(queries.WORD_BPE)
+    tok, enc, rng = Tokenizer.from_file(path), packing.WordEncoder(path), np.random.default_rng(7)
+    parts = ["CUMHURİYETİ", "İ", "i̇", "ı", "Σ", "ΟΔΟΣ", "ς", "é", "e\u0301", "ß", "ẞ", "क़", "क", "़", "שּׁ", "ﬁ", "한", "각", "日本", "x", "Word", "don't", "3", "²", "Ⅷ", "_", "\u0307", "\u200d", "—"]
+    marks = [".", ",", "...", "!", "?", "'s", "-", "%", "%%", "$", "<|", "|>", " ", " ", " ", "\n", "\t", "", ""]
+    texts = ["CUMHURİYETİ.", "İ.", "İ, İ. x"]
+    texts += ["".join(parts[rng.integers(len(parts))] + marks[rng.integers(len(marks))] for _ in range(rng.integers(1, 7))) for _ in range(60_000)]
+    wrong = [t for lo in range(0, len(texts), 500) for t, raw in zip(texts[lo : lo + 500], enc.encode(texts[lo : lo + 500])) if np.frombuffer(raw, "<u4").tolist() != tok.encode(t, add_special_tokens=False).ids]
+    assert wrong == []
+
+
 def test_packing_holds_every_capacity():
     rng = np.random.default_rng(2)
     for rule in ("dot", "norm"):
@@ -189,6 +217,19 @@ def test_packing_holds_every_capacity():
         packing.pack_lengths(np.array([101]), (100, 3, 1e9))
 
 
+def test_capacities_that_bind(spark):
+    """At most 5 documents and a bounded attention cost a sequence: both are met, both cost sequences."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter(F.length("text") < 4000)
+    made = {}
+    for name, how in {"tokens": {}, "documents": {"max_documents": 5}, "attention": {"max_attention": 3_000_000.0}}.items():
+        bins = defaultdict(list)
+        for r in packing.pack_documents(docs, queries.WORD_BPE, weights=(1.0, 0.5, 0.5), rule="norm", **how).collect():
+            bins[r["sequence_id"]].append(r["length"])
+        made[name] = len(bins)
+        assert all(sum(x) <= 4096 and len(x) <= how.get("max_documents", 4096) and sum(n * n for n in x) <= how.get("max_attention", 4096**2) for x in bins.values())
+    assert made["documents"] > made["tokens"] and made["attention"] > made["tokens"]
+
+
 def test_warc_round_trip(spark):
     kinds = "page_id long, url string, html string, digest string, payload int"
     big = "x" * 2000
@@ -226,7 +267,7 @@ def test_sentencepiece_parity():
 
     codec = spm.Codec(queries.PIECE_BPE)
     texts = [t or "" for _, t in EDGE if t is None or len(t) < 10_000] + ["  a  b ", "▁x y▁", "a\nb", "<s> </s>", "日本 語", "end "]
-    want = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_BPE).encode(texts)
+    want = sentencepiece.SentencePieceProcessor(model_file=vocabulary(queries.PIECE_BPE)).encode(texts)
     ids = codec.encode(texts)
     assert [np.frombuffer(i, "<u4").tolist() for i in ids] == want
     assert [a for a, t in zip(codec.decode(ids), texts) if "▁" not in t] == [t for t in texts if "▁" not in t]
@@ -237,7 +278,7 @@ def test_sentencepiece_parity():
 def test_sentencepiece_whole_table(spark, small):
     import sentencepiece
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_BPE)
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary(queries.PIECE_BPE))
     got = {r[0]: tuple(r[1:]) for r in queries.op6(spark, SF).collect()}
     assert got == {i: (len(x := sp.encode(t)), zlib.crc32(np.array(x, "<u4").tobytes()), True) for i, t in small}
 

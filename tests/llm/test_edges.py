@@ -96,6 +96,16 @@ def test_rows_without_or_with_equal_ids_keep_their_own_text(spark, tmp_path):
     assert kept == sorted([(0, other[0]), (0, other[1]), (7, other[2]), (7, other[3]), (9, other[4])])
 
 
+def test_stages_with_clashing_columns(spark, tmp_path):
+    """Columns called like the stages' own come back as they were."""
+    names = ["_at", "_key", "_text", "_null", "_Key_", "kept", "digest", "tag", "node", "component", "a.b"]
+    rows = [(i, " ".join(f"{x}{j}" for j in range(40)), *[f"{i}-{n}" for n in names]) for i, x in enumerate("abca")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)).repartition(2)
+    for stage, want in ((corpus_pipeline.one_of_each_group, rows[:3]), (corpus_pipeline.without_repeats, [*rows[:3], (3, "", *rows[3][2:])])):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == want
+
+
 def test_pipeline_by_steps(spark):
     """run() is the stages in order, each on what the one before kept."""
     got = corpus_pipeline.run(spark, SF).collect()
