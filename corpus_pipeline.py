@@ -33,33 +33,41 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return docs if space is None else filter_by_score(docs, space.scores, lambda s: s >= quality.KEEP)
 
 
-def keyed(docs: DataFrame, name: str) -> DataFrame:
-    """The rows with ``_key``, a number of each row that rises with doc_id (rows
-    without one last), written so that it stays the same."""
-    at = docs.withColumn("_at", F.monotonically_increasing_id())
-    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.col("_at").asc()]
-    at = at.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
-    return save(at.withColumn("_key", F.monotonically_increasing_id()).drop("_at"), name)
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores until no column of docs is called so."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n for n in (name + "_" * i for i in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
+def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, written with a column more, a number of each row that rises with
+    doc_id (rows without one last) and stays the same, and that column's name."""
+    at, key = unused(docs, "_at", "_key")
+    numbered = docs.withColumn(at, F.monotonically_increasing_id())
+    order = [F.col("doc_id").cast("long").asc_nulls_last(), F.col(at).asc()]
+    numbered = numbered.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    return save(numbered.withColumn(key, F.monotonically_increasing_id()).drop(at), name), key
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays, and all rows without an id."""
-    rows = keyed(docs, "near-dedup-rows")
+    rows, key = keyed(docs, "near-dedup-rows")
     named = rows.filter(F.col("doc_id").cast("long").isNotNull())
-    gone = superminhash.near_duplicates(named, 5, 80, id_col="_key").filter("not kept").select(F.col("doc_id").alias("_key"))
-    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
+    gone = superminhash.near_duplicates(named, 5, 80, id_col=key).filter("not kept").select(F.col("doc_id").alias(key))
+    return rows.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated 50-byte strings are cut from the texts, each row's from its own;
     n_chars follows.  Null texts stay null."""
-    rows = keyed(docs, "suffix-array-rows")
-    cut = suffix_dedup.remove_repeats(rows, id_col="_key", with_text=True)
-    cut = cut.select(F.col("doc_id").alias("_key"), F.col("kept").alias("_text"))
-    joined = rows.withColumn("_null", F.col("text").isNull()).drop("text").join(cut, "_key", "left")
-    text = F.when(~F.col("_null"), F.col("_text"))
+    rows, key = keyed(docs, "suffix-array-rows")
+    null, left = unused(docs, "_null", "_text")
+    cut = suffix_dedup.remove_repeats(rows, id_col=key, with_text=True)
+    cut = cut.select(F.col("doc_id").alias(key), F.col("kept").alias(left))
+    joined = rows.withColumn(null, F.col("text").isNull()).drop("text").join(cut, key, "left")
+    text = F.when(~F.col(null), F.col(left))
     new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
-    return joined.select(*[new.get(c, F.col(c)) for c in docs.columns])
+    return joined.select(*[new.get(c, F.col(f"`{c}`")) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
