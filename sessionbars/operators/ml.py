@@ -18,7 +18,9 @@ expected to equal it; the structure, the selection rule and determinism are.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -44,6 +46,8 @@ ENSEMBLE_WEIGHTS = {"gbt": 0.4, "rf": 0.25, "gbt2": 0.25, "enet": 0.1}
 SEED = 42
 # Fits of the grid that run at a time.
 PARALLEL_FITS = 8
+# Rows of a fold that one partition holds.
+ROWS_PER_PARTITION = 50_000
 
 
 def feature_stages(features: list[str] = MODEL_FEATURES, by_symbol: bool = True, key: str = "symbol"):
@@ -98,13 +102,53 @@ def param_grid(grid: dict) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
+def nested_fits(grid: dict) -> list[tuple[dict, dict[int, int]]]:
+    """The fits a grid needs: (params with the most rounds, {combination: its rounds}).
+
+    Boosting is sequential and every round has its own seed, so the first 100
+    rounds of a 300-round fit are the 100-round fit: combinations that differ in
+    ``maxIter`` alone are one fit."""
+    out: dict[tuple, tuple[dict, dict[int, int]]] = {}
+    for ci, params in enumerate(param_grid(grid)):
+        rounds = params["maxIter"]
+        rest = tuple((k, v) for k, v in params.items() if k != "maxIter")
+        fit_params, members = out.setdefault(rest, (dict(params), {}))
+        fit_params["maxIter"] = max(fit_params["maxIter"], rounds)
+        members[ci] = rounds
+    return list(out.values())
+
+
+def fingerprint(df: DataFrame, *salt) -> str:
+    """A name for the rows of df (in any order) and the settings: what is fitted on
+    them can be found again under it."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    n, a, b = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.sum(F.xxhash64(row).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((df.columns, n, str(a), str(b), salt)).encode()).hexdigest()[:24]
+
+
+def _read_scores(spark, store: str) -> dict[tuple[int, int], list[float]]:
+    """Scores of earlier fits, by (fit, fold)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return {}
+    rows = spark.read.schema("fit int, fold int, errors array<double>").json(f"{store}/*").filter("errors is not null").collect()
+    return {(r["fit"], r["fold"]): r["errors"] for r in rows}
+
+
 def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label: str = "target",
-                by_symbol: bool = True) -> tuple[dict, DataFrame]:
+                by_symbol: bool = True, store: str | None = None,
+                rows_per_partition: int | None = None) -> tuple[dict, DataFrame]:
     """Mean MAE of each combination over the expanding time folds.
 
-    Returns (best params, one row per combination with its mean MAE).  Each
-    fold's vectors are assembled and persisted once; every fit is a distributed
-    job, and ``PARALLEL_FITS`` of them are submitted at a time."""
+    Returns (best params, one row per combination with its mean MAE).  Every fit
+    is a distributed job over its fold's vectors, which are assembled and
+    persisted once, ``rows_per_partition`` in a partition where it is given (a
+    boosting round costs a few tasks for each, however few the rows);
+    ``PARALLEL_FITS`` are submitted at a time.  One fit of the most rounds serves
+    all combinations nested in it (``nested_fits``), scored round by round.
+
+    With ``store``, a folder that outlives the session, each finished fit leaves
+    its errors there and a search that was cut off goes on where it stood."""
     folds = time_series_folds(train, k).cache()
     spark = train.sparkSession
     data = []
@@ -112,19 +156,33 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
         tr = folds.filter((F.col("fold") == f) & (F.col("role") == "train"))
         te = folds.filter((F.col("fold") == f) & (F.col("role") == "test"))
         vectors = Pipeline(stages=feature_stages(by_symbol=by_symbol)).fit(tr)
-        data.append([vectors.transform(x).select("features", label).persist() for x in (tr, te)])
-    combos = param_grid(grid)
-
-    def score(job: tuple[int, int]) -> float:
-        tr, te = data[job[1]]
-        scored = gbt(label, **combos[job[0]]).fit(tr).transform(te)
-        return scored.agg(mae(scored, "pred_gbt", label)).first()[0]
-
+        sides = []
+        for x in (tr, te):
+            v = vectors.transform(x).select("features", label)
+            if rows_per_partition:
+                parts = -(-x.count() // rows_per_partition)
+                v = v.coalesce(1) if parts <= 1 else v.repartition(parts)
+            sides.append(v.persist())
+        data.append(sides)
+    combos, fits = param_grid(grid), nested_fits(grid)
+    errors = _read_scores(spark, store) if store else {}
+
+    def score(job: tuple[int, int]) -> tuple[tuple[int, int], list[float]]:
+        i, f = job
+        model = gbt(label, **fits[i][0]).fit(data[f][0])
+        found = list(model.evaluateEachIteration(data[f][1], "absolute"))
+        if store:
+            one = spark.createDataFrame([(i, f, found)], "fit int, fold int, errors array<double>")
+            one.coalesce(1).write.mode("overwrite").json(f"{store}/fit-{i}-fold-{f}")
+        return job, found
+
+    todo = [(i, f) for i in range(len(fits)) for f in range(k) if (i, f) not in errors]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        scores = list(pool.map(inheritable_thread_target(spark)(score), [(ci, f) for ci in range(len(combos)) for f in range(k)]))
+        errors |= dict(pool.map(inheritable_thread_target(spark)(score), todo))
     for df in [folds, *itertools.chain(*data)]:
         df.unpersist()
-    rows = [(ci, str(params), float(sum(scores[ci * k : (ci + 1) * k]) / k)) for ci, params in enumerate(combos)]
+    mean = {ci: sum(errors[i, f][rounds - 1] for f in range(k)) / k for i, (_, members) in enumerate(fits) for ci, rounds in members.items()}
+    rows = [(ci, str(params), float(mean[ci])) for ci, params in enumerate(combos)]
     res = spark.createDataFrame(rows, "combo long, params string, mean_mae double")
     best = combos[min(rows, key=lambda r: (r[2], r[0]))[0]]
     return best, res
@@ -149,12 +207,12 @@ def select_model(val: DataFrame, primary: str = "pred_gbt", ensemble: str = "pre
 
 
 def train_ensemble(features: DataFrame, grid: dict = REFERENCE_GRID, sizes: dict | None = None,
-                   by_symbol: bool = True) -> dict:
+                   by_symbol: bool = True, store: str | None = None) -> dict:
     """E1 in one call: split, search, fit the four members, pick the model."""
     sp = chronological_split(features).cache()
     train = sp.filter(F.col("split") == "train").drop("split")
     val = sp.filter(F.col("split") == "val").drop("split")
-    best, table = grid_search(train, grid, by_symbol=by_symbol)
+    best, table = grid_search(train, grid, by_symbol=by_symbol, store=store, rows_per_partition=ROWS_PER_PARTITION)
     sizes = sizes or {}    # overrides per member, e.g. {"rf": {"numTrees": 20}}
     members = {
         "gbt": fit(gbt(**best), train, by_symbol),
@@ -177,10 +235,44 @@ def predict_members(members: dict[str, PipelineModel], df: DataFrame) -> DataFra
 
 def predict_chosen(trained: dict, df: DataFrame, out: str = "prediction") -> DataFrame:
     """Score ``df`` with the model that ``train_ensemble`` chose."""
-    scored = ensemble_average(predict_members(trained["members"], df))
+    scored = ensemble_average(predict_members(trained["members"], df), weights=trained.get("weights", ENSEMBLE_WEIGHTS))
     return scored.withColumn(out, F.col("pred_ensemble" if trained["chosen"] == "ensemble" else "pred_gbt"))
 
 
+def save_ensemble(trained: dict, path: str) -> None:
+    """The ensemble as one artefact: the members, and, written last, what it takes to
+    use them (weights, choice, feature list, search results)."""
+    spark = trained["split"].sparkSession
+    for name, model in trained["members"].items():
+        save_model(model, f"{path}/{name}")
+    trained["grid"].coalesce(1).write.mode("overwrite").parquet(f"{path}/grid")
+    about = {"members": list(trained["members"]), "weights": ENSEMBLE_WEIGHTS, "chosen": trained["chosen"],
+             "features": MODEL_FEATURES, "best_params": trained["best_params"]}
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_ensemble(spark, path: str) -> dict | None:
+    """The artefact at ``path`` as ``predict_chosen`` takes it; None where there is none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/about/_SUCCESS")
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return None
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    if about["features"] != MODEL_FEATURES:
+        raise ValueError("the stored model was fitted on other features")
+    return {**about, "members": {m: load_model(f"{path}/{m}") for m in about["members"]}, "grid": spark.read.parquet(f"{path}/grid")}
+
+
+def trained_on(features: DataFrame, root: str, grid: dict = REFERENCE_GRID, sizes: dict | None = None) -> dict:
+    """The ensemble of these features and settings: loaded from ``root`` if it is
+    there, else trained (the search going on where an earlier one stopped) and
+    saved.  What comes back was read from the artefact either way."""
+    spark = features.sparkSession
+    path = f"{root}/{fingerprint(features, grid, sizes, SEED, ENSEMBLE_WEIGHTS)}"
+    if load_ensemble(spark, path) is None:
+        save_ensemble(train_ensemble(features, grid, sizes, store=f"{path}/search"), path)
+    return load_ensemble(spark, path)
+
+
 def score_latest(features: DataFrame, pred: str = "prediction", key: str = "symbol",
                  order: str = "datetime") -> DataFrame:
     """Newest feature row per symbol with direction and confidence."""

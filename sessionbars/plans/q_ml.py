@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sessionbars.operators import backtest as bt
+from sessionbars.operators import metrics as mt
 from sessionbars.operators import ml
 from sessionbars.operators.features import build_features
 from sessionbars.operators.splits import chronological_split
@@ -18,7 +19,7 @@ from sessionbars.plans.adapters import event_bars
 from sessionbars.plans.q_backtest import _EV_FEAT
 from sessionbars.plans.registry import register, register_model
 from sessionbars.plans.sqlparts import normalized_select, with_ctes
-from sessionbars.session import scratch_path
+from sessionbars.session import checkpoint_root, scratch_path
 
 
 def _features(spark, sf_dir):
@@ -44,28 +45,43 @@ register("gbt2_fit")(_fit_query(lambda: ml.gbt_second(), "pred_gbt2"))
 register("enet_fit")(_fit_query(ml.elastic_net, "pred_enet"))
 
 
-@register("grid_search")
-def q_grid_search(spark, sf_dir):
-    """Mean fold MAE per combination of the full grid (324 fits; see README)."""
-    train, _ = _split(spark, sf_dir)
-    _, table = ml.grid_search(train, ml.REFERENCE_GRID)
-    return table
+def _ensemble(spark, sf_dir, grid=None, sizes=None):
+    """The ensemble of the table's feature rows, trained once and shared by the queries below."""
+    feats = _features(spark, sf_dir)
+    return ml.trained_on(feats, f"{checkpoint_root(spark)}/sessionbars/models", grid or ml.REFERENCE_GRID, sizes)
+
+
+@register_model("grid_search")
+def q_grid_search(spark, sf_dir, grid=None):
+    """Mean fold MAE per combination of the full grid (108 fits; see README)."""
+    grid = grid or ml.REFERENCE_GRID
+    feats = _features(spark, sf_dir)
+    train = chronological_split(feats).filter(F.col("split") == "train").drop("split")
+    root = f"{checkpoint_root(spark)}/sessionbars/models"
+    store = f"{root}/{ml.fingerprint(feats, grid, None, ml.SEED, ml.ENSEMBLE_WEIGHTS)}/search"
+    return ml.grid_search(train, grid, store=store, rows_per_partition=ml.ROWS_PER_PARTITION)[1]
+
+
+@register_model("model_evaluate")
+def q_model_evaluate(spark, sf_dir, grid=None, sizes=None):
+    """X11: MAE and R2 of the chosen fitted model on the test rows, which took no part in fit or choice."""
+    trained = _ensemble(spark, sf_dir, grid, sizes)
+    test = chronological_split(_features(spark, sf_dir)).filter(F.col("split") == "test")
+    return mt.regression_metrics(ml.predict_chosen(trained, test), "prediction")
 
 
 @register_model("model_backtest")
-def q_model_backtest(spark, sf_dir, grid=ml.REFERENCE_GRID, sizes=None):
+def q_model_backtest(spark, sf_dir, grid=None, sizes=None):
     """The ledger of the slice after training, traded by the chosen fitted model."""
     feats = build_features(event_bars(spark, sf_dir), with_path=True)
-    trained = ml.train_ensemble(feats, grid, sizes)
-    return bt.ledger_export(bt.backtest(ml.predict_chosen(trained, feats)))
+    return bt.ledger_export(bt.backtest(ml.predict_chosen(_ensemble(spark, sf_dir, grid, sizes), feats)))
 
 
 @register_model("latest_signal_model")
-def q_latest_signal_model(spark, sf_dir, grid=ml.REFERENCE_GRID, sizes=None):
+def q_latest_signal_model(spark, sf_dir, grid=None, sizes=None):
     """The newest feature row per symbol, today's included, scored by the chosen fitted model."""
-    trained = ml.train_ensemble(_features(spark, sf_dir), grid, sizes)
     feats = build_features(event_bars(spark, sf_dir), left_exit=True)
-    return ml.score_latest(ml.predict_chosen(trained, feats)).select(
+    return ml.score_latest(ml.predict_chosen(_ensemble(spark, sf_dir, grid, sizes), feats)).select(
         "symbol", "datetime", "prediction", "direction", "confidence")
 
 
