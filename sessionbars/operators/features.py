@@ -45,7 +45,7 @@ def week_features(daily: DataFrame, key: str = "symbol", order: str = "datetime"
 def build_features(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
                    cutoff: str | None = None, left_exit: bool = False,
                    session_hours: tuple[int, int] | None = (9, 23),
-                   slice_minutes: int | None = None, raw: bool = False,
+                   slice_minutes: int | str | None = None, raw: bool = False,
                    with_path: bool = False) -> DataFrame:
     """Bars (symbol, ts, id, open, high, low, close, volume) -> one feature row
     per (symbol, trading day) that has an entry bar and an exit bar.

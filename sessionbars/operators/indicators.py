@@ -14,20 +14,27 @@ runs in *blocks* and is a classic two-phase parallel scan:
   local EWM at row j is ``q^j`` times the running sum), the in-block lag, and
   a block table row: row count, first value, the last ``halo`` values and the
   block's EWM sums;
-* phase 2, over the block table (one row per block, per symbol): running row
-  offset, the values just before each block (the halo for rolling means and
-  lags), and the EWM carry ``C <- C*q^n + s`` folded over the blocks that
-  start within H + sub_rows rows before the block (a range frame on the row
-  offset).  Rows further back weigh <= q^H; H makes that < 2^-57 (below
-  double precision): exact in doubles;
+* phase 2 has two levels.  Within a day, windows on ``(symbol, date)`` over the
+  block table give each block its row offset in the day, the values just
+  before it (the halo for rolling means and lags) and the EWM carry
+  ``C <- C*q^n + s`` folded over the day's earlier blocks.  Then a day is one
+  row: its blocks (scalars and a halo each), its row count, last values and
+  EWM sums.  Windows on ``symbol`` see these day rows alone and carry offset,
+  halo and EWM state across days; the blocks are unfolded from the day rows
+  again and take the day's carry over, decayed by their offset.  Folds go back
+  to H rows (a range frame on the row offset): rows further back weigh
+  <= q^H, and H makes that < 2^-57 (below double precision): exact in doubles;
 * one join brings the block context back to the bars.
 
 Values that depend on the previous row (the RSI's price change) are exact
 inside a block; the first row of a block gets its term from the block table
-(the previous block's last value), as a per-block correction.
+(the previous block's last value), as a per-block correction.  The term of a
+day's first block is known at day level only and, an EWM being linear, enters
+the day's later blocks as one decayed addend.
 
-The block table has one row per block: for minute bars at most one per
-symbol-day (bounded by the calendar), for tick data rows/sub_rows.
+So the longest window on a symbol alone has one row per trading day, whatever
+the ticks.  ``slice_minutes="measured"`` counts the rows first and cuts days
+into clock slices of at most ``SLICE_ROWS`` rows where one has more.
 """
 
 from __future__ import annotations
@@ -46,16 +53,38 @@ _UNB = Window.unboundedPreceding
 _UNF = Window.unboundedFollowing
 
 
+#: Rows of a clock slice that one window task sorts, when slices are measured.
+SLICE_ROWS = 2_000_000
+_SLICES = (1440, 240, 60, 15, 5, 1)
+
+
+def measured_slices(bars: DataFrame, key: str = "symbol", ts: str = "ts", rows: int = SLICE_ROWS) -> int | None:
+    """The longest of the slice lengths (minutes) of which no (key, day, slice) has
+    more than ``rows`` rows; None for whole days, one minute if even that has more.
+    One job: counts by minute, folded to every length."""
+    minute = F.floor(micros_of_day(ts) / F.lit(60_000_000)).cast("int")
+    by_minute = bars.groupBy(key, F.to_date(F.col(ts)).alias("_date"), minute.alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    w = by_minute.withColumn("_w", F.explode(F.array(*map(F.lit, _SLICES))))
+    most = w.groupBy(key, "_date", "_w", F.floor(F.col("_m") / F.col("_w"))).agg(F.sum("_n").alias("_n")).groupBy("_w").agg(F.max("_n").alias("_n"))
+    fit = [r["_w"] for r in most.collect() if r["_n"] <= rows]
+    chosen = max(fit, default=1)
+    return None if chosen == 1440 or by_minute.isEmpty() else chosen
+
+
 def _block_keys(key: str) -> list[str]:
     return [key] + BLOCK_ORDER
 
 
 def add_blocks(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
-               slice_minutes: int | None = None, sub_rows: int = 512) -> DataFrame:
+               slice_minutes: int | str | None = None, sub_rows: int = 512) -> DataFrame:
     """Tag each bar with its block and its 0-based position ``_jj`` in it.
 
     Rows are ordered by ``(ts, tie)``: duplicate timestamps get a total order.
+    ``slice_minutes``: clock slices of so many minutes, None for whole days, or
+    ``"measured"`` (see ``measured_slices``).
     """
+    if slice_minutes == "measured":
+        slice_minutes = measured_slices(bars, key, ts)
     df = bars.withColumn("_date", F.to_date(F.col(ts)))
     part = [key, "_date"]
     if slice_minutes:
@@ -148,46 +177,95 @@ def blocked_scan(df: DataFrame, value: str, halo: int, specs: list[Ewm], key: st
             aggs.append(F.min_by(s.value.cast("double"), jj).alias(f"_x0{i}"))
     blk = df.groupBy(*bk).agg(*aggs).withColumn("_tail", F.transform("_tail", lambda t: t["v"]))
 
-    # phase 2 (block table): offsets, halo, first-row terms, EWM carry
-    wb = Window.partitionBy(key).orderBy(*BLOCK_ORDER)
-    flat = F.flatten(F.collect_list("_tail").over(wb.rowsBetween(-halo, -1)))
-    halo_vals = F.slice(flat, F.greatest(F.size(flat) - F.lit(halo) + 1, F.lit(1)), F.lit(halo))
-    suffix = F.aggregate(
-        F.reverse(F.col("_halo")), F.array().cast("array<double>"),
-        lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
-    blk = blk.withColumns({
-        "_g0": F.coalesce(F.sum("_n").over(wb.rowsBetween(_UNB, -1)), F.lit(0)).cast("long"),
-        "_halo": halo_vals.cast("array<double>")})
-    blk = blk.withColumns({"_hs": suffix, "_before": F.try_element_at(F.col("_halo"), F.lit(-1))})
-    firsts = {}
-    for i, s in enumerate(specs):
-        f = F.lit(0.0)
-        if s.first is not None:
-            w0 = F.lit(1.0) if s.adjust else F.when(F.col("_g0") == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
-            f = w0 * F.coalesce(s.first().cast("double"), F.lit(0.0))
-        elif not s.adjust:
-            # adjust=False gives the symbol's very first row weight 1, not alpha
-            f = F.when(F.col("_g0") == 0, F.lit(1.0 - s.alpha) * F.col(f"_x0{i}")).otherwise(F.lit(0.0))
-        firsts[f"_f{i}"] = f
+    # phase 2, level 1 (block table, within a day): offsets, halo, EWM carry of the day
+    ks = range(len(specs))
+    wd = Window.partitionBy(key, "_date").orderBy("_slice", "_sub")
+
+    def last_values(arrays: Column) -> Column:
+        flat = F.flatten(arrays)
+        return F.slice(flat, F.greatest(F.size(flat) - F.lit(halo) + 1, F.lit(1)), F.lit(halo)).cast("array<double>")
+
+    blk = blk.withColumns({"_o": F.coalesce(F.sum("_n").over(wd.rowsBetween(_UNB, -1)), F.lit(0)).cast("long"),
+                           "_halo": last_values(F.collect_list("_tail").over(wd.rowsBetween(-halo, -1)))})
+    blk = blk.withColumn("_before", F.try_element_at(F.col("_halo"), F.lit(-1)))
+    opens = F.col("_o") == 0      # a day's first block: its first term is known at day level
+    horizon = max([carry_blocks(s.q) for s in specs] + [0]) + sub_rows
+
+    def fold(q: float, field: str):
+        return lambda acc, e: acc * F.pow(F.lit(q), e["_n"]) + e[field]
+
+    def first_term(s: Ewm, w0: Column) -> Column:
+        return w0 * F.coalesce(s.first().cast("double"), F.lit(0.0))
+
     if specs:
-        blk = blk.withColumns(firsts)
+        own = {f"_f{i}": F.when(opens | F.lit(s.first is None), F.lit(0.0))
+                          .otherwise(first_term(s, F.lit(1.0 if s.adjust else s.alpha)) if s.first else F.lit(0.0))
+               for i, s in enumerate(specs)}
+        blk = blk.withColumns(own)
         blk = blk.withColumns({f"_s{i}": (F.col(f"_s{i}") + F.col(f"_f{i}")) * F.pow(F.lit(s.q), F.col("_n") - 1)
                                for i, s in enumerate(specs)})
         # every block that holds a row within `horizon` rows of this block's
         # start begins at most horizon + sub_rows rows earlier (blocks have at
         # most sub_rows rows): a range frame on the row offset, so small
         # blocks (clock slices) do not inflate the fold
-        horizon = max(carry_blocks(s.q) for s in specs) + sub_rows
-        by_offset = Window.partitionBy(key).orderBy("_g0").rangeBetween(-horizon, -1)
-        hist = F.collect_list(F.struct("_n", *[f"_s{i}" for i in range(len(specs))])).over(by_offset)
-        blk = blk.withColumn("_hist", hist)
-
-        def fold(q: float, field: str):
-            return lambda acc, e: acc * F.pow(F.lit(q), e["_n"]) + e[field]
-
+        by_offset = Window.partitionBy(key, "_date").orderBy("_o").rangeBetween(-horizon, -1)
+        blk = blk.withColumn("_hist", F.collect_list(F.struct("_n", *[f"_s{i}" for i in ks])).over(by_offset))
         blk = blk.withColumns({f"_c{i}": F.aggregate("_hist", F.lit(0.0), fold(s.q, f"_s{i}"))
                                for i, s in enumerate(specs)})
-    keep = [*bk, "_g0", "_hs", "_before"] + [c for i in range(len(specs)) for c in (f"_c{i}", f"_f{i}")]
+
+    # phase 2, level 2 (one row per symbol and day): the same across days
+    place = F.struct("_slice", "_sub")
+    per_block = F.struct("_slice", "_sub", "_o", "_halo", *[f"_{x}{i}" for i in ks for x in "cf"])
+    day_aggs = [F.collect_list(per_block).alias("_blocks"), F.sum("_n").alias("_dn"),
+                F.max_by(last_values(F.array("_halo", "_tail")), place).alias("_dtail"),
+                F.min_by("_first", place).alias("_first")]
+    for i, s in enumerate(specs):
+        day_aggs.append(F.max_by(F.col(f"_c{i}") * F.pow(F.lit(s.q), F.col("_n")) + F.col(f"_s{i}"), place).alias(f"_ds{i}"))
+        if not s.adjust and s.first is None:
+            day_aggs.append(F.min_by(f"_x0{i}", place).alias(f"_x0{i}"))
+    day = blk.groupBy(key, "_date").agg(*day_aggs)
+    wk = Window.partitionBy(key).orderBy("_date")
+    day = day.withColumns({"_dg": F.coalesce(F.sum("_dn").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).cast("long"),
+                           "_dhalo": last_values(F.collect_list("_dtail").over(wk.rowsBetween(-halo, -1)))})
+    day = day.withColumn("_before", F.try_element_at(F.col("_dhalo"), F.lit(-1)))
+    if specs:
+        first_day = F.col("_dg") == 0
+        terms = {}
+        for i, s in enumerate(specs):
+            f = F.lit(0.0)
+            if s.first is not None:
+                f = first_term(s, F.lit(1.0) if s.adjust else F.when(first_day, F.lit(1.0)).otherwise(F.lit(s.alpha)))
+            elif not s.adjust:
+                # adjust=False gives the symbol's very first row weight 1, not alpha
+                f = F.when(first_day, F.lit(1.0 - s.alpha) * F.col(f"_x0{i}")).otherwise(F.lit(0.0))
+            terms[f"_df{i}"] = f
+        day = day.withColumns(terms)
+        day = day.withColumns({f"_ds{i}": F.col(f"_ds{i}") + F.col(f"_df{i}") * F.pow(F.lit(s.q), F.col("_dn") - 1)
+                               for i, s in enumerate(specs)})
+        # a day's start is its predecessor's end: each row hands on the day before
+        # it, so the frame holds every day that ends within the horizon, however long
+        handed = F.when(F.lag("_dn").over(wk).isNotNull(), F.struct(
+            F.lag("_dn").over(wk).alias("_n"), *[F.lag(f"_ds{i}").over(wk).alias(f"_ds{i}") for i in ks]))
+        by_start = Window.partitionBy(key).orderBy("_dg").rangeBetween(-horizon, 0)
+        day = day.withColumn("_last", handed).withColumn("_hist", F.collect_list("_last").over(by_start))
+        day = day.withColumns({f"_dc{i}": F.aggregate("_hist", F.lit(0.0), fold(s.q, f"_ds{i}"))
+                               for i, s in enumerate(specs)})
+    day = day.select(key, "_date", "_dg", "_dhalo", F.explode("_blocks").alias("_b"),
+                     *[f"_d{x}{i}" for i in ks for x in "cf"])
+    o = F.col("_b._o")
+    context = {"_g0": F.col("_dg") + o}
+    for i, s in enumerate(specs):
+        opened = F.col(f"_df{i}") * F.pow(F.lit(s.q), F.greatest(o - 1, F.lit(0)))
+        context[f"_c{i}"] = (F.col(f"_b._c{i}") + F.col(f"_dc{i}") * F.pow(F.lit(s.q), o)
+                             + F.when(o > 0, opened).otherwise(F.lit(0.0)))
+        context[f"_f{i}"] = F.when(o == 0, F.col(f"_df{i}")).otherwise(F.col(f"_b._f{i}"))
+    blk = day.select(key, "_date", "_b._slice", "_b._sub", last_values(F.array("_dhalo", F.col("_b._halo"))).alias("_halo"),
+                     *[c.alias(n) for n, c in context.items()])
+    suffix = F.aggregate(
+        F.reverse(F.col("_halo")), F.array().cast("array<double>"),
+        lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x)))
+    blk = blk.withColumns({"_hs": suffix, "_before": F.try_element_at(F.col("_halo"), F.lit(-1))})
+    keep = [*bk, "_g0", "_hs", "_before"] + [c for i in ks for c in (f"_c{i}", f"_f{i}")]
     out = df.join(blk.select(*keep), bk)
 
     # back at bar level: global index, previous value, EWM values
@@ -242,7 +320,7 @@ def rsi_specs(value: str = "close", window: int = 14) -> tuple[list[Ewm], Column
 
 def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "ts", tie: str = "id",
                     value: str = "close", sma: tuple[int, ...] = (15, 30), rsi: int | None = 14,
-                    macd: tuple[int, int] | None = (12, 26), slice_minutes: int | None = None,
+                    macd: tuple[int, int] | None = (12, 26), slice_minutes: int | str | None = None,
                     sub_rows: int = 512, keep_date: bool = False) -> DataFrame:
     """Bars + ``sma_<n>`` columns, ``rsi`` and ``macd`` (EWM span fast - slow,
     adjust=True, no signal line).  Indicators cross day borders.

@@ -86,3 +86,51 @@ def test_constant_series(spark):
     assert np.allclose(got["macd"], 0.0, atol=1e-12)
     assert got["rsi"].iloc[:13].isna().all()
     assert (got["rsi"].iloc[13:] == 100.0).all()
+
+
+def test_days_of_few_and_of_many_blocks(spark):
+    """Carries over days with one row, over a day longer than the horizon, and over gaps."""
+    from datetime import datetime, timedelta
+
+    rng, rows, t0 = np.random.default_rng(5), [], datetime(2024, 1, 1)
+    for day, n in enumerate([1, 1, 2, 1500, 1, 3, 1400, 1, 1, 40]):
+        for i in range(n):
+            rows.append(("X", t0 + timedelta(days=2 * day, seconds=i), len(rows), float(rng.normal(100, 5))))
+    rows += [("Y", t0 + timedelta(days=i), len(rows) + i, float(rng.normal(50, 5))) for i in range(900)]
+    pdf = pd.DataFrame(rows, columns=["symbol", "ts", "id", "close"])
+    ref = pandas_indicators(pdf)[["symbol", "id", "sma_15", "sma_30", "rsi", "macd"]]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, id long, close double").repartition(3)
+    for how in ({}, {"sub_rows": 16}, {"sub_rows": 7, "slice_minutes": 5}):
+        m = _merge(with_indicators(df, **how), ref)
+        assert len(m) == len(rows)
+        for c in ("sma_15", "sma_30", "rsi", "macd"):
+            assert (m[c].isna() == m[c + "_ref"].isna()).all(), (c, how)
+            ok = m[c].notna()
+            assert np.allclose(m.loc[ok, c], m.loc[ok, c + "_ref"], rtol=1e-9, atol=1e-9), (c, how)
+    e = ewm_mean(df, "close", alpha=0.2, adjust=False, out="e", sub_rows=16).toPandas().merge(pdf[["id", "symbol", "close"]], on=["symbol", "id"])
+    e = e.sort_values(["symbol", "id"])
+    assert np.allclose(e["e"], e.groupby("symbol")["close_x"].transform(lambda s: s.ewm(alpha=0.2, adjust=False).mean()), rtol=1e-9)
+
+
+def test_measured_slices(spark):
+    from datetime import datetime, timedelta
+
+    from sessionbars.operators.indicators import measured_slices
+    rows = [("X", datetime(2024, 1, 1, 10) + timedelta(seconds=10 * i), i, 1.0 + i % 7) for i in range(720)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, id long, close double")
+    assert [measured_slices(df, rows=n) for n in (720, 360, 90, 30, 6, 1)] == [None, 60, 15, 5, 1, 1]
+    assert measured_slices(df.limit(0)) is None
+    a, b = (with_indicators(df, slice_minutes=w).orderBy("id").toPandas() for w in (None, "measured"))
+    assert a.equals(b)
+
+
+def test_windows_on_a_symbol_see_days_only(spark, bars):
+    """Every window on the symbol alone stands on the aggregate of (symbol, date)."""
+    import re
+    p = with_indicators(bars, slice_minutes=60, sub_rows=64)._jdf.queryExecution().optimizedPlan().toString()
+    lines = p.splitlines()
+    alone = [n for n, x in enumerate(lines) if re.search(r"Window \[.*\], \[symbol#\d+\],", x)]
+    assert alone
+    for n in alone:
+        below = next(x for x in lines[n + 1 :] if "Aggregate" in x)
+        assert re.search(r"Aggregate \[symbol#\d+, _date#\d+\],", below), below
