@@ -58,14 +58,15 @@ SLICE_ROWS = 2_000_000
 _SLICES = (1440, 240, 60, 15, 5, 1)
 
 
-def measured_slices(bars: DataFrame, key: str = "symbol", ts: str = "ts", rows: int = SLICE_ROWS) -> int | None:
+def measured_slices(bars: DataFrame, key: str | list[str] = "symbol", ts: str = "ts", rows: int = SLICE_ROWS) -> int | None:
     """The longest of the slice lengths (minutes) of which no (key, day, slice) has
     more than ``rows`` rows; None for whole days, one minute if even that has more.
     One job: counts by minute, folded to every length."""
     minute = F.floor(micros_of_day(ts) / F.lit(60_000_000)).cast("int")
-    by_minute = bars.groupBy(key, F.to_date(F.col(ts)).alias("_date"), minute.alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [key] if isinstance(key, str) else list(key)
+    by_minute = bars.groupBy(*keys, F.to_date(F.col(ts)).alias("_date"), minute.alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
     w = by_minute.withColumn("_w", F.explode(F.array(*map(F.lit, _SLICES))))
-    most = w.groupBy(key, "_date", "_w", F.floor(F.col("_m") / F.col("_w"))).agg(F.sum("_n").alias("_n")).groupBy("_w").agg(F.max("_n").alias("_n"))
+    most = w.groupBy(*keys, "_date", "_w", F.floor(F.col("_m") / F.col("_w"))).agg(F.sum("_n").alias("_n")).groupBy("_w").agg(F.max("_n").alias("_n"))
     fit = [r["_w"] for r in most.collect() if r["_n"] <= rows]
     chosen = max(fit, default=1)
     return None if chosen == 1440 or by_minute.isEmpty() else chosen

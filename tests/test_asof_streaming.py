@@ -10,7 +10,7 @@ from sessionbars.operators.asof import asof_join
 from sessionbars.plans import q_execution, q_streaming
 
 
-@pytest.mark.parametrize("bucket", ["day", "hour"])
+@pytest.mark.parametrize("bucket", ["day", "hour", "measured", 7])
 def test_asof_matches_brute_force(spark, bucket):
     rnd = random.Random(7)
     t0 = datetime(2024, 1, 1)
@@ -34,6 +34,27 @@ def test_asof_matches_brute_force(spark, bucket):
         assert got[(k, lid)] == want, (k, t, lid)
 
 
+def test_asof_nulls_match_nothing(spark):
+    t = datetime(2024, 1, 1, 12)
+    left = spark.createDataFrame([(None, t, 1), ("a", None, 2), ("a", t, 3), ("z", t, 4)], "k string, t timestamp_ntz, lid long")
+    right = spark.createDataFrame([(None, t, 1.0), ("a", None, 2.0), ("a", t - timedelta(days=400), 3.0), ("y", t, 4.0)], "k string, rt timestamp_ntz, v double")
+    got = {r["lid"]: r["v"] for r in asof_join(left, right, "k", "t", "rt", ["v"]).collect()}
+    assert got == {1: None, 2: None, 3: 3.0, 4: None}
+
+
+def test_asof_reads_the_right_side_twice_and_prunes_it(spark, tmp_path):
+    """Two scans of the quotes, no calendar, and only rows of asked buckets are sorted."""
+    t0 = datetime(2024, 1, 1)
+    quotes = [("a" if i % 2 else "b", t0 + timedelta(hours=i), i, float(i)) for i in range(2000)]
+    spark.createDataFrame(quotes, "k string, rt timestamp_ntz, rid long, v double").write.parquet(f"{tmp_path}/quotes")
+    right = spark.read.parquet(f"{tmp_path}/quotes")
+    left = spark.createDataFrame([("a", t0 + timedelta(days=40, hours=5), 1)], "k string, t timestamp_ntz, lid long")
+    j = asof_join(left, right, "k", "t", "rt", ["v"], right_tie="rid")
+    assert [r["v"] for r in j.collect()] == [965.0]
+    p = j._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("parquet") == 2 and "sequence(" not in p and p.count("Join LeftSemi") == 2
+
+
 def test_stream_positions_equal_barrier_twin(spark):
     stream = q_streaming.q_stream_positions(spark, SF01).toPandas()
     batch = q_execution.barrier(spark, SF01).toPandas()
