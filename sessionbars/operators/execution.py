@@ -132,14 +132,18 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
     (session end).  A trade without a later bar is closed where it was opened
     (NO_BAR).  Trades need: key, entry_ts, position_type, entry_price,
     stop_loss, take_profit, volume; equal trades stay separate.  ``until`` names
-    the trades' column with their session end: later bars do not count.
+    the trades' column with their session end: later bars do not count, and a
+    session that crosses midnight takes the bars of both dates.
 
     One trade per (symbol, date) in the callers, so the equi-join on
     (symbol, date) is linear in the bars; the first hit is a min(struct)."""
     b = (bars.filter(in_hours(ts, *hours)).withColumn("_d", F.to_date(F.col(ts)))
              .select(key, "_d", F.col(ts).alias("_bt"), F.col(tie).alias("_bi"), "high", "low", "close"))
     # an id only has to be unique within one run of the aggregate below
-    t = trades.withColumns({"_d": F.to_date(F.col(entry_ts)), "_trade": F.monotonically_increasing_id()})
+    t = trades.withColumns({"_whole": F.struct(*trades.columns), "_trade": F.monotonically_increasing_id()})
+    first = F.to_date(F.col(entry_ts))
+    last = F.greatest(first, F.to_date(F.col(until))) if until else first
+    t = t.withColumn("_d", F.explode(F.sequence(first, last)))
     later = (t[key] == b[key]) & (t["_d"] == b["_d"]) & (F.col("_bt") > F.col(entry_ts))
     if until:
         later &= F.col("_bt") <= F.col(until)
@@ -151,9 +155,11 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
     level = F.when(sl_hit, F.col("stop_loss")).when(tp_hit, F.col("take_profit"))
     hit = F.when(reason.isNotNull(), F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"),
                                                reason.alias("reason"), level.alias("price")))
-    agg = j.groupBy(key, "_d", "_trade", *[c for c in trades.columns if c != key]).agg(
+    agg = j.groupBy(key, "_trade").agg(
+        F.first("_whole").alias("_whole"),           # the same in all rows of a trade
         F.min(hit).alias("_hit"),
         F.max(F.when(F.col("_bt").isNotNull(), F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"), F.col("close").alias("price")))).alias("_end"))
+    agg = agg.select(*[F.col(f"_whole.{c}").alias(c) for c in trades.columns], "_hit", "_end")
     px = F.coalesce(F.col("_hit.price"), F.col("_end.price"), F.col("entry_price"))
     pts = F.when(long_, px - F.col("entry_price")).otherwise(F.col("entry_price") - px)
     ended = F.when(F.col("_end").isNull(), F.lit("NO_BAR")).otherwise(F.lit("SESSION_END"))
@@ -161,7 +167,7 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
                .withColumn("exit_reason", F.coalesce(F.col("_hit.reason"), ended))
                .withColumn("exit_price", px)
                .withColumn("profit", pts * F.lit(POINT_VALUE) * F.col("volume"))
-               .drop("_hit", "_end", "_d", "_trade"))
+               .drop("_hit", "_end"))
 
 
 def instrument_join(df: DataFrame, cfg: DataFrame, key: str = "symbol") -> DataFrame:
@@ -182,9 +188,33 @@ def daily_trading_summary(closed: DataFrame, key: str = "symbol", ts: str = "exi
     return agg.withColumn("win_rate", F.col("wins") / F.greatest(F.col("trades"), F.lit(1)) * F.lit(100.0))
 
 
+def position_limits(orders: DataFrame, day: str, ts: str = "entry_ts", exit_ts: str = "exit_ts", key: str = "symbol",
+                    max_positions: str = "max_positions", max_daily_trades: str = "max_daily_trades") -> DataFrame:
+    """X14's two limits as two rules, swept over each (symbol, day) in time order:
+    an order is taken if fewer than ``max_positions`` of the orders taken before
+    are still open at its time (one that exits at that very moment is not) and
+    fewer than ``max_daily_trades`` were taken that day.  ``exit_ts`` is when
+    the order's position ends if it is taken (``barrier_exit``); it does not
+    depend on the others, so the sweep is one fold per symbol and day, whose
+    orders are bounded by the session's first minute.  Equal times go by exit."""
+    whole = F.struct(F.col(ts).alias("_t"), F.col(exit_ts).alias("_x"), F.monotonically_increasing_id().alias("_i"),
+                     F.col(max_positions).cast("int").alias("_p"), F.col(max_daily_trades).cast("int").alias("_n"),
+                     F.struct(*orders.columns).alias("_o"))
+    rows = orders.select(F.col(key).alias("_k"), F.col(day).alias("_day"), whole.alias("_w"))
+    day_rows = rows.groupBy("_k", "_day").agg(F.array_sort(F.collect_list("_w")).alias("_w"))
+
+    def take(taken: Column, x: Column) -> Column:
+        open_ = F.size(F.filter(taken, lambda y: y["_x"] > x["_t"]))
+        return F.when((open_ < x["_p"]) & (F.size(taken) < x["_n"]), F.concat(taken, F.array(x))).otherwise(taken)
+
+    kept = F.aggregate("_w", F.slice(F.col("_w"), 1, 0), take)
+    return day_rows.select(F.explode(kept).alias("_w")).select(*[F.col(f"_w._o.{c}").alias(c) for c in orders.columns])
+
+
 def order_signals(signals: DataFrame, cfg: DataFrame, balance: float, key: str = "symbol",
                   ts: str = "datetime", pred: str = "prediction", local_ts: str = "local_ts",
-                  history: str = "history_bars", min_history: int = MIN_HISTORY) -> DataFrame:
+                  history: str = "history_bars", min_history: int = MIN_HISTORY,
+                  bars: DataFrame | None = None) -> DataFrame:
     """Gate -> size -> levels -> margin for prediction rows.
 
     ``signals`` needs key, ts, prediction, bid, ask, ``local_ts`` (time in the
@@ -195,7 +225,12 @@ def order_signals(signals: DataFrame, cfg: DataFrame, balance: float, key: str =
     bars, confidence >= min_confidence, and at most min(max_positions,
     max_daily_trades) orders per symbol-day (all of a day's orders fall in that
     minute, so all count as open).  ``session_end`` is that day's end of the
-    trading hours on the clock of ``ts``."""
+    trading hours on the clock of ``ts``.
+
+    With ``bars`` the limits are two rules (``position_limits``): each order that
+    would succeed is followed to its exit over the bars, an early stop makes room
+    for a later order, and ``exit_ts`` comes with the rows; orders that fail
+    their margin check are returned and count as nothing."""
     s = instrument_join(signals, cfg, key)
     start, end = F.col("trading_hours.start"), F.col("trading_hours.end")
 
@@ -205,9 +240,17 @@ def order_signals(signals: DataFrame, cfg: DataFrame, balance: float, key: str =
     s = s.filter(F.col("in_session") & F.col("is_entry_minute") & (F.col(history) >= min_history) & F.col("tradable"))
     local_end = F.concat_ws(" ", F.to_date(F.col(local_ts)).cast("string"), end).cast("timestamp_ntz")
     s = s.withColumn("session_end", F.col(ts) + (local_end - F.col(local_ts)))
-    w = Window.partitionBy(key, F.to_date(F.col(local_ts))).orderBy(F.col(ts))
-    limit = F.least(F.col("max_positions"), F.col("max_daily_trades"))
-    s = s.withColumn("order_of_day", F.row_number().over(w)).filter(F.col("order_of_day") <= limit)
+    if bars is None:
+        w = Window.partitionBy(key, F.to_date(F.col(local_ts))).orderBy(F.col(ts))
+        limit = F.least(F.col("max_positions"), F.col("max_daily_trades"))
+        s = s.withColumn("order_of_day", F.row_number().over(w)).filter(F.col("order_of_day") <= limit)
     s = position_size(s, balance, "ask", F.col("risk_per_trade"), F.col("stop_loss_pct"), F.col("max_volume"))
     s = sl_tp_levels(s, "direction", "bid", "ask", F.col("stop_loss_pct"), F.col("take_profit_pct"))
-    return margin_check(s, balance)
+    s = margin_check(s, balance)
+    if bars is None:
+        return s
+    s = s.withColumn("_day", F.to_date(F.col(local_ts)))
+    ended = barrier_exit(s.filter("success"), bars, key, ts, hours=(0, 23), until="session_end")
+    ended = ended.drop("exit_reason", "exit_price", "profit")
+    taken = position_limits(ended, "_day", ts, key=key)
+    return taken.unionByName(s.filter("not success"), allowMissingColumns=True).drop("_day")

@@ -87,6 +87,15 @@ def to_trading_tz(df: DataFrame, ts: str = "ts", tz_col: str | None = None, tz:
     return df.withColumn(out, F.convert_timezone(F.lit(source_tz), target, F.col(ts)))
 
 
+def local_time(signals: DataFrame, cfg: DataFrame, key: str = "symbol", ts: str = "datetime",
+               out: str = "local_ts") -> DataFrame:
+    """P08 by instrument: ``ts`` (UTC wall clock) on the clock of the zone that the
+    instrument's config names; without a config, that of the default zone."""
+    zones = cfg.select(F.col(key).alias("_zone_of"), F.col("timezone").alias("_zone"))
+    j = signals.join(zones, signals[key] == zones["_zone_of"], "left")
+    return to_trading_tz(j, ts, tz_col="_zone", out=out).drop("_zone_of", "_zone")
+
+
 def trading_time_gate(df: DataFrame, ts: str = "local_ts", start: str | Column = "20:00",
                       end: str | Column = "23:00", out: str = "in_session") -> DataFrame:
     """Monday-Friday and start <= time-of-day <= end (end inclusive to the
@@ -143,5 +152,5 @@ def with_history(signals: DataFrame, bars: DataFrame, key: str = "symbol", ts: s
 __all__ = [
     "session_filter", "evening_filter", "time_parts", "fill_features", "drop_incomplete",
     "resolve_tz", "tz_name_column", "to_trading_tz", "trading_time_gate", "entry_minute_gate",
-    "min_history_gate", "with_history",
+    "min_history_gate", "with_history", "local_time",
 ]
