@@ -13,8 +13,9 @@ survivors exactly, by their words and not by a hash.
 Single words and pairs are summarised first; a phrase of three or four words
 is looked at only where all its pairs survived, as it can't be more frequent
 than they are.  The survivors travel as one bitmap of a fixed 2^BITS bits (8 MB),
-which lets a few others pass, more of them in larger tables; the exact count
-puts them out again.  Hot words cost one counter a task.
+three bits each, which lets a few others pass (one in 10,000 at a million
+survivors, more of them in larger tables, where BITS should grow); the exact
+count puts them out again.  Hot words cost one counter a task.
 
 A null language is ``und``, a null text empty.  Words and pieces are as the
 separators say; texts are taken whole.  Repeated rows count as often as they
@@ -96,9 +97,26 @@ def hash_text(x: str) -> int:
     return h
 
 
-def passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes >> np.uint64(64 - BITS)
-    return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+def places(hashes: np.ndarray, shift: int) -> Iterator[np.ndarray]:
+    """The three bits of a hash in the bitmap, all in its hash partition's slice."""
+    width = BITS - shift
+    low = np.uint64((1 << width) - 1)
+    own = hashes >> np.uint64(64 - BITS)
+    yield own
+    own = own & ~low
+    yield own | hashes >> np.uint64(64 - BITS - width) & low
+    yield own | hashes & low
+
+
+def passes(bitmap: np.ndarray, hashes: np.ndarray, shift: int) -> np.ndarray:
+    """Whether all bits of a hash are set; each is looked up where those before were."""
+    out = np.zeros(len(hashes), bool)
+    left = np.arange(len(hashes))
+    for n in range(3):
+        at = next(x for i, x in enumerate(places(hashes[left], shift)) if i == n)
+        left = left[(bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    out[left] = True
+    return out
 
 
 def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +174,7 @@ def _local(shift: int, orders: tuple[int, ...], bitmap):
             pairs = None
             for k, h, there in g.orders(max(orders)):
                 if k == 2 and bitmap is not None:
-                    pairs = passes(bitmap.value, h) & there
+                    pairs = passes(bitmap.value, h, shift) & there
                     open_ = pairs
                 elif k > 2 and bitmap is not None:
                     open_ = open_[: len(h)] & pairs[k - 2 :][: len(h)]
@@ -187,7 +205,8 @@ def _merged(shift: int, least: int, slack: int):
         def slice_of() -> pa.RecordBatch:
             summary.merge(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
             bits = np.zeros(1 << BITS - shift, bool)
-            bits[(summary.survivors(least) >> np.uint64(64 - BITS)).astype(np.int64) - (part << BITS - shift)] = True
+            for at in places(summary.survivors(least), shift):
+                bits[at.astype(np.int64) - (part << BITS - shift)] = True
             return pa.record_batch([pa.array([part], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
 
         for batch in batches:
@@ -222,7 +241,7 @@ def survivors(texts: DataFrame, orders: tuple[int, ...], shift: int, least: int,
     return bits
 
 
-def _exact(bitmap, most: int = 1 << 18):
+def _exact(bitmap, shift: int, most: int = 1 << 18):
     """(lang, k, phrase, f) of a task's n-grams that pass, and its words (k = 0).
     N-grams are told apart by two hashes; one met again adds to the row held for
     it, of which a task holds about ``most``."""
@@ -246,7 +265,7 @@ def _exact(bitmap, most: int = 1 << 18):
             for k, first, there in g.orders(LONGEST):
                 if k > 1:
                     second = mix(second[: len(first)] + word[k - 1 :][: len(first)] * _P)
-                i = np.flatnonzero(there & passes(bitmap.value, first))
+                i = np.flatnonzero(there & passes(bitmap.value, first, shift))
                 i = i[np.lexsort((second[i], first[i]))]
                 x, y = first[i], second[i]
                 new = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])) if len(i) else np.zeros(0, np.int64)
@@ -279,7 +298,7 @@ def frequent(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", text_c
     pairs = spark.sparkContext.broadcast(survivors(texts, (1, 2), shift, least, slack=slack))
     longer = survivors(texts, (3, 4), shift, least, pairs, slack)
     every = spark.sparkContext.broadcast(pairs.value | longer)
-    counted = texts.mapInArrow(_exact(every), "lang string, k int, phrase string, f long")
+    counted = texts.mapInArrow(_exact(every, shift), "lang string, k int, phrase string, f long")
     return save(counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("k") == 0)), "phrases")
 
 

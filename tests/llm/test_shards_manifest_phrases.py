@@ -225,6 +225,19 @@ def test_summaries_lose_no_frequent_item():
         assert len(s.hashes) <= s.capacity and s.taken * (s.capacity + 1) <= len(stream)
 
 
+def test_the_bitmap_lets_all_survivors_and_few_others_pass():
+    rng = np.random.default_rng(8)
+    h = rng.integers(0, 1 << 64, 200_000, np.uint64)
+    for shift in (3, 9, 20):
+        bits = np.zeros(1 << collocations.BITS, bool)
+        for at in collocations.places(h, shift):
+            assert ((at >> np.uint64(collocations.BITS - shift)) == (h >> np.uint64(64 - shift))).all()
+            bits[at.astype(np.int64)] = True
+        bitmap = np.packbits(bits, bitorder="little")
+        assert collocations.passes(bitmap, h, shift).all()
+        assert collocations.passes(bitmap, rng.integers(0, 1 << 64, 1_000_000, np.uint64), shift).mean() < 1e-4
+
+
 def test_scores_past_64_bits(spark):
     (got,) = spark.range(1).select(F.expr(collocations.score("9000000000000000001L", "(cast(9000000000000000002L as decimal(20,0)) + 9000000000000000003L)"))).first()
     assert got == 2_000_000 * 9000000000000000001 // (9000000000000000002 + 9000000000000000003)
