@@ -41,7 +41,9 @@ BITS = 26
 #: Text behind one hash partition on average.
 PARTITION_BYTES = 32 << 20
 #: Distinct n-grams that a task counts before it hands its summary on.
-HELD = 1 << 20
+HELD = 1 << 19
+#: Text looked at in one go: its arrays take some 40 times as much.
+TEXT_BYTES = 2 << 20
 LONGEST = 4
 
 _ENDS = np.zeros(256, bool)
@@ -57,7 +59,7 @@ class Grams:
     def __init__(self, texts: list[bytes], langs: list[str]):
         self.words = Words(texts, space=_GAPS)
         w = self.words
-        breaks = np.concatenate([[0], np.cumsum(_ENDS[w.buf])])
+        breaks = np.concatenate([[0], np.cumsum(_ENDS[w.buf], dtype=np.int32)])
         n = len(w.hashes)
         self.text = np.repeat(np.arange(len(texts)), np.diff(w.first))
         #: whether word i + 1 follows word i in the same piece
@@ -150,7 +152,7 @@ class Summary:
 
 def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
     """Columns: language, text."""
-    for langs, texts in text_chunks(batches):
+    for langs, texts in text_chunks(batches, TEXT_BYTES):
         yield Grams(texts, langs)
 
 
