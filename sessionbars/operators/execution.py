@@ -98,8 +98,9 @@ def mark_to_market(positions: DataFrame, quotes: DataFrame, at: str = "mark_ts",
              .withColumn("profit", pts * F.lit(POINT_VALUE) * F.col("volume")))
 
 
-def account_summary(marked: DataFrame, balance: Column | float, account: str = "symbol") -> DataFrame:
-    """Floating P&L, equity, margin in use and free margin per account."""
+def account_summary(marked: DataFrame, balance: Column | float, account: str | list[str] = "symbol") -> DataFrame:
+    """Floating P&L, equity, margin in use and free margin per account
+    (or per account and time, with a list of columns)."""
     bal = balance if isinstance(balance, Column) else F.lit(balance)
     agg = marked.groupBy(account).agg(
         F.coalesce(F.sum("profit"), F.lit(0.0)).alias("profit"),
@@ -148,20 +149,27 @@ def barrier_exit(trades: DataFrame, bars: DataFrame, key: str = "symbol", entry_
     if until:
         later &= F.col("_bt") <= F.col(until)
     j = t.join(b, later, "left").drop(b[key], b["_d"])
+    agg = j.groupBy(key, "_trade").agg(F.first("_whole").alias("_whole"), *exit_picks())  # _whole: one value a trade
+    return settle_exits(agg.select(*[F.col(f"_whole.{c}").alias(c) for c in trades.columns], "_hit", "_end"), entry_ts)
+
+
+def exit_picks(ts: str = "_bt", tie: str = "_bi") -> list[Column]:
+    """The aggregates of a trade's later bars: ``_hit``, the first touch of the
+    stop or the target, and ``_end``, the last close."""
     long_ = F.col("position_type") == "LONG"
     sl_hit = F.when(long_, F.col("low") <= F.col("stop_loss")).otherwise(F.col("high") >= F.col("stop_loss"))
     tp_hit = F.when(long_, F.col("high") >= F.col("take_profit")).otherwise(F.col("low") <= F.col("take_profit"))
     reason = F.when(sl_hit, F.lit("SL")).when(tp_hit, F.lit("TP"))
     level = F.when(sl_hit, F.col("stop_loss")).when(tp_hit, F.col("take_profit"))
-    hit = F.when(reason.isNotNull(), F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"),
-                                               reason.alias("reason"), level.alias("price")))
-    agg = j.groupBy(key, "_trade").agg(
-        F.first("_whole").alias("_whole"),           # the same in all rows of a trade
-        F.min(hit).alias("_hit"),
-        F.max(F.when(F.col("_bt").isNotNull(), F.struct(F.col("_bt").alias("t"), F.col("_bi").alias("i"), F.col("close").alias("price")))).alias("_end"))
-    agg = agg.select(*[F.col(f"_whole.{c}").alias(c) for c in trades.columns], "_hit", "_end")
+    at = (F.col(ts).alias("t"), F.col(tie).alias("i"))
+    return [F.min(F.when(reason.isNotNull(), F.struct(*at, reason.alias("reason"), level.alias("price")))).alias("_hit"),
+            F.max(F.when(F.col(ts).isNotNull(), F.struct(*at, F.col("close").alias("price")))).alias("_end")]
+
+
+def settle_exits(agg: DataFrame, entry_ts: str = "entry_ts") -> DataFrame:
+    """exit_ts, exit_reason, exit_price and profit of trades from ``exit_picks``."""
     px = F.coalesce(F.col("_hit.price"), F.col("_end.price"), F.col("entry_price"))
-    pts = F.when(long_, px - F.col("entry_price")).otherwise(F.col("entry_price") - px)
+    pts = F.when(F.col("position_type") == "LONG", px - F.col("entry_price")).otherwise(F.col("entry_price") - px)
     ended = F.when(F.col("_end").isNull(), F.lit("NO_BAR")).otherwise(F.lit("SESSION_END"))
     return (agg.withColumn("exit_ts", F.coalesce(F.col("_hit.t"), F.col("_end.t"), F.col(entry_ts)))
                .withColumn("exit_reason", F.coalesce(F.col("_hit.reason"), ended))

@@ -30,9 +30,9 @@ DESKS = [
 ]
 
 
-def desk_bars(spark, sf_dir):
+def desk_bars(spark, sf_dir, ticks=None):
     zones = F.explode(F.array(*[F.lit(d[0]) for d in DESKS]))
-    b = event_bars(spark, sf_dir).withColumn("_z", zones)
+    b = (event_bars(spark, sf_dir) if ticks is None else ticks).withColumn("_z", zones)
     return b.withColumn("symbol", F.concat_ws("/", "symbol", "_z")).drop("_z")
 
 

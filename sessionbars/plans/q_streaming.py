@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from sessionbars.operators import execution as ex
 from sessionbars.plans.adapters import table
-from sessionbars.plans.q_execution import (_BARRIER_KINDS, _BARRIER_SQL, _ORDERS_SQL, _POS_SQL, barrier, instrument_table,
+from sessionbars.plans.q_desks import _EXITS, _POSITIONS, desk_bars, desk_positions
+from sessionbars.plans.q_execution import (_BARRIER_KINDS, _BARRIER_SQL, _ORDERS_SQL, _POS_SQL, BALANCE, barrier, instrument_table,
                                            positions, trades)
 from sessionbars.plans.q_sources import _ohlcv_sql
 from sessionbars.plans.registry import register
@@ -105,3 +106,42 @@ def q_stream_positions(spark, sf_dir):
     jobs.stream_positions(spark, event_tick_stream(spark, sf_dir), spark.read.parquet(src), ticks, out, ck)
     b = jobs.read_latest(spark, out, ["symbol", "entry_ts"]).withColumnRenamed("entry_ts", "open_time")
     return b.select(*[c for c, _ in _BARRIER_KINDS])
+
+
+# a minute is out once the watermark, 5 minutes behind the newest quote, passes its end
+_ACCOUNT_SQL = [*_POSITIONS, _POS_SQL[len(_ORDERS_SQL) + 1], """lm AS (
+  SELECT p.symbol, p.open_time, p.volume, p.open_price, time_bucket(INTERVAL '1 minute', q.ts) AS ts,
+         last(CASE WHEN p.type = 'LONG' THEN q.bid - p.open_price ELSE p.open_price - q.ask END * 5.0 * p.volume
+              ORDER BY q.ts, q.id) AS profit
+  FROM pos p JOIN q ON p.symbol = q.symbol AND q.ts BETWEEN p.open_time AND p.mark_ts GROUP BY ALL)""", """sa AS (
+  SELECT symbol, ts, coalesce(sum(profit), 0.0) AS profit, sum(volume * open_price * 0.2) AS margin, count(*) AS open_positions,
+         100000.0 + coalesce(sum(profit), 0.0) AS equity,
+         100000.0 + coalesce(sum(profit), 0.0) - sum(volume * open_price * 0.2) AS free_margin
+  FROM lm WHERE ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM q) - INTERVAL 5 MINUTE GROUP BY symbol, ts)"""]
+_ACCOUNT_KINDS = [("symbol", "s"), ("ts", "t"), ("profit", "d"), ("margin", "d"), ("open_positions", "i"), ("equity", "d"),
+                  ("free_margin", "d")]
+
+
+@register("stream_account", with_ctes(*_ACCOUNT_SQL) + "\n" + normalized_select(_ACCOUNT_KINDS, "sa"))
+def q_stream_account(spark, sf_dir):
+    """A09 on R05: every desk's account by the minute, as far as the watermark has closed."""
+    quotes = ex.quotes_from_mid(desk_bars(spark, sf_dir, event_tick_stream(spark, sf_dir)), "close", 2.0)
+    book, out, ck = (scratch_path(spark, n) for n in ("account-book", "account", "account-ckpt"))
+    desk_positions(spark, sf_dir).write.mode("overwrite").parquet(book)
+    jobs.run_upsert_log(jobs.stream_account(quotes, spark.read.parquet(book), BALANCE), out, ck, mode="append")
+    return spark.read.parquet(out).select(*[c for c, _ in _ACCOUNT_KINDS])
+
+
+@register("stream_exits", with_ctes(*_EXITS, """se AS (
+  SELECT * FROM bx2 JOIN (SELECT symbol, open_time, session_end FROM pos) USING (symbol, open_time)
+  WHERE session_end <= least((SELECT max(ts) FROM bars), (SELECT max(session_end) FROM pos)) - INTERVAL 7 HOUR)""") + "\n" +
+          normalized_select(_BARRIER_KINDS, "se"))
+def q_stream_exits(spark, sf_dir):
+    """R03 as an interval join of the desks' trades and ticks, up to the watermark
+    (1 hour behind) less the longest session (6 hours)."""
+    src, out, ck = (scratch_path(spark, n) for n in ("exit-trades", "exits", "exits-ckpt"))
+    t = desk_positions(spark, sf_dir).withColumnsRenamed({"open_time": "entry_ts", "type": "position_type", "open_price": "entry_price"}).drop("mark_ts")
+    t.write.mode("overwrite").parquet(src)
+    stream = jobs.stream_exits(desk_bars(spark, sf_dir, event_tick_stream(spark, sf_dir)), jobs.tick_stream(spark, src, t.schema), longest="6 hours")
+    jobs.run_upsert_log(stream, out, ck, mode="append")
+    return spark.read.parquet(out).withColumnRenamed("entry_ts", "open_time").select(*[c for c, _ in _BARRIER_KINDS])

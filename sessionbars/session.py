@@ -61,19 +61,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root:
         sc.setCheckpointDir(root)
         return root
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="sessionbars-ckpt-")
     sc.setCheckpointDir(root)
     return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/sessionbars/{name}-{uuid.uuid4().hex[:12]}"
+def _folder(spark: SparkSession, name: str) -> str:
+    path = f"{checkpoint_root(spark).rstrip('/')}/sessionbars/{name}"
     # through the file system that the path names, which need not be the driver's own
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
     return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder under the shared checkpoint root."""
+    return _folder(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stream_path(spark: SparkSession, name: str) -> str:
+    """A live stream's own folder under the shared checkpoint root: the same in
+    every run, so that a restarted driver goes on from the stream's checkpoint."""
+    return _folder(spark, f"streams/{name}")

@@ -9,11 +9,11 @@ the newest version of each key.
 """
 
 from sessionbars.streaming.jobs import (
-    read_latest, run_upsert_log, stream_bars, stream_daily_summary, stream_mark_to_market,
-    stream_positions, stream_signals, tick_stream,
+    read_latest, run_upsert_log, stream_account, stream_bars, stream_daily_summary, stream_exits,
+    stream_mark_to_market, stream_positions, stream_signals, tick_stream,
 )
 
 __all__ = [
-    "read_latest", "run_upsert_log", "stream_bars", "stream_daily_summary", "stream_mark_to_market",
-    "stream_positions", "stream_signals", "tick_stream",
+    "read_latest", "run_upsert_log", "stream_account", "stream_bars", "stream_daily_summary", "stream_exits",
+    "stream_mark_to_market", "stream_positions", "stream_signals", "tick_stream",
 ]

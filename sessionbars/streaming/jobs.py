@@ -95,13 +95,14 @@ def stream_daily_summary(closed: DataFrame, watermark: str = "1 hour", key: str
 # ----------------------------------------------------------------------------
 
 
-def _signal_windows(stored: DataFrame, brought: DataFrame, since, lookback: int) -> DataFrame:
+def _signal_windows(stored: DataFrame, counts: DataFrame, brought: DataFrame, since, lookback: int) -> DataFrame:
     """(symbol, day, entry_ts, date): the dates that hold the ``lookback`` bars
     up to the entry bar of ``day``, for every day that ``brought`` (symbol,
-    date) can change.  Days meet earlier dates by their bar count in steps of
+    date) can change.  ``counts`` (symbol, date, n) has the bars of each date
+    by batch, so bars from before ``since`` are not read for it.  Days meet earlier dates by their bar count in steps of
     ``lookback``, so the join is linear in the dates."""
     w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = stored.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(w))
+    days = counts.groupBy("symbol", "date").agg(F.sum("n").alias("_n")).withColumn("_upto", F.sum("_n").over(w))
     days = days.join(brought.withColumn("_new", F.lit(True)), ["symbol", "date"], "left")
     entry = nearest_pick("ts", "id", ENTRY_CLOCK, ENTRY_HOURS, [])
     entries = stored.filter(F.col("date") >= F.lit(since)).groupBy("symbol", "date").agg(entry.alias("_e"))
@@ -121,7 +122,7 @@ def _signal_windows(stored: DataFrame, brought: DataFrame, since, lookback: int)
 def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_table: str, out: str,
                    checkpoint: str, balance: float, lookback: int = 1440) -> None:
     """Each micro-batch appends its bars to ``bar_table`` (partitioned by
-    date) and scores every (symbol, date) with an entry bar that the batch can
+    date) and their number per (symbol, date) to ``<bar_table>_counts``, and scores every (symbol, date) with an entry bar that the batch can
     change: the features are rebuilt on the ``lookback`` bars up to that entry bar
     and scored with the rule predictor (MACD at entry).
 
@@ -137,9 +138,10 @@ def stream_signals(spark: SparkSession, ticks: DataFrame, cfg: DataFrame, bar_ta
         since = dated.agg(F.min("date")).first()[0]     # one scalar per micro-batch
         if since is None:
             return None
-        stored = spark.read.parquet(bar_table)
-        brought = dated.select("symbol", "date").distinct()
-        spans = _signal_windows(stored, brought, since, lookback).persist()
+        dated.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{bar_table}_counts/batch_id={batch_id}")
+        stored, counts = spark.read.parquet(bar_table), spark.read.parquet(f"{bar_table}_counts")
+        brought = counts.filter(F.col("batch_id") == batch_id).select("symbol", "date")
+        spans = _signal_windows(stored, counts, brought, since, lookback).persist()
         oldest = spans.agg(F.min("date")).first()[0]    # one scalar: prunes partitions
         bars = stored.filter(F.col("date") >= F.lit(oldest)).join(spans, ["symbol", "date"])
         bars = bars.filter(F.col("ts") <= F.col("entry_ts")).withColumn("_w", F.concat("symbol", F.lit("@"), F.col("day").cast("string")))
@@ -165,11 +167,12 @@ def read_signals(spark: SparkSession, path: str) -> DataFrame:
 # ----------------------------------------------------------------------------
 
 
-def stream_mark_to_market(quotes: DataFrame, positions: DataFrame, key: str = "symbol") -> DataFrame:
+def stream_mark_to_market(quotes: DataFrame, positions: DataFrame, key: str = "symbol", carry: tuple[str, ...] = ()) -> DataFrame:
     """Every quote marks the positions of its symbol that are open at
     that moment (open_time <= quote time <= mark_ts): a stream-static join on
     (symbol, date), a position standing on each date of its span, so a quote
-    meets the day's positions and never the whole book."""
+    meets the day's positions and never the whole book.  ``carry`` names further
+    columns to hand on, of the quotes (``q.``) or the positions (``p.``)."""
     q = quotes.withColumn("_d", F.to_date("ts")).alias("q")
     span = F.sequence(F.to_date("open_time"), F.to_date("mark_ts"))
     p = positions.withColumn("_d", F.explode(span)).alias("p")
@@ -181,7 +184,26 @@ def stream_mark_to_market(quotes: DataFrame, positions: DataFrame, key: str = "s
     pts = F.when(long_, px - F.col("p.open_price")).otherwise(F.col("p.open_price") - px)
     return j.select(F.col(f"q.{key}").alias(key), F.col("q.ts").alias("ts"), F.col("q.id").alias("id"),
                     F.col("p.open_time").alias("open_time"), F.col("p.type").alias("type"),
-                    px.alias("current_price"), (pts * F.lit(ex.POINT_VALUE) * F.col("p.volume")).alias("profit"))
+                    px.alias("current_price"), (pts * F.lit(ex.POINT_VALUE) * F.col("p.volume")).alias("profit"), *carry)
+
+
+def stream_account(quotes: DataFrame, positions: DataFrame, balance: float, timeframe: str = "M1",
+                   watermark: str = "5 minutes", key: str = "symbol") -> DataFrame:
+    """A09 on top of R05, in append mode: two chained aggregates over event time.
+    The first keeps each open position's last mark of a window, the second sums
+    the marks of an account's positions into floating P&L, margin and equity.
+    Both let go of a window once the watermark passes its end, and only then is
+    its row out, so it is final; quotes later than that are dropped.  A position
+    counts in the windows that bring it a quote; equal positions all count."""
+    same = ["open_time", "mark_ts", "type", "volume", "open_price"]
+    book = positions.groupBy(key, *same).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    timed = _event_time(quotes).withWatermark("ets", watermark)
+    marks = stream_mark_to_market(timed, book, key, ("q.ets", "p.mark_ts", "p.volume", "p.open_price", "p._copies"))
+    last = marks.groupBy(key, *same, "_copies", F.window("ets", TIMEFRAMES[timeframe]).alias("_w")).agg(
+        F.max(F.struct("ts", "id", "profit"))["profit"].alias("profit"))
+    each = last.select(key, "volume", "open_price", "profit", F.window_time("_w").alias("ets"), F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
+    each = each.withColumn("_w", F.window("ets", TIMEFRAMES[timeframe]))
+    return ex.account_summary(each, balance, [key, "_w"]).withColumn("ts", F.col("_w.start").cast("timestamp_ntz")).drop("_w")
 
 
 # ----------------------------------------------------------------------------
@@ -209,3 +231,22 @@ def stream_positions(spark: SparkSession, ticks: DataFrame, trades: DataFrame, t
         return ex.barrier_exit(mine, bars, until="session_end")
 
     run_upsert_log(ticks, out, checkpoint, mode="append", transform=step)
+
+
+def stream_exits(ticks: DataFrame, trades: DataFrame, watermark: str = "1 hour", longest: str = "1 day",
+                 key: str = "symbol") -> DataFrame:
+    """R03 without stored ticks, in append mode: an outer interval join of the
+    trade stream with the tick stream, then J07's picks per trade.
+
+    A trade's event time is its ``session_end``, at most ``longest`` after its
+    entry.  Ticks wait in state until no trade that is still to come can ask for
+    them.  Once the watermark, the lesser of both streams', is ``longest`` past a
+    session end, the trade's one row is out and its state is freed.  What comes
+    later than ``watermark`` may be dropped, and is if it is ``longest`` later
+    still: where late ticks must count, take ``stream_positions``.  Trades that are equal in all columns give one row."""
+    b = _event_time(ticks).withWatermark("ets", watermark)
+    b = b.select(F.col(key).alias("_k"), "ets", F.col("ts").alias("_bt"), F.col("id").alias("_bi"), "high", "low", "close")
+    t = trades.withColumns({"send": F.col("session_end").cast("timestamp"), "_entry": F.col("entry_ts").cast("timestamp")}).withWatermark("send", watermark)
+    near = (F.col("ets") > F.col("_entry")) & (F.col("ets") <= F.col("send")) & (F.col("ets") >= F.col("send") - F.expr(f"INTERVAL {longest}"))
+    j = t.join(b, (F.col(key) == F.col("_k")) & near, "left_outer").drop("ets", "_k", "_entry")
+    return ex.settle_exits(j.groupBy(*trades.columns, "send").agg(*ex.exit_picks())).drop("send")
