@@ -4,14 +4,19 @@
 (as some crawlers leave them, so no record can be read without inflating all
 before it).  ``normalise`` inflates such a stream once, rewrites every record
 as a gzip member of its own and gives a sidecar index of the members' offsets.
-``read_back`` opens single members by that index.
+``read_back`` opens single members by that index.  ``write_files`` leaves
+normalised archives as ``.warc.gz`` files with an ``.idx`` file beside each, and
+``read_files`` takes such a folder up again.
 
-Archives are binary rows of a table in shared storage, so any task can write
-or read them and a lost executor costs only its own tasks.
+Between these steps archives are binary rows of a table in shared storage, so any
+task can write or read them and a lost executor costs only its own tasks.  A file
+is named by its content's digest and put in place whole, so a task that runs
+again writes the same files.
 
 Edge cases: null html is an empty payload; a null url is an empty target; of
 repeated rows of one page_id with the same payload all are responses when
-they hold the largest id; null page_ids rank below all others; line breaks in
+they hold the largest id, and share a record id; a record longer than
+ARCHIVE_BYTES has an archive to itself; an archive without records has an empty index; null page_ids rank below all others; line breaks in
 a url are percent-encoded; an empty table gives no archives.
 """
 
@@ -19,11 +24,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import posixpath
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionbars.llm.common import prepare, save
@@ -33,6 +41,8 @@ LEAST_REVISIT = 1000
 #: Uncompressed bytes of an archive; a longer record has an archive to itself.
 ARCHIVE_BYTES = 8 << 20
 LEVEL = 1
+#: WARC-Date of records whose table has no time of capture.
+DATE = "1970-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 
@@ -48,21 +58,22 @@ def plan(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     return j.select("page_id", "url", "payload", "digest", F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("_first")), F.col("_first")).alias("refers_to"))
 
 
-def _record(page_id, url: str, payload: bytes, digest: str, refers_to) -> bytes:
+def _record(page_id, url: str, payload: bytes, digest: str, refers_to, date: str = DATE) -> bytes:
     b32 = base64.b32encode(bytes.fromhex(digest))
     target = "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
     kind = b"response" if refers_to is None else b"revisit"
     http = _HTTP % len(payload)
     block = http + payload if refers_to is None else http
-    head = [b"WARC/1.1", b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:page:%s>" % (b"" if page_id is None else str(page_id).encode()),
+    head = [b"WARC/1.1", b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:page:%s>" % (b"" if page_id is None else str(page_id).encode()), b"WARC-Date: " + date.encode(),
             b"WARC-Target-URI: " + target.encode(), b"WARC-Payload-Digest: sha1:" + b32, b"Content-Type: application/http; msgtype=response"]
     if refers_to is not None:
         head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: <urn:page:%d>" % refers_to]
     return b"\r\n".join([*head, b"Content-Length: %d" % len(block)]) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write_archives(records: DataFrame) -> DataFrame:
-    """(content binary): archives of one gzip stream each, a few MB of records."""
+def write_archives(records: DataFrame, date: str = DATE) -> DataFrame:
+    """(content binary): archives of one gzip stream each, a few MB of records;
+    ``date`` is their time of capture, as WARC states it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(z, out):
@@ -73,7 +84,7 @@ def write_archives(records: DataFrame) -> DataFrame:
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
             for row in zip(*cols):
-                raw = _record(*row)
+                raw = _record(*row, date)
                 if z is not None and size + len(raw) > ARCHIVE_BYTES:
                     yield done(z, out)
                     z = None
@@ -146,7 +157,7 @@ def read_member(body: bytes, offset: int, length: int) -> dict:
     kind = fields[b"WARC-Type"].decode()
     if kind == "response" and (len(payload) != stated or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"the payload of {fields[b'WARC-Record-ID']!r} is not what its header states")
-    return {"page_id": number(b"WARC-Record-ID"), "url": fields[b"WARC-Target-URI"].decode(), "payload_bytes": stated, "payload_digest": digest,
+    return {"page_id": number(b"WARC-Record-ID"), "date": fields[b"WARC-Date"].decode(), "url": fields[b"WARC-Target-URI"].decode(), "payload_bytes": stated, "payload_digest": digest,
             "record_type": kind, "refers_to": number(b"WARC-Refers-To"), "payload": payload if kind == "response" else None}
 
 
@@ -165,10 +176,49 @@ def read_back(archives: DataFrame, payloads: bool = False) -> DataFrame:
     return archives.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if payloads else ""))
 
 
-def archive_pages(pages: DataFrame) -> DataFrame:
+def write_files(archives: DataFrame, folder: str) -> DataFrame:
+    """Writes every archive and its index (a line "offset length" a record) into
+    ``folder``, a path or URI that the workers reach; a row (archive, records,
+    bytes) per file.  The files are written when the result is run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root)
+
+        def put(name: str, content: bytes) -> None:
+            part = posixpath.join(root, f".{name}-{uuid.uuid4().hex}")
+            with store.open_output_stream(part, compression=None) as f:
+                f.write(content)
+            store.move(part, posixpath.join(root, name))
+
+        for batch in batches:
+            for name, body, index in zip(*(batch.column(c) for c in ("archive", "content", "index"))):
+                name, body, index = name.as_py(), body.as_py(), index.as_py()
+                put(name.replace(".warc.gz", ".idx"), "".join(f"{x['offset']} {x['length']}\n" for x in index).encode())
+                put(name, body)   # last: an archive in the folder has its index
+                yield pa.record_batch([pa.array([name]), pa.array([len(index)], pa.int64()), pa.array([len(body)], pa.int64())], names=["archive", "records", "bytes"])
+
+    return archives.mapInArrow(run, "archive string, records long, bytes long")
+
+
+def read_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(archive, content, index) of the archives in a folder, for ``read_back``."""
+    prepare(spark)
+
+    def files(ending: str) -> DataFrame:
+        df = spark.read.format("binaryFile").option("pathGlobFilter", f"*{ending}").load(folder)
+        return df.select(F.regexp_extract("path", r"([^/.]+)[^/]*$", 1).alias("_name"), "content")
+
+    lines = F.filter(F.split(F.col("content").cast("string"), "\n"), lambda x: x != "")
+    pair = lambda x: F.struct(F.split(x, " ")[0].cast("long").alias("offset"), F.split(x, " ")[1].cast("long").alias("length"))
+    index = files(".idx").select("_name", F.transform(lines, pair).alias("index"))
+    return files(".warc.gz").join(index, "_name").select(F.concat("_name", F.lit(".warc.gz")).alias("archive"), "content", "index")
+
+
+def archive_pages(pages: DataFrame, date: str = DATE) -> DataFrame:
     """Normalised archives of web pages, written to the shared folder."""
     prepare(pages.sparkSession)
-    return save(normalise(write_archives(plan(pages))), "warc")
+    return save(normalise(write_archives(plan(pages), date)), "warc")
 
 
 ORACLE = f"""

@@ -1,5 +1,6 @@
 """Each query against a brute-force version over a whole small table."""
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -248,6 +249,31 @@ def test_warc_round_trip(spark):
         warc.normalise_stream(zlib.compress(b"no record", wbits=31))
 
 
+def test_warc_files(spark, tmp_path, monkeypatch):
+    """Archive and index files hold every record with its date; a page longer than an archive has one to itself."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 5000)
+    rows = [(i, f"http://a/{i}", "z" * 9000 if i == 3 else f"page {i} " * 40) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    made = warc.normalise(warc.write_archives(warc.plan(pages), "2024-03-04T05:06:07Z"))
+    folder = str(tmp_path / "out")
+    for _ in range(2):   # a second run leaves the same files
+        files = warc.write_files(made, folder).collect()
+    names = {p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")}
+    assert names == {r["archive"] for r in files} | {r["archive"].replace(".warc.gz", ".idx") for r in files}
+    assert sum(r["records"] for r in files) == 40 and len(files) > 3
+    for r in files:
+        body = (tmp_path / "out" / r["archive"]).read_bytes()
+        index = [tuple(map(int, x.split())) for x in (tmp_path / "out" / r["archive"].replace(".warc.gz", ".idx")).read_text().splitlines()]
+        assert len(index) == r["records"] and index[-1][0] + index[-1][1] == len(body) == r["bytes"]
+        records = [warc.read_member(body, *x) for x in index]
+        assert all(x["date"] == "2024-03-04T05:06:07Z" for x in records)
+        assert len(records) == 1 or all(x["page_id"] != 3 for x in records)
+        raw = gzip.decompress(body)
+        assert raw.count(b"\r\nWARC-Date: ") == len(index)
+    got = warc.read_back(warc.read_files(spark, folder), payloads=True).collect()
+    assert sorted((r["page_id"], r["url"], r["payload"].decode()) for r in got) == rows
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(0, 1, 6).round(1).tolist(), "x") for i in range(300)] + [(300, None, ""), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0], ""), (302, [float("nan")] * 6, ""), (None, [1.0] * 6, ""), (303, [0.5, 1.0], ""), (304, [], "")]
