@@ -377,6 +377,14 @@ def test_passages_at_a_later_place_of_the_home(spark):
     assert got[2][1] >= set(range(3, 33))
 
 
+def test_passages_of_unlike_texts_with_one_id(spark):
+    """Each text of a repeated doc_id keeps its own passages; a clashing column does no harm."""
+    a, b = [f"w{i}" for i in range(40)], [f"v{i}" for i in range(40)]
+    rows = [(1, " ".join(a), 0), (1, " ".join(b), 0), (2, " ".join(["x"] * 5 + a), 0), (3, " ".join(["y"] * 7 + b), 0), (None, " ".join(a), 0), (4, None, 0)]
+    got = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string, chunk int")).collect()
+    assert {(r["doc_id"], r["home"], r["start"], r["end"]) for r in got} == {(2, 1, 5, 45), (3, 1, 7, 47)}
+
+
 def test_chain_windowed_against_brute_force():
     rng = np.random.default_rng(7)
     for _ in range(300):
