@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from sessionbars.functions.columns import confidence, predicted_direction
 from sessionbars.operators.features import MODEL_FEATURES
 from sessionbars.operators.splits import chronological_split, time_series_folds
+from sessionbars.session import checkpoint_root
 
 # The reference's search space and ensemble weights.
 REFERENCE_GRID = {
@@ -93,6 +94,14 @@ def fit(estimator, train: DataFrame, by_symbol: bool = True) -> PipelineModel:
     return Pipeline(stages=feature_stages(by_symbol=by_symbol) + [estimator]).fit(train)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there.  Boosting runs thousands
+    of small jobs, and each sends its tasks the whole lineage of the rows, even of
+    persisted ones; this cuts it, partitions and order staying as they are."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def mae(df: DataFrame, pred: str, label: str = "target") -> Column:
     return F.avg(F.abs(F.col(label) - F.col(pred)))
 
@@ -142,7 +151,7 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
 
     Returns (best params, one row per combination with its mean MAE).  Every fit
     is a distributed job over its fold's vectors, which are assembled and
-    persisted once, ``rows_per_partition`` in a partition where it is given (a
+    ``stored`` once, ``rows_per_partition`` in a partition where it is given (a
     boosting round costs a few tasks for each, however few the rows);
     ``PARALLEL_FITS`` are submitted at a time.  One fit of the most rounds serves
     all combinations nested in it (``nested_fits``), scored round by round.
@@ -162,7 +171,7 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
             if rows_per_partition:
                 parts = -(-x.count() // rows_per_partition)
                 v = v.coalesce(1) if parts <= 1 else v.repartition(parts)
-            sides.append(v.persist())
+            sides.append(stored(v))
         data.append(sides)
     combos, fits = param_grid(grid), nested_fits(grid)
     errors = _read_scores(spark, store) if store else {}
@@ -179,8 +188,7 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
     todo = [(i, f) for i in range(len(fits)) for f in range(k) if (i, f) not in errors]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         errors |= dict(pool.map(inheritable_thread_target(spark)(score), todo))
-    for df in [folds, *itertools.chain(*data)]:
-        df.unpersist()
+    folds.unpersist()
     mean = {ci: sum(errors[i, f][rounds - 1] for f in range(k)) / k for i, (_, members) in enumerate(fits) for ci, rounds in members.items()}
     rows = [(ci, str(params), float(mean[ci])) for ci, params in enumerate(combos)]
     res = spark.createDataFrame(rows, "combo long, params string, mean_mae double")
@@ -209,7 +217,7 @@ def select_model(val: DataFrame, primary: str = "pred_gbt", ensemble: str = "pre
 def train_ensemble(features: DataFrame, grid: dict = REFERENCE_GRID, sizes: dict | None = None,
                    by_symbol: bool = True, store: str | None = None) -> dict:
     """E1 in one call: split, search, fit the four members, pick the model."""
-    sp = chronological_split(features).cache()
+    sp = stored(chronological_split(features))
     train = sp.filter(F.col("split") == "train").drop("split")
     val = sp.filter(F.col("split") == "val").drop("split")
     best, table = grid_search(train, grid, by_symbol=by_symbol, store=store, rows_per_partition=ROWS_PER_PARTITION)

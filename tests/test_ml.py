@@ -101,6 +101,23 @@ def test_parallel_grid_equals_single_fits(spark):
     assert best == ml.param_grid(TINY)[min(got, key=lambda c: (got[c], c))]
 
 
+def test_fits_of_the_search_do_not_carry_the_lineage_of_their_rows(spark, monkeypatch):
+    """Each boosting job sends the lineage of its rows with its tasks: it must end at stored vectors."""
+    plans, gbt = [], ml.gbt
+
+    class Seen:
+        def __init__(self, est):
+            self.est = est
+
+        def fit(self, rows):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            return self.est.fit(rows)
+
+    monkeypatch.setattr(ml, "gbt", lambda *a, **kw: Seen(gbt(*a, **kw)))
+    ml.grid_search(train_rows(spark), {**TINY, "maxDepth": [2], "maxIter": [1]}, k=2)
+    assert len(plans) == 2 and all("ExistingRDD" in p and "Window" not in p and "InMemory" not in p for p in plans), plans
+
+
 def test_model_queries_use_the_stored_model(spark, monkeypatch):
     """Search, test rows, ledger and signal come from one artefact, trained once and read back."""
     import duckdb
