@@ -310,6 +310,24 @@ def test_sentencepiece_whole_table(spark, small):
 
 
 def test_passages_cover_repeats(spark, small):
+    """Every run of 50 words that a query shares with any other document is covered."""
+    words = {i: WORD.findall(t.translate(LOWER)) for i, t in small}
+    holders, repeated = defaultdict(set), defaultdict(set)
+    for i in words:
+        for j in range(len(words[i]) - 49):
+            holders[tuple(words[i][j : j + 50])].add(i)
+    for i in words:
+        for j in range(len(words[i]) - 49):
+            if i % 20 == 0 and len(holders[tuple(words[i][j : j + 50])]) > 1:
+                repeated[i].update(range(j, j + 50))
+    covered = defaultdict(set)
+    for r in queries.op9(spark, SF).collect():
+        assert r["identity"] >= chaining.IDENTITY and r["home"] != r["doc_id"] and r["doc_id"] % 20 == 0
+        covered[r["doc_id"]].update(range(r["start"], r["end"]))
+    assert repeated and not {i for i, v in repeated.items() if v - covered[i]}
+
+
+def test_passages_of_all_documents_cover_repeats(spark, small):
     words = {i: WORD.findall(t.translate(LOWER)) for i, t in small}
     first, repeated = {}, defaultdict(set)
     for i in sorted(words):
@@ -317,12 +335,65 @@ def test_passages_cover_repeats(spark, small):
             if first.setdefault(tuple(words[i][j : j + 50]), i) != i:
                 repeated[i].update(range(j, j + 50))
     covered = defaultdict(set)
-    for r in queries.op9(spark, SF).collect():
+    for r in chaining.passages(spark.read.parquet(f"{SF}/documents.parquet")).collect():
         assert r["identity"] >= chaining.IDENTITY and r["home"] < r["doc_id"]
         covered[r["doc_id"]].update(range(r["start"], r["end"]))
     assert repeated and not {i for i, v in repeated.items() if v - covered[i]}
 
 
+def test_passages_with_every_holder(spark):
+    """Each run of an edited passage stands first in a text of its own; the passage is
+    met in every text that holds it all the same, and by a query in later ones too."""
+    plain = [f"w{i}" for i in range(64)]
+    texts = {n: " ".join([f"a{n}"] * 5 + plain[8 * n : 8 * n + 7] + [f"b{n}"] * 5) for n in range(8)}
+    texts[500] = " ".join([f"c{i}" for i in range(40)] + plain)
+    texts[501] = " ".join([f"d{i}" for i in range(11)] + plain + [f"e{i}" for i in range(40)])
+    texts[520] = " ".join([f"f{i}" for i in range(9)] + [f"neu{i}" if i % 8 == 7 else x for i, x in enumerate(plain)])
+    got = covered_by(spark, texts)
+    assert set(got) == {501, 520} and set(got[520]) == {500, 501}
+    assert all(v >= set(range(9, 9 + 63)) for v in got[520].values())
+    rows = spark.createDataFrame([*texts.items(), (700, texts[520]), (None, texts[500])], "doc_id long, text string")
+    found = chaining.passages(rows, queries=F.col("doc_id") % 20 == 0).collect()
+    assert {(r["doc_id"], r["home"], r["copy_of"]) for r in found} == {(500, 501, None), (500, 520, None), (520, 500, None), (520, 501, None), (520, 700, None), (700, 500, 520), (700, 501, 520), (700, 520, 520)}
+
+
+def test_every_passage_holds_a_key():
+    """The most equal words without a key, by edits: never four to an edit, from LEAST_EQUAL on."""
+    keys = ["m" * chaining.KEY if not c else "m" * c + "e" + "m" * (chaining.KEY - c) for c in chaining.CUTS]
+    layer = {"": 0}  # the last words and edits, and the most equal words that lead there
+    for edits in range(16):
+        todo = [*layer.items()]
+        while todo:
+            s, n = todo.pop()
+            t = s + "m"
+            if not t.endswith(tuple(keys)) and layer.get(t[-chaining.KEY - 1 :], -1) <= n:
+                layer[t[-chaining.KEY - 1 :]] = n + 1
+                todo.append((t[-chaining.KEY - 1 :], n + 1))
+        most = max(layer.values())
+        assert most < chaining.LEAST_EQUAL or 4 * edits > most
+        after = {}
+        for s, n in layer.items():
+            t = (s + "e")[-chaining.KEY - 1 :]
+            after[t] = max(n, after.get(t, 0))
+        layer = after
+
+
+def test_passages_by_brute_force(spark):
+    """Random edits of a passage among words said over and over: every pair is found."""
+    rng = np.random.default_rng(9)
+    plain = [f"w{i}" if i % 3 else "the" for i in range(40)]
+    texts = {1: " ".join(["the"] * 30 + plain)}
+    for n in range(2, 22):
+        words, left = [], 9
+        for i, x in enumerate(plain):
+            edit = left and i % 4 == 3 and rng.integers(0, 4)
+            left -= bool(edit)
+            words += [[x], [f"n{n}x{i}"], [], [x, f"n{n}x{i}"]][edit or 0]
+        texts[n] = " ".join(["the"] * n + [f"z{n}y{i}" for i in range(9)] + words)
+    got = covered_by(spark, texts)
+    assert all(1 in got[n] for n in range(2, 22))
+
+
 def test_chain_against_all_predecessors():
     rng = np.random.default_rng(6)
     for _ in range(20):
