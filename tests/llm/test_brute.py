@@ -456,6 +456,50 @@ def test_passages_of_unlike_texts_with_one_id(spark):
     assert {(r["doc_id"], r["home"], r["start"], r["end"]) for r in got} == {(2, 1, 5, 45), (3, 1, 7, 47)}
 
 
+def test_passages_shuffle_the_texts_once_and_packed(spark, small, monkeypatch):
+    """The texts cross one exchange on their way into chunks, and go to the slices packed."""
+    saved = {}
+
+    def save(df, name, kept=chaining.save):
+        saved[name] = df._jdf.queryExecution().executedPlan().toString().count("Exchange "), kept(df, name)
+        return saved[name][1]
+
+    monkeypatch.setattr(chaining, "save", save)
+    chaining.passages(spark.createDataFrame(small, "doc_id long, text string"), queries=F.col("doc_id") % 20 == 0)
+    exchanges, chunks = saved["chunks"]
+    rows = chunks.collect()
+    assert exchanges == 1
+    whole, asking = ([r for r in rows if r["asking"] is x] for x in (False, True))
+    assert sum(len(r["texts"]) for r in rows) < 0.7 * sum(r["bytes"] for r in rows)
+    texts = {i: t.encode() for i, t in small}
+    for part, ids in ((whole, None), (asking, {i for i in texts if i % 20 == 0})):
+        got = {i: t for r in part for i, t in zip(r["ids"], chaining.texts_in(r.asDict()))}
+        assert got and all(texts[i] == t for i, t in got.items())
+        assert set(got.values()) == set(texts.values()) if ids is None else {texts[i] for i in ids} == set(got.values())
+
+
+def test_near_parts_against_whole_texts():
+    """What is looked at around the anchors of a diagonal holds every part that reaches one."""
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        a, b = rng.integers(0, 60, 900).astype(np.uint64), rng.integers(0, 60, 700).astype(np.uint64)
+        a[rng.random(900) < 0.9] = 1000
+        diagonal, i = int(rng.integers(-300, 200)), int(rng.integers(0, 890))
+        q, r = (x.tolist() for x in chaining.near_matches(a, b, diagonal))
+        best = {}
+        for x in range(len(a)):
+            near = [(abs(y - x - diagonal), y) for y in range(max(0, x + diagonal - 60), min(len(b), x + diagonal + 61)) if b[y] == a[x]]
+            if near:
+                best[x] = min(near)[1]
+        assert dict(zip(q, r)) == best
+
+        def parts(q, r, cuts):
+            return {tuple(zip(q[x:y], r[x:y])) for x, y in zip(cuts, [*cuts[1:], len(q)]) if q[x] - chaining.REACH < i + chaining.KEY and q[y - 1] + chaining.SEED + chaining.REACH > i}
+
+        cuts = [x for x in range(len(q)) if not x or q[x] - q[x - 1] > chaining.MAX_GAP]
+        assert parts(q, r, cuts) == parts(*(x.tolist() for x in chaining.near_parts(a, b, diagonal, i, i)))
+
+
 def test_chain_windowed_against_brute_force():
     rng = np.random.default_rng(7)
     for _ in range(300):
