@@ -13,8 +13,9 @@ documents that is bucketed once, so texts are shuffled once:
    equal runs (by a hash of their bytes) keep the one of the least doc_id; the
    others are duplicates as a whole.  Runs that share an anchor with a
    different run go on.
-3. *Suffix arrays.*  The bytes of the runs that go on are dealt to shards by
-   anchor.  Each shard is sorted by prefix doubling in the manner of Larsson and
+3. *Suffix arrays.*  The bytes of the runs that go on are counted, and dealt by
+   anchor to as many shards as hold OPEN_BYTES each, so that a task's memory does
+   not grow with the table.  Each shard is sorted by prefix doubling in the manner of Larsson and
    Sadakane (only groups that are still tied are sorted again, by the rank one
    length further on), neighbours' common prefixes are taken from the ranks of
    the doubling rounds, and stretches of at least LENGTH common bytes give each
@@ -44,11 +45,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionbars.llm.common import partitions, prepare, save, shared_dir, texts_of
-from sessionbars.llm.textops import cumulative, run_hashes
+from sessionbars.llm.textops import cumulative, run_hashes, window_minima
 
 LENGTH = 50
 SEED = 24
 BUCKET_BYTES = 3 << 20
+#: Text whose anchors one shard takes, and bytes of runs that one suffix array takes.
+SHARD_BYTES = 16 << 20
+OPEN_BYTES = 2 << 20
 #: Runs of one anchor that one shard takes as bytes.
 HOT = 256
 LAST = np.iinfo(np.int64).max
@@ -98,27 +102,30 @@ class Texts:
 
     def runs(self, length: int, seed: int) -> tuple[np.ndarray, ...]:
         """anchor, hash, row, start in the row, windows of every run."""
-        n, w = len(self.buf), length - seed + 1
+        n = len(self.buf)
         empty = np.zeros(0, np.int64)
         if n < length:
             return empty.view(np.uint64), empty.view(np.uint64), empty, empty, empty
         c = cumulative(self.buf)
-        at = np.arange(n - seed + 1)
-        least = run_hashes(c, at, at + seed)
-        span = 1
-        while 2 * span <= w:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if span < w:
-            least = np.minimum(least[: len(least) - (w - span)], least[w - span :])
+        least = window_minima(c, seed, length - seed + 1)
         # windows that cross a document's end are none
-        row = np.repeat(np.arange(len(self.ids)), np.diff(self.at))[: len(least)]
-        ok = np.arange(len(least)) + length <= self.at[1:][row]
+        off = np.zeros(n + 1, np.int8)
+        np.add.at(off, np.maximum(self.at[1:] - length + 1, self.at[:-1]), 1)
+        np.add.at(off, self.at[1:], -1)
+        ok = np.cumsum(off, dtype=np.int8)[: len(least)] == 0
         edge = np.ones(len(least), bool)
-        edge[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1]) | ~ok[:-1]
+        edge[1:] = (least[1:] != least[:-1]) | ~ok[:-1]
+        edge[self.at[:-1][self.at[:-1] < len(edge)]] = True
         first = np.flatnonzero(edge & ok)
         stop = np.flatnonzero(np.concatenate([edge[1:] | ~ok[1:], [True]]) & ok) + 1
-        return least[first], run_hashes(c, first, stop - 1 + length), row[first], first - self.at[row[first]], stop - first
+        row = np.searchsorted(self.at, first, side="right") - 1
+        return least[first], run_hashes(c, first, stop - 1 + length), row, first - self.at[row], stop - first
+
+
+def _leads(new: np.ndarray) -> np.ndarray:
+    """For each item the place of the last item up to it that is marked new; the first one is."""
+    at = np.flatnonzero(new)
+    return np.repeat(at, np.diff(at, append=len(new)))
 
 
 def suffix_array(buf: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
@@ -129,13 +136,16 @@ def suffix_array(buf: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[in
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = (key << np.uint64(8)) | padded[j : n + j].astype(np.uint64)
-    sa = np.argsort(key, kind="stable")
+    kind = np.int32 if 2 * n < np.iinfo(np.int32).max else np.int64
+    sa = np.argsort(key, kind="stable").astype(kind)
+    key = key[sa]
     new = np.ones(n, bool)
-    new[1:] = key[sa][1:] != key[sa][:-1]
-    rank = np.empty(n + 1, np.int64)
-    rank[sa] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    new[1:] = key[1:] != key[:-1]
+    del key
+    rank = np.empty(n + 1, kind)
+    rank[sa] = _leads(new)
     rank[n] = -1
-    levels, h = [(8, rank.copy())], 8
+    levels, h = [(8, rank)], 8
     while h < depth:
         # only places whose rank is still shared are sorted again
         tied = np.zeros(n, bool)
@@ -145,14 +155,15 @@ def suffix_array(buf: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[in
         if len(place):
             i = sa[place]
             after = rank[np.minimum(i + h, n)]
-            order = np.lexsort((after, rank[i]))
-            i, after, own = i[order], after[order], rank[i[order]]
+            own = rank[i]
+            order = np.argsort(own.astype(np.int64) * (n + 1) + after + 1, kind="stable")
+            i, after, own = i[order], after[order], own[order]
             sa[place] = i
             fresh = np.ones(len(place), bool)
             fresh[1:] = (own[1:] != own[:-1]) | (after[1:] != after[:-1])
             new[place] = fresh
             rank = rank.copy()
-            rank[i] = place[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+            rank[i] = place[_leads(fresh)]
         h *= 2
         levels.append((h, rank))
     return sa, levels
@@ -161,10 +172,10 @@ def suffix_array(buf: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[in
 def common_prefixes(buf: np.ndarray, sa: np.ndarray, levels: list[tuple[int, np.ndarray]], most: int) -> np.ndarray:
     """Common bytes, at most ``most``, of each suffix with the one before it in order."""
     n = len(buf)
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, sa.dtype)
     if n < 2:
         return out
-    i, j, got = sa[1:].copy(), sa[:-1].copy(), out[1:]
+    i, j, got = sa[1:], sa[:-1], out[1:]
     for h, rank in reversed(levels):
         for _ in range(2 if h == levels[0][0] else 1):
             same = (rank[np.minimum(i + got, n)] == rank[np.minimum(j + got, n)]) & (i + got < n) & (j + got < n) & (got < most)
@@ -187,9 +198,8 @@ def earliest(buf: np.ndarray, starts: np.ndarray, docs: np.ndarray, length: int)
     """For each window start the least doc among equal windows, by suffix array."""
     sa, levels = suffix_array(buf, length)
     lcp = common_prefixes(buf, sa, levels, length)
-    group = np.cumsum(lcp < length)
-    of = np.empty(len(buf), np.int64)
-    of[sa] = group
+    of = np.empty(len(buf), sa.dtype)
+    of[sa] = np.cumsum(lcp < length, dtype=sa.dtype)
     g = of[starts]
     least = np.full(len(buf) + 2, LAST)
     np.minimum.at(least, g, docs)
@@ -270,7 +280,7 @@ def _later(anchor: np.ndarray, sk: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
 
 
-def _resolve(shards: int) -> Callable:
+def _resolve(length: int, shards: int) -> Callable:
     def run(t: pa.Table) -> pa.Table:
         rows = [tuple(r[n] for n in _NAMES) for r in t.filter(pa.compute.equal(t["kind"], SPAN)).to_pylist()]
         bucket, (anchor, sk, doc, where, count) = _gather(t, ENTRY, np.uint64, np.uint64, np.int64, np.uint64, np.uint32)
@@ -292,10 +302,11 @@ def _resolve(shards: int) -> Callable:
             several = np.zeros(len(size), bool)
             several[group[1:][~new[1:] & (sk[1:] != sk[:-1])]] = True
             go = (several & (lo < hi))[group]
-            shard = (anchor // np.uint64(shards) % np.uint64(shards)).astype(np.int32)
+            shard = (anchor // np.uint64(shards) % np.uint64(1 << 31)).astype(np.int32)
             shard[size[group] > HOT] = -1
             for b, parts in _split(bucket[go], place[go], start[go], count[go], shard[go]):
-                rows.append(_row(0, OPEN, b, *parts))
+                opened = int(parts[2].sum(dtype=np.int64)) + len(parts[2]) * (length - 1)
+                rows.append(_row(min(opened, (1 << 31) - 1), OPEN, b, *parts))
         return _table(rows)
 
     return run
@@ -311,7 +322,7 @@ def _bytes(length: int, shards: int) -> Callable:
         at, doc = t.at[place] + start, t.ids[place]
         rows = []
         cold = np.flatnonzero(shard >= 0)
-        for s, (i,) in _split(shard[cold], cold):
+        for s, (i,) in _split(shard[cold] % shards, cold):
             body = b"".join(t.buf[a : a + c + length - 1].tobytes() for a, c in zip(at[i].tolist(), count[i].tolist()))
             rows.append((*_row(s, BYTES, bucket, place[i], start[i], count[i], doc[i])[:7], body))
         hot = np.flatnonzero(shard < 0)
@@ -404,7 +415,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     docs = texts_of(docs, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(spark)
-    buckets, shards = max(n, -(-size // BUCKET_BYTES)), n
+    buckets, shards = max(n, -(-size // BUCKET_BYTES)), max(n, -(-size // SHARD_BYTES))
     name = f"llm_texts_{uuid.uuid4().hex[:12]}"
     cut = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(buckets)).cast("int"))
     (cut.repartition(n, "bucket").write.bucketBy(n, "bucket").option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))
@@ -419,8 +430,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
         return texts().cogroup(other.groupBy("bucket")).applyInArrow(fn, schema)
 
     shared = narrow(texts().applyInArrow(_anchors(length, seed, shards), _PACKED), _shared, "anchors")
-    found = narrow(beside(shared, _entries(length, seed, shards)), _resolve(shards), "runs")
-    last = narrow(beside(found.filter(F.col("kind") == OPEN), _bytes(length, shards)), _settle(length), "windows")
+    found = narrow(beside(shared, _entries(length, seed, shards)), _resolve(length, shards), "runs")
+    opened = found.filter(F.col("kind") == OPEN)
+    arrays = max(n, -(-(opened.agg(F.sum("shard")).first()[0] or 0) // OPEN_BYTES))
+    last = narrow(beside(opened, _bytes(length, arrays)), _settle(length), "windows")
     spans = found.filter(F.col("kind") == SPAN).unionByName(last)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
     return beside(spans, _cut(length, with_text), schema)
