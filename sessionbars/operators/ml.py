@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionbars.functions.columns import confidence, predicted_direction
+from sessionbars.operators import trees
 from sessionbars.operators.features import MODEL_FEATURES
 from sessionbars.operators.splits import chronological_split, time_series_folds
 from sessionbars.session import checkpoint_root
@@ -152,8 +153,9 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
     Returns (best params, one row per combination with its mean MAE).  Every fit
     is a distributed job over its fold's vectors, which are assembled and
     ``stored`` once, ``rows_per_partition`` in a partition where it is given (a
-    boosting round costs a few tasks for each, however few the rows);
-    ``PARALLEL_FITS`` are submitted at a time.  One fit of the most rounds serves
+    boosting round costs a few tasks for each, however few the rows); a fold that
+    one task can boost (``trees.fits_in_a_task``) is then boosted there, with the
+    same trees. ``PARALLEL_FITS`` are submitted at a time.  One fit of the most rounds serves
     all combinations nested in it (``nested_fits``), scored round by round.
 
     With ``store``, a folder that outlives the session, each finished fit leaves
@@ -165,21 +167,24 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
         tr = folds.filter((F.col("fold") == f) & (F.col("role") == "train"))
         te = folds.filter((F.col("fold") == f) & (F.col("role") == "test"))
         vectors = Pipeline(stages=feature_stages(by_symbol=by_symbol)).fit(tr)
-        sides = []
+        sides, sizes = [], []
         for x in (tr, te):
             v = vectors.transform(x).select("features", label)
             if rows_per_partition:
-                parts = -(-x.count() // rows_per_partition)
+                sizes.append(x.count())
+                parts = -(-sizes[-1] // rows_per_partition)
                 v = v.coalesce(1) if parts <= 1 else v.repartition(parts)
             sides.append(stored(v))
-        data.append(sides)
+        small = sizes and max(sizes) <= rows_per_partition and all(trees.all_finite(v, label) for v in sides)
+        data.append((sides, sizes[0] if small else None, trees.arities(sides[0])))
     combos, fits = param_grid(grid), nested_fits(grid)
     errors = _read_scores(spark, store) if store else {}
 
     def score(job: tuple[int, int]) -> tuple[tuple[int, int], list[float]]:
         i, f = job
-        model = gbt(label, **fits[i][0]).fit(data[f][0])
-        found = list(model.evaluateEachIteration(data[f][1], "absolute"))
+        est, ((tr, te), rows, kinds) = gbt(label, **fits[i][0]), data[f]
+        params = trees.fits_in_a_task(est, rows, kinds) if rows else None
+        found = trees.boosting_errors(tr, te, label, kinds, params) if params else list(est.fit(tr).evaluateEachIteration(te, "absolute"))
         if store:
             one = spark.createDataFrame([(i, f, found)], "fit int, fold int, errors array<double>")
             one.coalesce(1).write.mode("overwrite").json(f"{store}/fit-{i}-fold-{f}")
