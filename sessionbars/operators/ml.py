@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -158,8 +159,8 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
     same trees. ``PARALLEL_FITS`` are submitted at a time.  One fit of the most rounds serves
     all combinations nested in it (``nested_fits``), scored round by round.
 
-    With ``store``, a folder that outlives the session, each finished fit leaves
-    its errors there and a search that was cut off goes on where it stood."""
+    With ``store``, a folder that outlives the session, each finished fit, or group
+    of fits that run in one task each, leaves its errors there and a search that was cut off goes on where it stood."""
     folds = time_series_folds(train, k).cache()
     spark = train.sparkSession
     data = []
@@ -180,19 +181,32 @@ def grid_search(train: DataFrame, grid: dict = REFERENCE_GRID, k: int = 3, label
     combos, fits = param_grid(grid), nested_fits(grid)
     errors = _read_scores(spark, store) if store else {}
 
+    def keep(name: str, found: dict) -> None:
+        if store:
+            rows = spark.createDataFrame([(*job, e) for job, e in found.items()], "fit int, fold int, errors array<double>")
+            rows.coalesce(1).write.mode("overwrite").json(f"{store}/{name}")
+
     def score(job: tuple[int, int]) -> tuple[tuple[int, int], list[float]]:
         i, f = job
-        est, ((tr, te), rows, kinds) = gbt(label, **fits[i][0]), data[f]
-        params = trees.fits_in_a_task(est, rows, kinds) if rows else None
-        found = trees.boosting_errors(tr, te, label, kinds, params) if params else list(est.fit(tr).evaluateEachIteration(te, "absolute"))
-        if store:
-            one = spark.createDataFrame([(i, f, found)], "fit int, fold int, errors array<double>")
-            one.coalesce(1).write.mode("overwrite").json(f"{store}/fit-{i}-fold-{f}")
+        model = gbt(label, **fits[i][0]).fit(data[f][0][0])
+        found = list(model.evaluateEachIteration(data[f][0][1], "absolute"))
+        keep(f"fit-{i}-fold-{f}", {job: found})
         return job, found
 
     todo = [(i, f) for i in range(len(fits)) for f in range(k) if (i, f) not in errors]
+    # fits of small folds go to one task each, two rounds of tasks at a time
+    few = {(i, f): p for i, f in todo if data[f][1] and (p := trees.fits_in_a_task(gbt(label, **fits[i][0]), *data[f][1:]))}
+    if few:
+        sides = {f: tuple(trees.matrix(v, label, len(data[f][2])) for v in data[f][0]) + (data[f][2],) for f in {f for _, f in few}}
+        shared, wave = spark.sparkContext.broadcast(sides), max(PARALLEL_FITS, 2 * spark.sparkContext.defaultParallelism)
+        for lo in range(0, len(few), wave):
+            some = list(few)[lo : lo + wave]
+            found = trees.boosting_errors(spark, {job: (job[1], few[job]) for job in some}, shared)
+            keep(f"fits-{uuid.uuid4().hex[:12]}", found)
+            errors |= found
+        shared.unpersist()
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        errors |= dict(pool.map(inheritable_thread_target(spark)(score), todo))
+        errors |= dict(pool.map(inheritable_thread_target(spark)(score), [job for job in todo if job not in few]))
     folds.unpersist()
     mean = {ci: sum(errors[i, f][rounds - 1] for f in range(k)) / k for i, (_, members) in enumerate(fits) for ci, rounds in members.items()}
     rows = [(ci, str(params), float(mean[ci])) for ci, params in enumerate(combos)]
@@ -227,12 +241,12 @@ def train_ensemble(features: DataFrame, grid: dict = REFERENCE_GRID, sizes: dict
     val = sp.filter(F.col("split") == "val").drop("split")
     best, table = grid_search(train, grid, by_symbol=by_symbol, store=store, rows_per_partition=ROWS_PER_PARTITION)
     sizes = sizes or {}    # overrides per member, e.g. {"rf": {"numTrees": 20}}
-    members = {
-        "gbt": fit(gbt(**best), train, by_symbol),
-        "rf": fit(random_forest(**sizes.get("rf", {})), train, by_symbol),
-        "gbt2": fit(gbt_second(**sizes.get("gbt2", {})), train, by_symbol),
-        "enet": fit(elastic_net(), train, by_symbol),
-    }
+    # the library's boosting runs a task and writes shuffle files per partition and level of a tree, however few the rows
+    rows = stored(train.coalesce(1) if train.count() <= ROWS_PER_PARTITION else train)
+    estimators = {"gbt": gbt(**best), "rf": random_forest(**sizes.get("rf", {})), "gbt2": gbt_second(**sizes.get("gbt2", {})), "enet": elastic_net()}
+    run = inheritable_thread_target(features.sparkSession)(lambda est: fit(est, rows, by_symbol))
+    with ThreadPoolExecutor(len(estimators)) as pool:
+        members = dict(zip(estimators, pool.map(run, estimators.values())))
     scored = predict_members(members, val)
     choice = select_model(ensemble_average(scored), key=None).first()["chosen"]
     return {"members": members, "best_params": best, "grid": table, "chosen": choice, "split": sp}
